@@ -59,18 +59,52 @@ def rank_over_all(
 
 
 def ranked(
-    df: DataFrame, ranks: dict[str, tuple[str, bool]], *, max_rows: int | None
+    df: DataFrame,
+    ranks: dict[str, tuple[str, bool]],
+    *,
+    max_rows: int | None,
+    partition: Sequence[str] = (),
 ) -> DataFrame:
-    """Add several ``name -> (column, descending)`` ranks over the whole input.
+    """Add several ``name -> (column, descending)`` ranks, over all rows or per partition.
 
-    ``max_rows`` is a known upper bound of the input's rows (the size of the stored
+    ``max_rows`` is a known upper bound of the rows ranked together (the size of the stored
     dimension the input has one row per member of). Small inputs use plain windows, larger
-    or unbounded ones :func:`rank_over_all`.
+    or unbounded ones :func:`rank_over_all` and :func:`rank_within`.
     """
     if max_rows is not None and max_rows <= SINGLE_WINDOW_ROWS:
+        window = Window.partitionBy(*partition)
         return df.withColumns(
-            {n: F.rank().over(Window.orderBy(order_by(c, d))) for n, (c, d) in ranks.items()}
+            {n: F.rank().over(window.orderBy(order_by(c, d))) for n, (c, d) in ranks.items()}
         )
     for name, (column, descending) in ranks.items():
-        df = rank_over_all(df, by=column, name=name, descending=descending)
+        if partition:
+            df = rank_within(df, partition=partition, by=column, name=name, descending=descending)
+        else:
+            df = rank_over_all(df, by=column, name=name, descending=descending)
     return df
+
+
+def ntile_over_all(
+    df: DataFrame, *, by: str, tie: str, name: str, tiles: int = 4, descending: bool = True,
+    max_rows: int | None = None, splits: int = 64,
+) -> DataFrame:
+    """``NTILE`` over the whole input; ``tie`` is unique and makes the cut repeatable."""
+    order = [order_by(by, descending), F.col(tie)]
+    if max_rows is not None and max_rows <= SINGLE_WINDOW_ROWS:
+        return df.withColumn(name, F.ntile(tiles).over(Window.orderBy(*order)))
+    columns = df.columns
+    signed = -F.col(by) if descending else F.col(by)
+    placed = position_buckets(df, signed, F.lit(1), splits)
+    position = F.col("_before") + F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
+    rows = df.agg(F.count(F.lit(1)).alias("_rows"))
+    small, longer = F.floor(F.col("_rows") / tiles), F.col("_rows") % tiles
+    cut = longer * (small + 1)  # rows in the tiles that hold one row more
+    tile = F.when(F.col("_pos") <= cut, F.ceil(F.col("_pos") / (small + 1))).otherwise(
+        longer + F.ceil((F.col("_pos") - cut) / F.nullif(small, F.lit(0)))
+    )
+    return (
+        placed.withColumn("_pos", position)
+        .crossJoin(F.broadcast(rows))  # one row
+        .withColumn(name, tile.cast("int"))
+        .select(*columns, name)
+    )
