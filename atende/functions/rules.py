@@ -54,13 +54,22 @@ def ladder(value: Column, steps: Sequence[tuple[float, str]], op: str, default:
     return out.otherwise(default)
 
 
+def half_up(value: Column, digits: int = 2) -> Column:
+    """Round half up after removing binary noise beyond nine decimals.
+
+    Sums of doubles depend on the order of the partial sums in their last bits; without the
+    first step a value on a rounding border could differ from run to run.
+    """
+    return F.round(F.round(value, 9), digits)
+
+
 def pct(numerator: Column, denominator: Column, digits: int = 2) -> Column:
     """Percentage as DOUBLE; NULL when the denominator is 0."""
-    return F.round(F.lit(100.0) * numerator / F.nullif(denominator, F.lit(0)), digits)
+    return half_up(F.lit(100.0) * numerator / F.nullif(denominator, F.lit(0)), digits)
 
 
 def ratio(numerator: Column, denominator: Column, digits: int = 2) -> Column:
-    return F.round(
+    return half_up(
         numerator.cast("double") / F.nullif(denominator.cast("double"), F.lit(0.0)), digits
     )
 

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from atende.functions.rules import half_up
+
 
 def orphan_check(fact: DataFrame, dim: DataFrame, *, fk: str, sk: str) -> DataFrame:
     """Number of fact rows whose key is missing in the dimension (one row)."""
@@ -25,7 +27,7 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 def score_distribution(df: DataFrame, *, band: str, score: str) -> DataFrame:
     return df.groupBy(band).agg(
-        F.count(F.lit(1)).alias("nr_avaliacoes"), F.round(F.avg(score), 2).alias("nr_nota_media")
+        F.count(F.lit(1)).alias("nr_avaliacoes"), half_up(F.avg(score)).alias("nr_nota_media")
     )
 
 

@@ -84,27 +84,35 @@ def ranked(
     return df
 
 
-def ntile_over_all(
-    df: DataFrame, *, by: str, tie: str, name: str, tiles: int = 4, descending: bool = True,
+def row_number_over_all(
+    df: DataFrame, *, by: str, tie: str, name: str, descending: bool = True,
     max_rows: int | None = None, splits: int = 64,
 ) -> DataFrame:
-    """``NTILE`` over the whole input; ``tie`` is unique and makes the cut repeatable."""
+    """``ROW_NUMBER`` over the whole input; ``tie`` is unique and makes the order repeatable."""
     order = [order_by(by, descending), F.col(tie)]
     if max_rows is not None and max_rows <= SINGLE_WINDOW_ROWS:
-        return df.withColumn(name, F.ntile(tiles).over(Window.orderBy(*order)))
+        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)))
     columns = df.columns
     signed = -F.col(by) if descending else F.col(by)
     placed = position_buckets(df, signed, F.lit(1), splits)
     position = F.col("_before") + F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
+    return placed.withColumn(name, position.cast("int")).select(*columns, name)
+
+
+def ntile_over_all(
+    df: DataFrame, *, by: str, tie: str, name: str, tiles: int = 4, descending: bool = True,
+    max_rows: int | None = None,
+) -> DataFrame:
+    """``NTILE`` over the whole input; ``tie`` is unique and makes the cut repeatable."""
+    if max_rows is not None and max_rows <= SINGLE_WINDOW_ROWS:
+        order = [order_by(by, descending), F.col(tie)]
+        return df.withColumn(name, F.ntile(tiles).over(Window.orderBy(*order)))
+    columns = df.columns
+    placed = row_number_over_all(df, by=by, tie=tie, name="_pos", descending=descending)
     rows = df.agg(F.count(F.lit(1)).alias("_rows"))
     small, longer = F.floor(F.col("_rows") / tiles), F.col("_rows") % tiles
     cut = longer * (small + 1)  # rows in the tiles that hold one row more
     tile = F.when(F.col("_pos") <= cut, F.ceil(F.col("_pos") / (small + 1))).otherwise(
         longer + F.ceil((F.col("_pos") - cut) / F.nullif(small, F.lit(0)))
     )
-    return (
-        placed.withColumn("_pos", position)
-        .crossJoin(F.broadcast(rows))  # one row
-        .withColumn(name, tile.cast("int"))
-        .select(*columns, name)
-    )
+    return placed.crossJoin(F.broadcast(rows)).withColumn(name, tile.cast("int")).select(*columns, name)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from atende.functions.rules import half_up
 from atende.operators.lookup import with_dim
 from atende.operators.ranks import order_by
 
@@ -34,12 +35,12 @@ def n(column: str) -> Column:
 
 
 def mean(value: Column | str, digits: int = 2) -> Column:
-    return F.round(F.avg(value), digits)
+    return half_up(F.avg(value), digits)
 
 
 def mean_if(condition: Column, value: Column | str, digits: int = 2) -> Column:
     value = F.col(value) if isinstance(value, str) else value
-    return F.round(F.avg(F.when(condition, value)), digits)
+    return half_up(F.avg(F.when(condition, value)), digits)
 
 
 def year_month(day: str = "dt_completa") -> Column:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from atende.functions.rules import pct
+from atende.functions.rules import half_up, pct
 from atende.operators.lookup import with_dim
 from atende.operators.ranks import ranked
 from atende.plans.kpi.common import bound, mean, mean_if, n, n_if, optional, top, with_day
@@ -93,7 +93,7 @@ def kpi02_consolidated(t) -> DataFrame:
         *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in zero],
         F.coalesce("_horas", F.lit(0.0)).alias("nr_horas_trabalhadas"),
         F.coalesce("pct_presenca", F.lit(0.0)).alias("pct_presenca"),
-        F.round(
+        half_up(
             F.coalesce("nr_total_chamadas", F.lit(0)) / F.nullif("_horas", F.lit(0.0)), 2
         ).alias("nr_calls_por_hora"),
     )
@@ -122,6 +122,6 @@ def kpi02_ranking(t, weights: dict[str, float] = WEIGHTS, limit: int | None = 10
         pct(F.col("nr_tma_segundos") - F.col("_tma"), F.col("_tma")).alias("pct_desvio_tma"),
         pct(F.col("nr_nota_geral_media") - F.col("_nota"), F.col("_nota")).alias("pct_desvio_nota"),
         *weights,
-        F.round(score, 2).alias("score_ranking_composto"),
+        half_up(score, 2).alias("score_ranking_composto"),
     )
     return top(out, [("rank_qualidade", False), ("nr_total_chamadas", True), ("sk_operador", False)], limit)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from atende.functions.rules import pct
+from atende.functions.rules import half_up, pct
 from atende.operators.lookup import with_dim
 from atende.operators.ranks import ranked
 from atende.plans.kpi.common import (
@@ -77,7 +77,7 @@ def kpi03_by_operator(t, limit: int | None = 100) -> DataFrame:
         profile = F.when(F.col(f"pct_{band.lower()}") >= 50, f"PREDOMINANTEMENTE_{band}").otherwise(profile)
     rows = per_operator.crossJoin(F.broadcast(overall)).withColumns(
         {
-            "desvio_vs_media": F.round(score - team, 2),
+            "desvio_vs_media": half_up(score - team, 2),
             "ds_situacao_vs_media": F.when(score < team, "ABAIXO_DA_MEDIA").otherwise("NA_MEDIA_OU_ACIMA"),
             "ds_perfil_qualidade": profile,
         }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from atende.functions.rules import pct
+from atende.functions.rules import half_up, pct
 from atende.operators.lookup import with_dim
 from atende.operators.ranks import ranked
 from atende.plans.kpi.common import (
@@ -32,7 +32,7 @@ def tickets(t, day: dict[str, str]) -> DataFrame:
         {
             "sk_operador": F.col("sk_operador_abertura"),
             "sk_data_resolucao": F.col("sk_data_fechamento"),
-            "nr_tempo_resolucao_horas": F.round(F.col("nr_tempo_resolucao_min") / F.lit(60.0), 2),
+            "nr_tempo_resolucao_horas": half_up(F.col("nr_tempo_resolucao_min") / F.lit(60.0), 2),
             "fl_resolvido": one_if(status.isin(*RESOLVED)),
             "fl_em_aberto": one_if(status.isin(*OPEN)),
         }

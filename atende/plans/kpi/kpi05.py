@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from atende.functions.rules import ladder, pct, traffic_light
+from atende.functions.rules import half_up, ladder, pct, traffic_light
 from atende.operators.ranks import ranked
 from atende.plans.kpi.common import (
     SLA_HOURS, bound, mean_if, n, n_if, one_if, top, year_month,
@@ -52,8 +52,8 @@ def _by_category(base: DataFrame, t) -> DataFrame:
     out = base.groupBy("ds_categoria_ticket").agg(
         n("sk_ticket").alias("nr_total_tickets"),
         n_if(_done()).alias("nr_tickets_resolvidos"),
-        F.round(_mean_hours(), 2).alias("nr_mttr_horas"),
-        F.round(_mean_hours() / F.lit(24.0), 2).alias("nr_mttr_dias"),
+        half_up(_mean_hours(), 2).alias("nr_mttr_horas"),
+        half_up(_mean_hours() / F.lit(24.0), 2).alias("nr_mttr_dias"),
         F.percentile_approx(hours, 0.5, ACCURACY).alias("nr_mttr_mediana_horas"),
         F.percentile_approx(hours, 0.9, ACCURACY).alias("nr_mttr_p90_horas"),
         F.min(F.when(_done(), F.col("nr_tempo_resolucao_horas"))).alias("nr_mttr_minimo"),
@@ -75,7 +75,7 @@ def kpi05_mttr_category(t, limit: int | None = 100) -> DataFrame:
         .withColumns(
             {
                 "nr_backlog_atual": F.coalesce("_backlog", F.lit(0)),
-                "desvio_mttr_vs_global": F.round(F.col("nr_mttr_horas") - F.col("nr_mttr_global_horas"), 2),
+                "desvio_mttr_vs_global": half_up(F.col("nr_mttr_horas") - F.col("nr_mttr_global_horas"), 2),
                 "semaforo_fcr": traffic_light("pct_fcr", (80, 65)),
             }
         )
@@ -89,7 +89,7 @@ def kpi05_mttr_priority(t) -> DataFrame:
         n("sk_ticket").alias("nr_total_tickets"),
         n_if(_done()).alias("nr_tickets_resolvidos"),
         mean_if(_done(), "nr_tempo_resolucao_horas").alias("nr_mttr_horas"),
-        F.round(_mean_hours() / F.nullif("nr_sla_target_horas", F.lit(0)), 2).alias("nr_ratio_mttr_sla"),
+        half_up(_mean_hours() / F.nullif("nr_sla_target_horas", F.lit(0)), 2).alias("nr_ratio_mttr_sla"),
         _fcr().alias("pct_fcr"),
     )
 
@@ -121,6 +121,6 @@ def kpi05_fcr_global(t) -> DataFrame:
             n("sk_ticket").alias("nr_total_resolvidos"),
             F.sum("fl_fcr_candidato").alias("nr_fcr"),
             _fcr().alias("pct_fcr_global"),
-            F.round(_mean_hours(), 2).alias("nr_mttr_global_horas"),
+            half_up(_mean_hours(), 2).alias("nr_mttr_global_horas"),
         )
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from atende.functions.rules import pct, traffic_light
+from atende.functions.rules import half_up, pct, traffic_light
 from atende.operators.lookup import with_dim
 from atende.operators.ranks import ranked
 from atende.plans.kpi.common import bound, mean, n, n_if, optional, top, with_day, year_month
@@ -56,7 +56,7 @@ def kpi07_csat_channel(t, limit: int | None = None) -> DataFrame:
             *[pct(n_if(score == i), rows).alias(f"pct_nota_{i}") for i in SCORES],
             pct(_promoters(), rows).alias("pct_promotores"),
             pct(_detractors(), rows).alias("pct_detratores"),
-            F.round(net, 2).alias("nr_nps_proxy"),
+            half_up(net, 2).alias("nr_nps_proxy"),
         )
         .withColumns(
             {
@@ -83,7 +83,7 @@ def kpi07_monthly_trend(t) -> DataFrame:
     months = Window.partitionBy("ds_tipo_canal").orderBy("nr_ano", "nr_mes")
     previous = F.lag("nr_csat_medio_mes").over(months)
     return monthly.withColumn("nr_csat_mes_anterior", previous).withColumn(
-        "nr_variacao_csat_mom", F.round(F.col("nr_csat_medio_mes") - F.col("nr_csat_mes_anterior"), 2)
+        "nr_variacao_csat_mom", half_up(F.col("nr_csat_medio_mes") - F.col("nr_csat_mes_anterior"), 2)
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from atende.functions.rules import pct, traffic_light
+from atende.functions.rules import half_up, pct, traffic_light
 from atende.operators.lookup import with_dim
 from atende.operators.ranks import rank_within, ranked
 from atende.plans.kpi.common import bound, mean, mean_if, n, optional, top
@@ -74,7 +74,7 @@ def kpi08_campaign(t, limit: int | None = 100) -> DataFrame:
     out = out.withColumns(
         {
             "pct_atingimento_meta": pct(F.col("nr_contatos_realizados"), F.col("nr_meta_contatos")),
-            "score_efetividade_campanha": F.round(score, 2),
+            "score_efetividade_campanha": half_up(score, 2),
             "semaforo_contato": traffic_light("pct_taxa_contato", (50, 30)),
             "semaforo_conversao": traffic_light("pct_taxa_conversao_sobre_contato", (15, 8)),
         }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from atende.functions.rules import pct, ratio, traffic_light
+from atende.functions.rules import half_up, pct, ratio, traffic_light
 from atende.operators.lookup import with_dim
 from atende.operators.ranks import ranked
 from atende.plans.kpi.common import bound, mean, n, n_if, one_if, top, with_day, year_month
@@ -55,7 +55,7 @@ def kpi10_attendance(t, limit: int | None = 100) -> DataFrame:
             *[_is(k).alias(f"nr_dias_{k.lower()}") for k in OCCURRENCES],
             pct(_is("PRESENTE"), _workdays()).alias("pct_taxa_presenca"),
             pct(_is("AUSENTE"), _workdays()).alias("pct_taxa_absenteismo"),
-            F.round(hours, 2).alias("nr_horas_totais"),
+            half_up(hours, 2).alias("nr_horas_totais"),
             _while_present("nr_chamadas_atendidas").alias("nr_chamadas_totais"),
             _while_present("nr_tickets_resolvidos").alias("nr_tickets_totais"),
             ratio(_while_present("nr_chamadas_atendidas"), hours).alias("nr_chamadas_por_hora"),
@@ -71,8 +71,8 @@ def kpi10_attendance(t, limit: int | None = 100) -> DataFrame:
     pace, usual = F.col("nr_chamadas_por_hora"), F.col("media_calls_hora_equipe")
     rows = people.crossJoin(F.broadcast(team)).withColumns(  # one row
         {
-            "desvio_presenca_vs_media": F.round(F.col("pct_taxa_presenca") - F.col("media_presenca_equipe"), 2),
-            "desvio_produtividade_vs_media": F.round(pace - usual, 2),
+            "desvio_presenca_vs_media": half_up(F.col("pct_taxa_presenca") - F.col("media_presenca_equipe"), 2),
+            "desvio_produtividade_vs_media": half_up(pace - usual, 2),
             "semaforo_absenteismo": traffic_light("pct_taxa_absenteismo", (5, 10), higher_is_better=False),
             "ds_situacao_produtividade": F.when(pace >= usual * 1.1, "ACIMA_DA_MEDIA")
             .when(pace >= usual * 0.9, "NA_MEDIA")
@@ -98,7 +98,7 @@ def kpi10_monthly(t) -> DataFrame:
         _is("PRESENTE").alias("nr_presente_mes"),
         _is("AUSENTE").alias("nr_ausente_mes"),
         pct(_is("AUSENTE"), _workdays()).alias("pct_absenteismo_mes"),
-        F.round(_while_present("nr_horas_trabalhadas"), 2).alias("nr_horas_mes"),
+        half_up(_while_present("nr_horas_trabalhadas"), 2).alias("nr_horas_mes"),
         _while_present("nr_chamadas_atendidas").alias("nr_chamadas_mes"),
     )
 

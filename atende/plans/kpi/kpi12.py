@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from atende.functions.rules import ladder, pct, traffic_light
+from atende.functions.rules import half_up, ladder, pct, traffic_light
 from atende.operators.ranks import ranked
 from atende.plans.kpi.common import mean, n, n_if, optional, top, with_day, year_month
 
@@ -56,7 +56,7 @@ def kpi12_daily(t, limit: int | None = 100) -> DataFrame:
         pct(_moved(), n(ROWS)).alias("pct_transferencia_humano"),
         pct(_gone(), n(ROWS)).alias("pct_abandono_ura"),
         mean(TIME).alias("nr_tempo_medio_navegacao_seg"),
-        F.round(F.avg(TIME) / F.lit(60.0), 2).alias("nr_tempo_medio_navegacao_min"),
+        half_up(F.avg(TIME) / F.lit(60.0), 2).alias("nr_tempo_medio_navegacao_min"),
         mean("nr_nivel_menu").alias("nr_nivel_medio_menu"),
         F.max(TIME).alias("nr_tempo_max_navegacao_seg"),
     )
@@ -64,7 +64,7 @@ def kpi12_daily(t, limit: int | None = 100) -> DataFrame:
     seconds = F.col("nr_tempo_medio_navegacao_seg")
     out = daily.crossJoin(F.broadcast(overall)).withColumns(  # one row
         {
-            "desvio_autoatendimento_vs_global": F.round(
+            "desvio_autoatendimento_vs_global": half_up(
                 F.col("pct_taxa_autoatendimento") - F.col("pct_autoatendimento_global"), 2
             ),
             "semaforo_autoatendimento": traffic_light(

@@ -11,7 +11,9 @@ import hashlib
 import os
 import tempfile
 import threading
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +36,16 @@ BASE_FACT_WAVE = [
     "fato_jornada_operador", "fato_metricas_operacionais",
 ]
 CHILD_FACT_WAVE = ["fato_qualidade", "fato_ura_navegacao", "fato_interacao_ticket", "fato_mensagem_chat"]
+# Current-state tables behind each dimension.
+DIM_SOURCES = {
+    "dim_data": [], "dim_canal": [], "dim_cliente": ["cliente", "endereco_cliente"],
+    "dim_operador": ["operador"], "dim_supervisor": ["dim_operador"],
+    "dim_fila": ["fila_atendimento"], "dim_skill": ["skill_operador"],
+    "dim_campanha": ["campanha"], "dim_status_chamada": ["chamada"],
+    "dim_status_ticket": ["ticket"], "dim_categoria_ticket": ["ticket"],
+    "dim_prioridade_ticket": ["ticket"],
+}
+PARALLEL_BUILDS = 5
 GOLD = DIM_WAVE + BASE_FACT_WAVE + CHILD_FACT_WAVE
 
 LAYERS = ("bronze", "silver", "gold", "publish")
@@ -102,17 +114,49 @@ class Lakehouse:
             return build_fact(name, self, extended=extended)
         return build_dim(name, self.spark, self, self.calendar)
 
-    def __getitem__(self, name: str) -> DataFrame:
+    def needs(self, name: str) -> list[str]:
+        """Tables a table is built from."""
+        if name in SPECS:
+            return []
+        if name in FACTS:
+            spec = FACTS[name]
+            channel = ["dim_canal"] if isinstance(spec.channel, str) else []
+            return [spec.source, *dict.fromkeys(look.dim for look in spec.lookups()), *channel]
+        return DIM_SOURCES[name]
+
+    def _store(self, name: str) -> DataFrame:
+        df = self.plan(name)
+        path = os.path.join(self.root, name)
+        if name in FACTS:
+            # Ordered files give the scans date ranges to skip by.
+            df = df.sortWithinPartitions(FACTS[name].date_key)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def require(self, names: list[str]) -> None:
+        """Store the missing tables among ``names`` and what they need, independent ones at once."""
         with self._lock:
-            if name not in self._tables:
-                df = self.plan(name)
-                path = os.path.join(self.root, name)
-                if name in FACTS:
-                    # Ordered files give the scans date ranges to skip by.
-                    df = df.sortWithinPartitions(FACTS[name].date_key)
-                df.write.mode("overwrite").parquet(path)
-                self._tables[name] = self.spark.read.schema(df.schema).parquet(path)
-            return self._tables[name]
+            missing: list[str] = []
+
+            def visit(name: str) -> None:
+                if name not in self._tables and name not in missing:
+                    for other in self.needs(name):
+                        visit(other)
+                    missing.append(name)
+
+            for name in names:
+                visit(name)
+            while missing:
+                ready = [n for n in missing if all(o in self._tables for o in self.needs(n))]
+                with ThreadPoolExecutor(PARALLEL_BUILDS) as pool:
+                    for name, df in zip(ready, pool.map(inheritable_thread_target(self.spark)(self._store), ready)):
+                        self._tables[name] = df
+                missing = [n for n in missing if n not in ready]
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            self.require([name])
+        return self._tables[name]
 
     def size(self, name: str) -> int:
         """Stored row count, used to decide between a small and a distributed plan."""
@@ -140,8 +184,7 @@ class Lakehouse:
                 self._tables.pop(name, None)
                 self._sizes.pop(name, None)
         for layer in list(waves)[first:]:
-            for name in waves[layer]:
-                self[name]
+            self.require(waves[layer])
             done[layer] = waves[layer]
         if publish_to:
             from atende.sources.tables import publish_snapshot

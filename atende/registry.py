@@ -2,18 +2,97 @@
 
 from __future__ import annotations
 
-from atende.plans.layers import lake_for
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+from atende.plans.kpi import (
+    kpi01, kpi02, kpi03, kpi04, kpi05, kpi06, kpi07, kpi08, kpi09, kpi10, kpi11, kpi12,
+)
+from atende.plans.layers import Lakehouse, lake_for
 from atende.plans.silver import SPECS
 
-QUERIES = {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 
+# The given events lie in 2024.
+MIN_YEAR = 2024
+# The bound campaigns know only ATIVA and INATIVA; the latter counts as finished.
+SITUATIONS = {
+    "ATIVA": ("ATIVA", "EM_ANDAMENTO", "RUNNING"),
+    "ENCERRADA": ("ENCERRADA", "FINALIZADA", "CONCLUIDA", "INATIVA"),
+}
 
-def _silver(entity):
-    def run(spark, sf_dir):
-        return lake_for(spark, sf_dir).silver(entity, extended=False)[0]
 
-    return run
+def register(name: str, build: Callable[[Lakehouse], DataFrame]) -> None:
+    """Register a query that is built from the layered tables of the source folder."""
+    QUERIES[name] = lambda spark, sf_dir: build(lake_for(spark, sf_dir))
 
 
 for _i, _e in enumerate(SPECS, 1):
-    QUERIES[f"d{_i}_silver_{_e}"] = _silver(_e)
+    register(f"d{_i}_silver_{_e}", lambda lake, e=_e: lake.silver(e, extended=False)[0])
+
+# --- KPI families --------------------------------------------------------------------
+_KPIS: dict[str, tuple[Callable, dict]] = {
+    "g1_1": (kpi01.kpi01_base, {"min_year": MIN_YEAR}),
+    "g1_2": (kpi01.kpi01_by_channel, {"min_year": MIN_YEAR}),
+    "g1_3": (kpi01.kpi01_by_queue, {"min_year": MIN_YEAR}),
+    "g1_4": (kpi01.kpi01_queue_rank, {"min_year": MIN_YEAR}),
+    "g2_1": (kpi02.kpi02_calls_by_operator_month, {}),
+    "g2_2": (kpi02.kpi02_quality_by_operator, {}),
+    "g2_3": (kpi02.kpi02_attendance, {}),
+    "g2_4": (kpi02.kpi02_consolidated, {}),
+    "g2_5": (kpi02.kpi02_ranking, {}),
+    "g3_1": (kpi03.kpi03_base, {}),
+    "g3_2": (kpi03.kpi03_by_operator, {}),
+    "g3_3": (kpi03.kpi03_by_supervisor, {}),
+    "g3_4": (kpi03.kpi03_monthly_trend, {}),
+    "g4_1": (kpi04.kpi04_base, {}),
+    "g4_2": (kpi04.kpi04_daily, {}),
+    "g4_3": (kpi04.kpi04_sla_by_priority, {}),
+    "g4_4": (kpi04.kpi04_by_category, {}),
+    "g4_5": (kpi04.kpi04_status_share, {}),
+    "g5_1": (kpi05.kpi05_base, {}),
+    "g5_2": (kpi05.kpi05_mttr_category, {}),
+    "g5_3": (kpi05.kpi05_mttr_priority, {}),
+    "g5_4": (kpi05.kpi05_backlog, {}),
+    "g5_5": (kpi05.kpi05_band_share, {}),
+    "g5_6": (kpi05.kpi05_fcr_global, {}),
+    "g6_1": (kpi06.kpi06_chat_base, {}),
+    "g6_2": (kpi06.kpi06_whatsapp_base, {}),
+    "g6_3": (kpi06.kpi06_messages_per_session, {"agent": "OPERADOR"}),
+    "g6_4": (kpi06.kpi06_unified, {"agent": "OPERADOR"}),
+    "g6_5": (kpi06.kpi06_daily_channel, {"agent": "OPERADOR"}),
+    "g6_6": (kpi06.kpi06_monthly_trend, {"agent": "OPERADOR"}),
+    "g7_1": (kpi07.kpi07_unified, {}),
+    "g7_2": (kpi07.kpi07_csat_channel, {}),
+    "g7_3": (kpi07.kpi07_monthly_trend, {}),
+    "g7_4": (kpi07.kpi07_by_operator, {}),
+    "g8_1": (kpi08.kpi08_base, {}),
+    "g8_2": (kpi08.kpi08_campaign, {}),
+    "g8_3": (kpi08.kpi08_client_campaign, {}),
+    "g8_4": (kpi08.kpi08_attempt_bands, {}),
+    "g9_1": (kpi09.kpi09_roi, {"situations": SITUATIONS}),
+    "g9_2": (kpi09.kpi09_by_situation, {"situations": SITUATIONS}),
+    "g9_3": (kpi09.kpi09_rank_by_type, {"situations": SITUATIONS}),
+    "g9_4": (kpi09.kpi09_quartiles, {"situations": SITUATIONS}),
+    "g10_1": (kpi10.kpi10_base, {}),
+    "g10_2": (kpi10.kpi10_attendance, {}),
+    "g10_3": (kpi10.kpi10_monthly, {}),
+    "g10_4": (kpi10.kpi10_absence_weekday, {}),
+    "g11_1": (kpi11.kpi11_base, {}),
+    "g11_2": (kpi11.kpi11_daily_occupancy, {}),
+    "g11_3": (kpi11.kpi11_intraday, {}),
+    "g11_4": (kpi11.kpi11_overload_rank, {}),
+    "g11_5": (kpi11.kpi11_weekly_pattern, {}),
+    "g11_6": (kpi11.kpi11_peak_hour, {}),
+    "g12_1": (kpi12.kpi12_base, {}),
+    "g12_2": (kpi12.kpi12_daily, {}),
+    "g12_3": (kpi12.kpi12_top_flows, {}),
+    "g12_4": (kpi12.kpi12_abandon_points, {}),
+    "g12_5": (kpi12.kpi12_monthly_trend, {}),
+    "g12_6": (kpi12.kpi12_global, {}),
+}
+for _id, (_fn, _kw) in _KPIS.items():
+    register(f"{_id}_{_fn.__name__}", lambda lake, fn=_fn, kw=_kw: fn(lake, **kw))

@@ -34,7 +34,7 @@ def compose(final: str, relations: dict[str, str]) -> str:
     order: list[str] = []
 
     def visit(sql: str) -> None:
-        for name in re.findall(r"\b[a-z]+_[a-z0-9_]+\b", sql):
+        for name in re.findall(r"\b[a-z][a-z0-9]*_[a-z0-9_]+\b", sql):
             if name in relations and name not in order:
                 visit(relations[name])
                 if name not in order:

@@ -1,6 +1,22 @@
-from oracle import compose
-from oracle.silver import RELATIONS, T, output_columns
+"""Name of a registered query -> DuckDB SQL."""
+
+from __future__ import annotations
+
+from atende.plans.facts import FACTS
 from atende.plans.silver import SPECS
-ANSWERS={}
+from oracle import compose, gold, kpis, silver
+
+RELATIONS = {**silver.RELATIONS, **gold.RELATIONS, **kpis.RELATIONS}
+
+ANSWERS: dict[str, str] = {}
+
+
+def _add(name: str, sql: str) -> None:
+    ANSWERS[name] = compose(sql, RELATIONS)
+
+
 for _i, _e in enumerate(SPECS, 1):
-    ANSWERS[f"d{_i}_silver_{_e}"] = compose(f"select {', '.join(output_columns(_e))} from sv_{_e}", RELATIONS)
+    _add(f"d{_i}_silver_{_e}", f"select {', '.join(silver.output_columns(_e))} from sv_{_e}")
+
+for _name, _sql in kpis.FINALS.items():
+    _add(_name, _sql)
