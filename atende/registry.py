@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 
+from atende.plans import datasets, views
 from atende.plans.kpi import (
     kpi01, kpi02, kpi03, kpi04, kpi05, kpi06, kpi07, kpi08, kpi09, kpi10, kpi11, kpi12,
 )
@@ -96,3 +97,40 @@ _KPIS: dict[str, tuple[Callable, dict]] = {
 }
 for _id, (_fn, _kw) in _KPIS.items():
     register(f"{_id}_{_fn.__name__}", lambda lake, fn=_fn, kw=_kw: fn(lake, **kw))
+
+# --- dimensions and facts ------------------------------------------------------------
+for _name, _dim in {
+    "e3_dim_status_chamada": "dim_status_chamada", "e3_dim_status_ticket": "dim_status_ticket",
+    "e3_dim_categoria_ticket": "dim_categoria_ticket", "e3_dim_prioridade_ticket": "dim_prioridade_ticket",
+    "e4_dim_skill": "dim_skill", "e5_dim_campanha": "dim_campanha", "e6_dim_fila": "dim_fila",
+    "e7_dim_canal": "dim_canal", "e8_dim_cliente": "dim_cliente", "e9_dim_operador": "dim_operador",
+    "e10_dim_supervisor": "dim_supervisor", "e11_dim_data": "dim_data",
+}.items():
+    register(_name, lambda lake, dim=_dim: lake.plan(dim))
+for _i, _f in enumerate(
+    [
+        "fato_chamada", "fato_ticket", "fato_chat", "fato_whatsapp", "fato_discagem",
+        "fato_jornada_operador", "fato_metricas_operacionais", "fato_qualidade",
+        "fato_interacao_ticket", "fato_mensagem_chat", "fato_ura_navegacao",
+    ],
+    3,
+):
+    register(f"f{_i}_{_f}", lambda lake, fact=_f: lake.plan(fact))
+
+# --- views and datasets --------------------------------------------------------------
+for _i, _v in enumerate(
+    [
+        views.view_calls_month_status, views.view_operators, views.view_quality_month,
+        views.view_tickets_month, views.view_ticket_sla, views.view_digital_month,
+        views.view_campaigns, views.view_queue_metrics, views.view_ivr_options,
+    ],
+    1,
+):
+    register(f"h{_i}_{_v.__name__}", _v)
+# The bound orders and dials start in 1995.
+register("i1_dataset_calls", lambda lake: datasets.dataset_calls(lake, MIN_YEAR))
+register("i2_dataset_operators", lambda lake: datasets.dataset_operators(lake, MIN_YEAR))
+register("i2_dataset_operators_once", lambda lake: datasets.dataset_operators(lake, MIN_YEAR, prejoined=False))
+register("i3_dataset_tickets", lambda lake: datasets.dataset_tickets(lake, 1995))
+register("i4_dataset_digital", lambda lake: datasets.dataset_digital(lake, MIN_YEAR))
+register("i5_dataset_campaign_roi", lambda lake: datasets.dataset_campaign_roi(lake, 1995))

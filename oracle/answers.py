@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from atende.plans.facts import FACTS
 from atende.plans.silver import SPECS
-from oracle import compose, gold, kpis, silver
+from oracle import compose, gold, kpis, reports, silver
 
 RELATIONS = {**silver.RELATIONS, **gold.RELATIONS, **kpis.RELATIONS}
 
@@ -20,3 +19,26 @@ for _i, _e in enumerate(SPECS, 1):
 
 for _name, _sql in kpis.FINALS.items():
     _add(_name, _sql)
+
+for _name, _sql in reports.FINALS.items():
+    _add(_name, _sql)
+
+# Dimensions and facts: the relation itself.
+DIM_QUERIES = {
+    "e3_dim_status_chamada": "dim_status_chamada", "e3_dim_status_ticket": "dim_status_ticket",
+    "e3_dim_categoria_ticket": "dim_categoria_ticket", "e3_dim_prioridade_ticket": "dim_prioridade_ticket",
+    "e4_dim_skill": "dim_skill", "e5_dim_campanha": "dim_campanha", "e6_dim_fila": "dim_fila",
+    "e7_dim_canal": "dim_canal", "e8_dim_cliente": "dim_cliente", "e9_dim_operador": "dim_operador",
+    "e10_dim_supervisor": "dim_supervisor", "e11_dim_data": "dim_data",
+}
+for _name, _dim in DIM_QUERIES.items():
+    _add(_name, f"select * from {_dim}")
+for _i, _f in enumerate(
+    [
+        "fato_chamada", "fato_ticket", "fato_chat", "fato_whatsapp", "fato_discagem",
+        "fato_jornada_operador", "fato_metricas_operacionais", "fato_qualidade",
+        "fato_interacao_ticket", "fato_mensagem_chat", "fato_ura_navegacao",
+    ],
+    3,
+):
+    _add(f"f{_i}_{_f}", f"select * from {_f}")
