@@ -55,12 +55,12 @@ def ladder(value: Column, steps: Sequence[tuple[float, str]], op: str, default:
 
 
 def half_up(value: Column, digits: int = 2) -> Column:
-    """Round half up after removing binary noise beyond nine decimals.
+    """Round half up after removing binary noise far beyond the wanted digits.
 
     Sums of doubles depend on the order of the partial sums in their last bits; without the
     first step a value on a rounding border could differ from run to run.
     """
-    return F.round(F.round(value, 9), digits)
+    return F.round(F.round(value, max(9, digits + 6)), digits)
 
 
 def pct(numerator: Column, denominator: Column, digits: int = 2) -> Column:

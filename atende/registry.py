@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
-from atende.plans import datasets, views
+from atende.operators import quality
+from atende.plans import datasets, explore, views
 from atende.plans.kpi import (
     kpi01, kpi02, kpi03, kpi04, kpi05, kpi06, kpi07, kpi08, kpi09, kpi10, kpi11, kpi12,
 )
@@ -134,3 +137,97 @@ register("i2_dataset_operators_once", lambda lake: datasets.dataset_operators(la
 register("i3_dataset_tickets", lambda lake: datasets.dataset_tickets(lake, 1995))
 register("i4_dataset_digital", lambda lake: datasets.dataset_digital(lake, MIN_YEAR))
 register("i5_dataset_campaign_roi", lambda lake: datasets.dataset_campaign_roi(lake, 1995))
+
+# --- exploratory statistics ----------------------------------------------------------
+PROFILED = ["chamada", "cliente", "discagem"]
+CALL_STATUSES = ["ATENDIDA", "ABANDONADA", "TRANSFERIDA", "ENGAJADA", "DESCONHECIDO"]
+
+
+def _raw(lake: Lakehouse, entity: str) -> DataFrame:
+    return lake.bronze(entity).drop("Op", "_timestamp", "_seq")
+
+
+def _matrix(lake: Lakehouse) -> DataFrame:
+    return explore.operator_matrix(
+        lake["chamada"], lake["avaliacao_qualidade"], lake["jornada_operador"], lake["operador"]
+    )
+
+
+def _month(c: str = "dt_inicio"):
+    return F.month(c).alias("nr_mes")
+
+
+def _productivity(lake: Lakehouse) -> DataFrame:
+    return explore.productivity(lake["chamada"], lake["operador"])
+
+
+def _handled(lake: Lakehouse) -> DataFrame:
+    return lake["chamada"].filter("st_chamada = 'ATENDIDA' and nr_duracao_segundos > 0")
+
+
+def _resolved(lake: Lakehouse) -> DataFrame:
+    return explore.with_escalation(lake["ticket"], lake["interacao_ticket"])
+
+
+_EXPLORE: dict[str, Callable[[Lakehouse], DataFrame]] = {
+    "j1_profile_tables": lambda k: reduce(
+        DataFrame.unionByName, [quality.profile_table(_raw(k, e), e) for e in PROFILED]
+    ),
+    "j2_null_pct_by_column": lambda k: quality.null_pct_by_column(_raw(k, "chamada")),
+    "j3_value_counts_status": lambda k: explore.value_counts(k["chamada"], by="st_chamada"),
+    "j3_top_states": lambda k: explore.value_counts(k["endereco_cliente"], by="ds_estado", limit=10),
+    "j3_top_options": lambda k: explore.value_counts(k["ura_navegacao"], by="ds_opcao_selecionada", limit=10),
+    "j4_volume_by_weekday": lambda k: explore.volume_by_slot(k["chamada"], slot=F.dayofweek("dt_inicio"), first=1, last=7),
+    "j4_volume_by_month": lambda k: explore.volume_by_slot(k["ticket"], slot=F.month("dt_abertura"), first=1, last=12),
+    "j4_volume_by_hour": lambda k: explore.volume_by_slot(k["ura_navegacao"], slot=F.hour("dt_navegacao"), first=0, last=23),
+    "j5_pivot_hour_weekday": lambda k: explore.pivot_hour_weekday(k["chamada"], time="dt_inicio"),
+    "j6_weekly_cumulative": lambda k: explore.weekly_cumulative(k["ticket"], time="dt_abertura"),
+    "j7_crosstab_row_pct": lambda k: explore.crosstab_row_pct(k["chamada"], by="tp_chamada", on="st_chamada", values=CALL_STATUSES),
+    "j8_trim_outliers_p99": lambda k: explore.duration_summary(_handled(k), by=["tp_chamada"], value="nr_duracao_segundos"),
+    "j9_top10_operators": lambda k: explore.top_n_entities(_productivity(k), by="nr_chamadas", key="id_operador", n=10),
+    "j9_top15_operators": lambda k: explore.top_n_entities(_productivity(k), by="nr_chamadas", key="id_operador", n=15),
+    "j9_top20_operators": lambda k: explore.top_n_entities(_productivity(k), by="nr_chamadas", key="id_operador", n=20),
+    "j9_bottom10_operators": lambda k: explore.top_n_entities(_productivity(k), by="nr_chamadas", key="id_operador", n=10, best=False),
+    "j10_handle_time_vs_goal": lambda k: explore.handle_time_vs_goal(k["chamada"], by=[_month(), "id_fila"]),
+    "j11_abandon_rate_by_queue": lambda k: explore.abandon_rate(k["chamada"], by=["id_fila"]),
+    "j11_abandon_rate_by_month": lambda k: explore.abandon_rate(k["chamada"], by=[_month()]),
+    "j11_abandon_rate_global": lambda k: explore.abandon_rate(k["chamada"], by=[]),
+    "j12_call_sla_20s_by_channel": lambda k: explore.call_sla(k["chamada"], by=["tp_chamada"]),
+    "j12_call_sla_20s_by_queue": lambda k: explore.call_sla(k["chamada"], by=["id_fila"]),
+    "j12_call_sla_20s_by_month": lambda k: explore.call_sla(k["chamada"], by=[_month()]),
+    "j13_channel_mix_monthly": lambda k: explore.channel_mix_monthly(k["chamada"], values=["ENTRADA", "SAIDA"]),
+    "j14_ticket_sla_by_priority": lambda k: explore.ticket_sla_by_priority(k["ticket"]),
+    "j15_fcr_global": lambda k: explore.fcr(_resolved(k), by=[]),
+    "j15_fcr_by_category": lambda k: explore.fcr(_resolved(k), by=["ds_categoria"]),
+    "j15_fcr_by_priority": lambda k: explore.fcr(_resolved(k), by=["ds_prioridade"]),
+    "j16_executive_kpis": lambda k: explore.executive_kpis(k["chamada"], k["ticket"], k["interacao_ticket"]),
+    "j17_quality_stats": lambda k: explore.quality_stats(k["avaliacao_qualidade"]),
+    "j18_correlation": lambda k: explore.correlation(
+        _productivity(k).join(explore.quality_stats(k["avaliacao_qualidade"]), "id_operador"), "nr_chamadas", "nota_media"
+    ),
+    "j19_handle_time_stats": lambda k: explore.handle_time_stats(k["chamada"]),
+    "j20_absence_pct": lambda k: explore.absence_pct(k["jornada_operador"]),
+    "j20_absence_weekday": lambda k: explore.absence_weekday(k["jornada_operador"]),
+    "j21_minmax_normalize": lambda k: explore.minmax_normalize(
+        _matrix(k), {"nr_chamadas": "prod_norm", "nota_media": "qual_norm", "pct_ausencia": "aus_norm"}
+    ),
+    "j22_composite_score": lambda k: explore.composite_score(_matrix(k)),
+    "j23_quadrant": lambda k: explore.quadrant(explore.composite_score(_matrix(k))),
+    "j24_team_summary": lambda k: explore.team_summary(explore.composite_score(_matrix(k))),
+    "j25_linear_trend": lambda k: explore.linear_trend(k["campanha"], x="nr_meta_contatos", y="nr_conversoes"),
+    "j26_contact_conversion_rates": lambda k: explore.contact_conversion_rates(k["campanha"]),
+    "j27_diminishing_returns": lambda k: explore.diminishing_returns(k["discagem"]),
+    "j28_effectiveness_rank": lambda k: explore.effectiveness_rank(k["campanha"], k.size("campanha")),
+    "j28_effectiveness_by_objective": lambda k: explore.effectiveness_by_objective(k["campanha"]),
+    "j29_operator_conversion": lambda k: explore.operator_conversion(k["discagem"], k["operador"]),
+    "j30_dials_by_week": lambda k: explore.dials_by_week(k["discagem"]),
+    "j30_dials_by_hour": lambda k: explore.dials_by_hour(k["discagem"]),
+    "j30_dials_objective_month": lambda k: explore.dials_objective_month(k["discagem"], k["campanha"]),
+    "j31_channel_comparison": lambda k: explore.channel_comparison(k["chat"], k["whatsapp_atendimento"], k["ura_navegacao"]),
+    "j32_chat_enrich": lambda k: explore.chat_enrich(k["chat"], k["mensagem_chat"]),
+    "j33_satisfaction_bins": lambda k: explore.satisfaction_bins(k["whatsapp_atendimento"]),
+    "j34_duration_box_stats": lambda k: explore.box_stats(k["ura_navegacao"], by="ds_opcao_selecionada", value="nr_duracao_segundos"),
+    "j35_self_service_rate": lambda k: explore.self_service_rate(k["ura_navegacao"]),
+}
+for _name, _fn in _EXPLORE.items():
+    register(_name, _fn)

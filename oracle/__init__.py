@@ -9,8 +9,8 @@ CALENDAR = ("1992-01-01", "2030-12-31")
 
 
 def rnd(x: str, n: int = 2) -> str:
-    """Half-up rounding on the decimal text of the value, as Spark rounds doubles."""
-    return f"cast(round(cast({x} as decimal(38, 12)), {n}) as double)"
+    """Half-up rounding in decimal arithmetic, after dropping binary noise."""
+    return f"cast(round(round(cast({x} as decimal(38, 12)), {max(9, n + 6)}), {n}) as double)"
 
 
 def pct(a: str, b: str) -> str:
@@ -44,4 +44,6 @@ def compose(final: str, relations: dict[str, str]) -> str:
     if not order:
         return final
     ctes = ",\n".join(f"{n} as materialized ({relations[n]})" for n in order)
+    if final.lstrip().startswith("with "):
+        return f"with {ctes},\n{final.lstrip()[5:]}"
     return f"with {ctes}\n{final}"

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from atende.plans.silver import SPECS
-from oracle import compose, gold, kpis, reports, silver
+from oracle import compose, exploration, gold, kpis, reports, silver
 
 RELATIONS = {**silver.RELATIONS, **gold.RELATIONS, **kpis.RELATIONS}
 
@@ -42,3 +42,7 @@ for _i, _f in enumerate(
     3,
 ):
     _add(f"f{_i}_{_f}", f"select * from {_f}")
+
+RELATIONS |= exploration.RELATIONS
+for _name, _sql in exploration.FINALS.items():
+    _add(_name, _sql)
