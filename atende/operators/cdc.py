@@ -50,7 +50,11 @@ def quarantine_split(
     df: DataFrame, rules: Sequence[tuple[Column, str]]
 ) -> tuple[DataFrame, DataFrame]:
     """Split into (valid, rejected). Rejected rows keep the reason in ``_motivo_quarentena``."""
-    marked = df.withColumn(REASON, first_reason(rules))
+    return split_marked(df.withColumn(REASON, first_reason(rules)))
+
+
+def split_marked(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(valid, rejected) of rows that carry their rejection reason."""
     return marked.filter(F.col(REASON).isNull()).drop(REASON), marked.filter(
         F.col(REASON).isNotNull()
     )
@@ -76,28 +80,25 @@ def schema_project(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*columns)
 
 
-def run_metrics(read: DataFrame, deduped: DataFrame, rejected: DataFrame) -> DataFrame:
-    """Rows read / after dedup / valid / quarantined as one row (one job, three scans at most)."""
-    def n(df: DataFrame, name: str) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias(name))
+def run_metrics(read: DataFrame, marked: DataFrame) -> DataFrame:
+    """Rows read / after dedup / valid / quarantined as one row.
 
-    return (
-        n(read, "nr_lidos")
-        .crossJoin(n(deduped, "nr_dedup"))
-        .crossJoin(n(rejected, "nr_quarentena"))
-        .select(
-            "nr_lidos",
-            "nr_dedup",
-            (F.col("nr_dedup") - F.col("nr_quarentena")).alias("nr_validos"),
-            "nr_quarentena",
-        )
+    ``marked`` holds the checked rows with their reason, so three of the counts come from one
+    aggregation; the rows read are a plain count of the scan.
+    """
+    checked = marked.agg(
+        F.count(F.lit(1)).alias("nr_dedup"),
+        F.count(F.when(F.col(REASON).isNull(), 1)).alias("nr_validos"),
+        F.count(REASON).alias("nr_quarentena"),
     )
+    return read.agg(F.count(F.lit(1)).alias("nr_lidos")).crossJoin(checked)  # one row each
 
 
 def observe_batch(df: DataFrame, name: str, time: str) -> tuple[DataFrame, Observation]:
     """Count rows and the newest event time while the batch is written, without another job."""
     seen = Observation(name)
+    newest = F.date_format(F.max(time), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     return (
-        df.observe(seen, F.count(F.lit(1)).alias("rows"), F.max(time).alias("max_time")),
+        df.observe(seen, F.count(F.lit(1)).alias("rows"), newest.alias("max_time")),
         seen,
     )

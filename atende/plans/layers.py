@@ -168,14 +168,26 @@ class Lakehouse:
     def path(self, *parts: str) -> str:
         return os.path.join(self.root, *parts)
 
-    def run(self, start: str = "silver", publish_to: str | None = None) -> dict[str, list[str]]:
-        """Build all layers from ``start`` on, wave by wave; later layers are rebuilt.
-
-        silver -> dimensions -> base facts -> dependent facts -> (publish).
+    def closure(self, names: list[str]) -> list[str]:
+        """The named tables and all they are built from."""
+        found: list[str] = []
+        for name in names:
+            found += [n for n in self.closure(self.needs(name)) if n not in found]
+            found += [name] if name not in found else []
+        return found
+
+    def run(
+        self, start: str = "silver", *, only: list[str] | None = None, publish_to: str | None = None
+    ) -> dict[str, list[str]]:
+        """Build the layers from ``start`` on, wave by wave; later layers are rebuilt.
+
+        silver -> dimensions -> base facts -> dependent facts -> (publish). ``only`` limits
+        the run to some tables and what they need.
         """
+        wanted = set(self.closure(only)) if only else {*SILVER_WAVE, *GOLD}
         waves = {
-            "silver": SILVER_WAVE,
-            "gold": [*DIM_WAVE, *BASE_FACT_WAVE, *CHILD_FACT_WAVE],
+            "silver": [n for n in SILVER_WAVE if n in wanted],
+            "gold": [n for n in GOLD if n in wanted],
         }
         first = {"bronze": 0, "silver": 0, "gold": 1, "publish": 2}[start]
         done: dict[str, list[str]] = {}
@@ -189,9 +201,9 @@ class Lakehouse:
         if publish_to:
             from atende.sources.tables import publish_snapshot
 
-            for name in GOLD:
+            for name in waves["gold"]:
                 publish_snapshot(self[name], os.path.join(publish_to, name))
-            done["publish"] = GOLD
+            done["publish"] = waves["gold"]
         return done
 
 

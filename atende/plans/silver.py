@@ -671,7 +671,7 @@ def latest_events(entity: str, bronze: DataFrame, as_of: str, tie_break: str | N
     return cdc.cdc_dedup_latest(cdc.cdc_decode_op(bronze), keys=spec.key, order=order)
 
 
-def build_silver(
+def mark_silver(
     entity: str,
     bronze: DataFrame,
     *,
@@ -679,8 +679,8 @@ def build_silver(
     run_ts: str | None = None,
     tie_break: str | None = None,
     extended: bool = False,
-) -> tuple[DataFrame, DataFrame]:
-    """(valid, rejected) rows of one current-state table.
+) -> DataFrame:
+    """All latest rows of one table, typed and derived, with the rejection reason (or NULL).
 
     ``extended`` keeps the spec's extra columns. The audit column is added only with ``run_ts``.
     """
@@ -704,5 +704,10 @@ def build_silver(
         source, names = spec.partition
         df = df.withColumns(cdc.partition_columns(source, names))
         columns += names
-    valid, rejected = cdc.quarantine_split(df, spec.rules)
-    return cdc.schema_project(valid, columns), cdc.schema_project(rejected, [*columns, cdc.REASON])
+    df = df.withColumn(cdc.REASON, cdc.first_reason(spec.rules))
+    return cdc.schema_project(df, [*columns, cdc.REASON])
+
+
+def build_silver(entity: str, bronze: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
+    """(valid, rejected) rows of one current-state table; options as in :func:`mark_silver`."""
+    return cdc.split_marked(mark_silver(entity, bronze, **options))

@@ -16,6 +16,7 @@ from atende.plans.kpi import (
 )
 from atende.plans.layers import Lakehouse, lake_for
 from atende.plans.silver import SPECS
+from atende.queries_base import BASE
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,6 +35,9 @@ def register(name: str, build: Callable[[Lakehouse], DataFrame]) -> None:
     QUERIES[name] = lambda spark, sf_dir: build(lake_for(spark, sf_dir))
 
 
+for _name, _fn in BASE.items():
+    register(_name, _fn)
+
 for _i, _e in enumerate(SPECS, 1):
     register(f"d{_i}_silver_{_e}", lambda lake, e=_e: lake.silver(e, extended=False)[0])
 

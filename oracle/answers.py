@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from atende.plans.silver import SPECS
-from oracle import compose, exploration, gold, kpis, reports, silver
+from oracle import base, compose, exploration, gold, kpis, reports, silver
 
 RELATIONS = {**silver.RELATIONS, **gold.RELATIONS, **kpis.RELATIONS}
 
@@ -46,3 +46,11 @@ for _i, _f in enumerate(
 RELATIONS |= exploration.RELATIONS
 for _name, _sql in exploration.FINALS.items():
     _add(_name, _sql)
+
+RELATIONS |= base.RELATIONS
+for _name, _sql in base.FINALS.items():
+    _add(_name, _sql)
+_add(
+    "f15_table_counts",
+    " union all ".join(f"select '{g}' as nm_tabela, count(*) as nr_linhas from {g}" for g in gold.TABLES),
+)
