@@ -44,14 +44,13 @@ def derive_date_partitions(
     )
 
 
-def _by_partition(df: DataFrame, by: Sequence[str], files: int) -> DataFrame:
-    """Bring the rows of a partition together in ``files`` tasks, hot partitions included.
+def _by_partition(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Bring the rows of a partition value together before a partitioned write.
 
-    One task per partition value would let a hot date grow without bound, one per input
-    task would write a file per task and date.
+    Without it every task would write a file per date. The rebalance is adaptive: small
+    partitions share a task and a hot date is split over several tasks by its size.
     """
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files))
-    return df.repartition(*[F.col(c) for c in by], salt)
+    return df.hint("rebalance", *[F.col(c) for c in by])
 
 
 def partition_counts(df: DataFrame, by: Sequence[str] = LANDING) -> DataFrame:
@@ -61,7 +60,7 @@ def partition_counts(df: DataFrame, by: Sequence[str] = LANDING) -> DataFrame:
 
 def write_bronze_partitioned(
     df: DataFrame, path: str, *, date: str | None, now: Column | None = None,
-    dry_run: bool = False, files: int = 1,
+    dry_run: bool = False,
 ) -> DataFrame:
     """Land a table as Snappy Parquet by ``ano/mes/dia``; returns rows per partition.
 
@@ -69,7 +68,7 @@ def write_bronze_partitioned(
     """
     landed = derive_date_partitions(df, date=date, now=now)
     if not dry_run:
-        _by_partition(landed, LANDING, files).write.mode("append").partitionBy(*LANDING).option(
+        _by_partition(landed, LANDING).write.mode("append").partitionBy(*LANDING).option(
             "compression", "snappy"
         ).parquet(path)
         # With the schema given, the partition values stay zero-padded text.
@@ -108,22 +107,22 @@ def write_quarantine(rejected: DataFrame, path: str, *, ingested: Column) -> boo
 
 
 def write_table_partitioned(
-    df: DataFrame, path: str, *, by: Sequence[str], files: int = 1, mode: str = "overwrite"
+    df: DataFrame, path: str, *, by: Sequence[str], mode: str = "overwrite"
 ) -> None:
     """Partitioned table; only the partitions that occur in ``df`` are replaced."""
-    _by_partition(df, by, files).write.mode(mode).option(
+    _by_partition(df, by).write.mode(mode).option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy(*by).parquet(path)
 
 
 def reprocess_partition(
-    rebuilt: DataFrame, path: str, *, by: Sequence[str], day: dict[str, object], files: int = 1
+    rebuilt: DataFrame, path: str, *, by: Sequence[str], day: dict[str, object]
 ) -> None:
     """Replace one date's partition by the rebuilt rows of that date; the others stay as they are."""
     only = rebuilt
     for name, value in day.items():
         only = only.filter(F.col(name) == F.lit(value))
-    write_table_partitioned(only, path, by=by, files=files)
+    write_table_partitioned(only, path, by=by)
 
 
 def publish_snapshot(df: DataFrame, path: str) -> None:
