@@ -91,7 +91,8 @@ def run_metrics(read: DataFrame, marked: DataFrame) -> DataFrame:
         F.count(F.when(F.col(REASON).isNull(), 1)).alias("nr_validos"),
         F.count(REASON).alias("nr_quarentena"),
     )
-    return read.agg(F.count(F.lit(1)).alias("nr_lidos")).crossJoin(checked)  # one row each
+    rows = read.agg(F.count(F.lit(1))).scalar()
+    return checked.withColumn("nr_lidos", rows)
 
 
 def observe_batch(df: DataFrame, name: str, time: str) -> tuple[DataFrame, Observation]:

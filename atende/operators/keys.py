@@ -7,7 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from atende.sources.stage import staged
+
 UNKNOWN_KEY = -1
+SINGLE_WINDOW_ROWS = 200_000
 
 
 def position_buckets(df: DataFrame, order: Column, weight: Column, splits: int) -> DataFrame:
@@ -15,7 +18,7 @@ def position_buckets(df: DataFrame, order: Column, weight: Column, splits: int)
 
     Rows are cut into ``splits`` ranges of about equal size at approximate quantiles of
     ``order``; equal values share a bucket and NULLs form the last one. The split points
-    are one row and the bucket totals at most ``splits + 2`` rows, so both are broadcast.
+    are one value and the bucket totals at most ``splits + 2`` rows, hence the broadcast.
     """
     cuts = [i / splits for i in range(1, splits)]
     points = df.agg(
@@ -24,13 +27,21 @@ def position_buckets(df: DataFrame, order: Column, weight: Column, splits: int)
     bucket = F.when(order.isNull(), F.lit(splits + 1)).otherwise(
         F.size(F.filter(F.col("_cuts"), lambda p: p < order))
     )
-    placed = df.crossJoin(F.broadcast(points)).withColumn("_bucket", bucket).drop("_cuts")
+    placed = df.withColumn("_cuts", points.scalar()).withColumn("_bucket", bucket).drop("_cuts")
     totals = placed.groupBy("_bucket").agg(F.sum(weight).alias("_n"))
     earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     before = totals.select("_bucket", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     return placed.join(F.broadcast(before), "_bucket")
 
 
+def order_number(c: Column, kind: str) -> Column:
+    """A number that sorts like the column; for text the first seven bytes."""
+    if kind != "string":
+        return c
+    head = F.rpad(F.substring(F.hex(F.encode(c, "UTF-8")), 1, 14), 14, "0")
+    return F.conv(head, 16, 10).cast("bigint")
+
+
 def surrogate_key_seq(
     df: DataFrame,
     *,
@@ -38,32 +49,29 @@ def surrogate_key_seq(
     name: str,
     existing: DataFrame | None = None,
     splits: int = 64,
-    label_domain: bool = False,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Dense 1..n key by the natural key ``order``.
 
-    The numbering runs in parallel over ranges of the first key column. ``label_domain``
-    marks sources that hold only the distinct labels of a closed list (status, priority,
-    ...), for which one ordered window is enough. With ``existing`` (natural key + key of
-    the stored dimension) known members keep their key and new ones continue after the
-    greatest.
+    The numbering runs in parallel over ranges of the first key column; only an input with a
+    known small bound (``max_rows``) is numbered by one ordered window. With ``existing``
+    (natural key + key of the stored dimension) known members keep their key and new ones
+    continue after the greatest.
     """
     if existing is not None:
         kept = existing.select(*order, name)
-        top = kept.agg(F.coalesce(F.max(F.greatest(F.col(name), F.lit(0))), F.lit(0)).alias("_top"))
+        top = kept.agg(F.coalesce(F.max(F.greatest(F.col(name), F.lit(0))), F.lit(0)).alias("_top")).scalar()
         known = df.join(kept, list(order), "inner")
         fresh = surrogate_key_seq(
             df.join(kept, list(order), "left_anti"),
-            order=order, name=name, splits=splits, label_domain=label_domain,
-        )
-        fresh = fresh.crossJoin(F.broadcast(top)).withColumn(
-            name, (F.col(name) + F.col("_top")).cast("int")
-        )
+            order=order, name=name, splits=splits, max_rows=max_rows,
+        ).withColumn(name, (F.col(name) + top).cast("int"))
         return known.select(*df.columns, name).unionByName(fresh.select(*df.columns, name))
     columns = list(df.columns)
-    if label_domain:
+    if max_rows is not None and max_rows <= SINGLE_WINDOW_ROWS:
         return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("int"))
-    placed = position_buckets(df, F.col(order[0]), F.lit(1), splits)
+    first = order_number(F.col(order[0]), dict(df.dtypes)[order[0]])
+    placed = position_buckets(df, first, F.lit(1), splits)
     within = Window.partitionBy("_bucket").orderBy(*order)
     key = (F.col("_before") + F.row_number().over(within)).cast("int")
     return placed.withColumn(name, key).select(*columns, name)
@@ -90,12 +98,12 @@ def distinct_value_dim(
     Values are normalised before the distinct, and the label of the unknown member is left
     to that member alone, so that no label occurs twice.
     """
-    labels = (
+    labels = staged(
         df.select(F.upper(F.trim(F.col(column))).alias(label))
         .filter(F.col(label).isNotNull() & (F.col(label) != unknown_label))
         .distinct()
     )
-    keyed = surrogate_key_seq(labels, order=[label], name=key, label_domain=True)
+    keyed = surrogate_key_seq(labels, order=[label], name=key, max_rows=labels.count())
     dim = keyed.withColumns(flags or {}).select(key, label, *(flags or {}))
     return unknown_member(dim, {key: UNKNOWN_KEY, label: unknown_label, **(unknown or {})})
 

@@ -7,9 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from atende.operators.keys import position_buckets
-
-SINGLE_WINDOW_ROWS = 200_000
+from atende.operators.keys import SINGLE_WINDOW_ROWS, position_buckets
+from atende.sources.stage import staged
 
 
 def order_by(column: str, descending: bool) -> Column:
@@ -25,7 +24,9 @@ def rank_within(
 
     The window runs over the distinct values of ``by`` per group (with their row counts)
     instead of over the rows, and the rank is joined back. Partition columns must not be NULL.
+    The input is staged, because it is read for the counts and again for the join.
     """
+    df = staged(df)
     counts = df.groupBy(*partition, by).agg(F.count(F.lit(1)).alias("_n"))
     earlier = (
         Window.partitionBy(*partition)
@@ -44,7 +45,10 @@ def rank_within(
 def rank_over_all(
     df: DataFrame, *, by: str, name: str, descending: bool = True, splits: int = 64
 ) -> DataFrame:
-    """``RANK()`` over a whole numeric column without a single-task window."""
+    """``RANK()`` over a whole numeric column without a single-task window.
+
+    ``df`` is read several times: pass a stored or :func:`staged` table.
+    """
     values = df.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
     signed = -F.col(by) if descending else F.col(by)
     placed = position_buckets(values, signed, F.col("_n"), splits)
@@ -76,6 +80,8 @@ def ranked(
         return df.withColumns(
             {n: F.rank().over(window.orderBy(order_by(c, d))) for n, (c, d) in ranks.items()}
         )
+    if not partition:
+        df = staged(df)
     for name, (column, descending) in ranks.items():
         if partition:
             df = rank_within(df, partition=partition, by=column, name=name, descending=descending)
@@ -93,6 +99,7 @@ def row_number_over_all(
     if max_rows is not None and max_rows <= SINGLE_WINDOW_ROWS:
         return df.withColumn(name, F.row_number().over(Window.orderBy(*order)))
     columns = df.columns
+    df = staged(df)
     signed = -F.col(by) if descending else F.col(by)
     placed = position_buckets(df, signed, F.lit(1), splits)
     position = F.col("_before") + F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
@@ -108,11 +115,12 @@ def ntile_over_all(
         order = [order_by(by, descending), F.col(tie)]
         return df.withColumn(name, F.ntile(tiles).over(Window.orderBy(*order)))
     columns = df.columns
+    df = staged(df)
     placed = row_number_over_all(df, by=by, tie=tie, name="_pos", descending=descending)
-    rows = df.agg(F.count(F.lit(1)).alias("_rows"))
-    small, longer = F.floor(F.col("_rows") / tiles), F.col("_rows") % tiles
+    rows = df.agg(F.count(F.lit(1)).alias("_rows")).scalar()
+    small, longer = F.floor(rows / tiles), rows % tiles
     cut = longer * (small + 1)  # rows in the tiles that hold one row more
     tile = F.when(F.col("_pos") <= cut, F.ceil(F.col("_pos") / (small + 1))).otherwise(
         longer + F.ceil((F.col("_pos") - cut) / F.nullif(small, F.lit(0)))
     )
-    return placed.crossJoin(F.broadcast(rows)).withColumn(name, tile.cast("int")).select(*columns, name)
+    return placed.withColumn(name, tile.cast("int")).select(*columns, name)

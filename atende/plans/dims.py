@@ -13,6 +13,7 @@ from atende.operators.keys import (
     surrogate_key_seq,
     unknown_member,
 )
+from atende.sources.stage import staged
 
 NOT_GIVEN = "NAO_INFORMADO"
 
@@ -76,15 +77,12 @@ def dim_cliente(s) -> DataFrame:
         .filter("_rn = 1")
         .select("id_cliente", *place)
     )
-    joined = customers.join(
-        addresses, customers["nk_cliente"] == addresses["id_cliente"], "left"
-    ).drop("id_cliente")
+    keyed = surrogate_key_seq(customers, order=["nk_cliente"], name="sk_cliente")
+    joined = keyed.join(addresses, F.col("nk_cliente") == F.col("id_cliente"), "left").drop("id_cliente")
     filled = joined.withColumns(
         {c: F.coalesce(F.col(c), F.lit("" if c.startswith("nr_") else NOT_GIVEN)) for c in place}
     )
-    dim = surrogate_key_seq(filled, order=["nk_cliente"], name="sk_cliente").select(
-        "sk_cliente", *filled.columns
-    )
+    dim = filled.select("sk_cliente", *customers.columns, *place)
     return unknown_member(
         dim,
         {
@@ -200,13 +198,13 @@ def dim_prioridade_ticket(s, order: tuple[str, ...] = ("CRITICA", "ALTA", "MEDIA
 
 
 def dim_skill(s) -> DataFrame:
-    rows = (
+    rows = staged(
         drop_tombstones(s["skill_operador"])
         .filter(F.col("ds_skill") != R.UNKNOWN)
         .select("ds_skill", "nr_nivel", "ds_faixa_nivel")
         .distinct()
     )
-    keyed = surrogate_key_seq(rows, order=["ds_skill", "nr_nivel"], name="sk_skill", label_domain=True)
+    keyed = surrogate_key_seq(rows, order=["ds_skill", "nr_nivel"], name="sk_skill", max_rows=rows.count())
     dim = keyed.select("sk_skill", "ds_skill", "nr_nivel", "ds_faixa_nivel")
     return unknown_member(
         dim,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from atende.functions.rules import MONTHS, WEEKDAYS, half_up, pct, traffic_light
 from atende.operators.ranks import row_number_over_all
+from atende.operators.scalars import one_row
 from atende.plans.kpi.common import mean, n_if, top
 
 def rows() -> Column:
@@ -24,10 +25,8 @@ def weekday_name(day: str) -> Column:
 def value_counts(df: DataFrame, *, by: str, limit: int | None = None) -> DataFrame:
     """Frequency and share of each value, most frequent first."""
     counts = df.groupBy(by).agg(rows().alias("nr_linhas"))
-    whole = df.agg(rows().alias("_todas"))
-    out = counts.crossJoin(F.broadcast(whole)).select(  # one row
-        by, "nr_linhas", pct(F.col("nr_linhas"), F.col("_todas")).alias("pct_total")
-    )
+    whole = df.agg(rows()).scalar()
+    out = counts.select(by, "nr_linhas", pct(F.col("nr_linhas"), whole).alias("pct_total"))
     return top(out, [("nr_linhas", True), (by, False)], limit)
 
 
@@ -73,16 +72,15 @@ def duration_summary(df: DataFrame, *, by: Sequence[str], value: str, trim: floa
 
     Quantiles are exact; their state is one entry per distinct value (whole seconds here).
     """
-    cut = df.agg(F.percentile(value, F.lit(trim)).alias("nr_corte"))
-    kept = df.crossJoin(F.broadcast(cut)).filter(F.col(value) <= F.col("nr_corte"))  # one row
+    cut = df.agg(F.percentile(value, F.lit(trim))).scalar()
+    kept = df.filter(F.col(value) <= cut)
     v = F.col(value)
     return kept.groupBy(*by).agg(
         rows().alias("nr_linhas"),
         mean(v).alias("nr_media"),
         half_up(F.median(v)).alias("nr_mediana"),
         half_up(F.percentile(v, F.lit(0.95))).alias("nr_p95"),
-        half_up(F.max("nr_corte")).alias("nr_corte"),
-    )
+    ).withColumn("nr_corte", half_up(cut))
 
 
 def box_stats(df: DataFrame, *, by: str, value: str, groups: int | None = 5) -> DataFrame:
@@ -182,9 +180,9 @@ def executive_kpis(calls: DataFrame, tickets: DataFrame, interactions: DataFrame
         pct(n_if((F.col("st_chamada") == "ATENDIDA") & (F.col("nr_espera_segundos") <= 20)), n_if(F.col("st_chamada") == "ATENDIDA")).alias("SLA_CHAMADAS"),
         F.floor(rows() / F.lit(365)).cast("double").alias("CHAMADAS_DIA"),
     )
-    sla = ticket_sla_by_priority(tickets).agg(pct(F.sum("nr_dentro_sla"), F.sum("nr_total")).alias("SLA_TICKETS"))
-    first = fcr(with_escalation(tickets, interactions), by=[]).select(F.col("fcr_pct").alias("FCR"))
-    one = whole.crossJoin(sla).crossJoin(first)  # one row each
+    sla = ticket_sla_by_priority(tickets).agg(pct(F.sum("nr_dentro_sla"), F.sum("nr_total")))
+    first = fcr(with_escalation(tickets, interactions), by=[]).select("fcr_pct")
+    one = whole.withColumns({"SLA_TICKETS": sla.scalar(), "FCR": first.scalar()})
     names = ["TMA", "ABANDONO", "SLA_CHAMADAS", "SLA_TICKETS", "FCR", "CHAMADAS_DIA"]
     value, kpi = F.col("nr_valor"), F.col("nm_kpi")
     met = (
@@ -256,9 +254,9 @@ def minmax_normalize(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     span = df.agg(
         *[F.min(c).alias(f"_min_{c}") for c in columns], *[F.max(c).alias(f"_max_{c}") for c in columns]
     )
-    out = df.crossJoin(F.broadcast(span))  # one row
+    ends, out = one_row(span), df
     for c, name in columns.items():
-        low, high = F.col(f"_min_{c}"), F.col(f"_max_{c}")
+        low, high = ends[f"_min_{c}"], ends[f"_max_{c}"]
         scaled = (F.col(c) - low) / F.nullif((high - low).cast("double"), F.lit(0.0))
         out = out.withColumn(name, half_up(F.when(F.col(c).isNotNull(), F.coalesce(scaled, F.lit(0.0))), 6))
     return out.select(*df.columns, *columns.values())
@@ -286,12 +284,12 @@ def composite_score(matrix: DataFrame, weights: tuple[float, float, float] = (0.
 
 def quadrant(scored: DataFrame) -> DataFrame:
     """Four labels by the two medians."""
-    middle = scored.agg(F.median("prod_norm").alias("_p"), F.median("qual_norm").alias("_q"))
-    busy, good = F.col("prod_norm") >= F.col("_p"), F.col("qual_norm") >= F.col("_q")
+    middle = one_row(scored.agg(F.median("prod_norm").alias("p"), F.median("qual_norm").alias("q")))
+    busy, good = F.col("prod_norm") >= middle["p"], F.col("qual_norm") >= middle["q"]
     label = (
         F.when(busy & good, "Estrela").when(busy, "Eficiente").when(good, "Qualificado").otherwise("Desenvolvimento")
     )
-    return scored.crossJoin(F.broadcast(middle)).withColumn("quadrante", label).drop("_p", "_q")  # one row
+    return scored.withColumn("quadrante", label)
 
 
 def team_summary(scored: DataFrame) -> DataFrame:

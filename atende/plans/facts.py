@@ -236,12 +236,8 @@ def _with_channel(df: DataFrame, dims, channel: int | str) -> DataFrame:
     """Constant channel key; a channel name is looked up once (fallback 1)."""
     if isinstance(channel, int):
         return df.withColumn("sk_canal", F.lit(channel))
-    found = (
-        dims["dim_canal"]
-        .filter(F.upper("nm_canal") == channel)
-        .agg(F.coalesce(F.min("sk_canal"), F.lit(1)).alias("sk_canal"))
-    )
-    return df.crossJoin(F.broadcast(found))  # one row
+    found = dims["dim_canal"].filter(F.upper("nm_canal") == channel).agg(F.min("sk_canal")).scalar()
+    return df.withColumn("sk_canal", F.coalesce(found, F.lit(1)))
 
 
 def build_fact(name: str, t, *, extended: bool = False) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from atende.functions.rules import half_up, pct
-from atende.operators.lookup import with_dim
+from atende.operators.scalars import one_row
 from atende.operators.ranks import ranked
 from atende.plans.kpi.common import bound, mean, mean_if, n, n_if, optional, top, with_day
 
@@ -102,10 +102,9 @@ def kpi02_consolidated(t) -> DataFrame:
 def kpi02_ranking(t, weights: dict[str, float] = WEIGHTS, limit: int | None = 100) -> DataFrame:
     """Operators against the team mean, three ranks and their weighted sum."""
     people = kpi02_consolidated(t).filter("nr_total_chamadas > 0")
-    team = people.agg(F.avg("nr_tma_segundos").alias("_tma"), F.avg("nr_nota_geral_media").alias("_nota"))
-    rows = people.crossJoin(F.broadcast(team))  # one row
+    team = one_row(people.agg(F.avg("nr_tma_segundos").alias("tma"), F.avg("nr_nota_geral_media").alias("nota")))
     rows = ranked(
-        rows,
+        people,
         {
             "rank_volume": ("nr_total_chamadas", True),
             "rank_qualidade": ("nr_nota_geral_media", True),
@@ -119,8 +118,8 @@ def kpi02_ranking(t, weights: dict[str, float] = WEIGHTS, limit: int | None = 10
         "nr_tma_minutos", "nr_nota_geral_media", "nr_nota_comunicacao_media",
         "nr_nota_resolucao_media", "nr_avaliacoes", "pct_excelentes", "pct_criticas",
         "nr_horas_trabalhadas", "pct_presenca", "nr_calls_por_hora", "pct_chamadas_completas",
-        pct(F.col("nr_tma_segundos") - F.col("_tma"), F.col("_tma")).alias("pct_desvio_tma"),
-        pct(F.col("nr_nota_geral_media") - F.col("_nota"), F.col("_nota")).alias("pct_desvio_nota"),
+        pct(F.col("nr_tma_segundos") - team["tma"], team["tma"]).alias("pct_desvio_tma"),
+        pct(F.col("nr_nota_geral_media") - team["nota"], team["nota"]).alias("pct_desvio_nota"),
         *weights,
         half_up(score, 2).alias("score_ranking_composto"),
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from atende.functions.rules import half_up, pct
 from atende.operators.lookup import with_dim
+from atende.operators.scalars import one_row
 from atende.operators.ranks import ranked
 from atende.plans.kpi.common import (
     bound, mean, n, n_if, one_if, optional, top, with_day, year_month,
@@ -70,20 +71,21 @@ def kpi03_by_operator(t, limit: int | None = 100) -> DataFrame:
         F.min("nr_nota_geral").alias("nr_nota_minima"),
         F.max("nr_nota_geral").alias("nr_nota_maxima"),
     )
-    overall = base.agg(mean("nr_nota_geral").alias("media_equipe_geral"))
+    overall = one_row(base.agg(mean("nr_nota_geral").alias("media_equipe_geral")))
     score, team = F.col("nr_nota_geral_media"), F.col("media_equipe_geral")
     profile = F.lit("MISTO")
     for band in reversed(BANDS):
         profile = F.when(F.col(f"pct_{band.lower()}") >= 50, f"PREDOMINANTEMENTE_{band}").otherwise(profile)
-    rows = per_operator.crossJoin(F.broadcast(overall)).withColumns(
+    rows = per_operator.withColumns(overall).withColumns(
         {
             "desvio_vs_media": half_up(score - team, 2),
             "ds_situacao_vs_media": F.when(score < team, "ABAIXO_DA_MEDIA").otherwise("NA_MEDIA_OU_ACIMA"),
             "ds_perfil_qualidade": profile,
         }
     )
-    # An operator has one row per evaluator, hence no bound by the operator dimension.
-    rows = ranked(rows, {"rank_qualidade": ("nr_nota_geral_media", True)}, max_rows=None)
+    operators, evaluators = bound(t, "dim_operador"), bound(t, "dim_supervisor")
+    most = None if operators is None or evaluators is None else operators * evaluators
+    rows = ranked(rows, {"rank_qualidade": ("nr_nota_geral_media", True)}, max_rows=most)
     order = [("nr_nota_geral_media", True), ("nr_total_avaliacoes", True), ("sk_operador", False), ("nm_supervisor", False)]
     return top(rows, order, limit)
 

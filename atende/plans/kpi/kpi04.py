@@ -119,10 +119,9 @@ def kpi04_by_category(t) -> DataFrame:
 
 def kpi04_status_share(t) -> DataFrame:
     base = kpi04_base(t)
-    all_rows = base.agg(F.count(F.lit(1)).alias("_todos"))
+    all_rows = base.agg(F.count(F.lit(1))).scalar()
     return (
         base.groupBy("ds_status_ticket")
         .agg(n("sk_ticket").alias("nr_tickets"))
-        .crossJoin(F.broadcast(all_rows))  # one row
-        .select("ds_status_ticket", "nr_tickets", pct(F.col("nr_tickets"), F.col("_todos")).alias("pct_do_total"))
+        .select("ds_status_ticket", "nr_tickets", pct(F.col("nr_tickets"), all_rows).alias("pct_do_total"))
     )

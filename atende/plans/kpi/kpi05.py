@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from atende.functions.rules import half_up, ladder, pct, traffic_light
 from atende.operators.ranks import ranked
+from atende.operators.scalars import one_row
 from atende.plans.kpi.common import (
     SLA_HOURS, bound, mean_if, n, n_if, one_if, top, year_month,
 )
@@ -67,11 +68,11 @@ def _by_category(base: DataFrame, t) -> DataFrame:
 def kpi05_mttr_category(t, limit: int | None = 100) -> DataFrame:
     base = kpi05_base(t)
     backlog = kpi05_backlog(t).groupBy("ds_categoria_ticket").agg(F.sum("nr_backlog").alias("_backlog"))
-    overall = kpi05_fcr_global(t).select("pct_fcr_global", "nr_mttr_global_horas")
+    overall = one_row(kpi05_fcr_global(t).select("pct_fcr_global", "nr_mttr_global_horas"))
     out = (
         _by_category(base, t)
         .join(backlog, "ds_categoria_ticket", "left")
-        .crossJoin(F.broadcast(overall))  # one row
+        .withColumns(overall)
         .withColumns(
             {
                 "nr_backlog_atual": F.coalesce("_backlog", F.lit(0)),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from atende.functions.rules import half_up, pct, ratio, traffic_light
 from atende.operators.lookup import with_dim
+from atende.operators.scalars import one_row
 from atende.operators.ranks import ranked
 from atende.plans.kpi.common import bound, mean, n, n_if, one_if, top, with_day, year_month
 
@@ -63,13 +64,15 @@ def kpi10_attendance(t, limit: int | None = 100) -> DataFrame:
             ratio(hours, _is("PRESENTE")).alias("nr_horas_medias_por_dia"),
         )
     )
-    team = people.agg(
-        mean("pct_taxa_presenca").alias("media_presenca_equipe"),
-        mean("pct_taxa_absenteismo").alias("media_absenteismo_equipe"),
-        mean("nr_chamadas_por_hora").alias("media_calls_hora_equipe"),
+    team = one_row(
+        people.agg(
+            mean("pct_taxa_presenca").alias("media_presenca_equipe"),
+            mean("pct_taxa_absenteismo").alias("media_absenteismo_equipe"),
+            mean("nr_chamadas_por_hora").alias("media_calls_hora_equipe"),
+        )
     )
     pace, usual = F.col("nr_chamadas_por_hora"), F.col("media_calls_hora_equipe")
-    rows = people.crossJoin(F.broadcast(team)).withColumns(  # one row
+    rows = people.withColumns(team).withColumns(
         {
             "desvio_presenca_vs_media": half_up(F.col("pct_taxa_presenca") - F.col("media_presenca_equipe"), 2),
             "desvio_produtividade_vs_media": half_up(pace - usual, 2),

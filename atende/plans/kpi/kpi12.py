@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from atende.functions.rules import half_up, ladder, pct, traffic_light
 from atende.operators.ranks import ranked
+from atende.operators.scalars import one_row
 from atende.plans.kpi.common import mean, n, n_if, optional, top, with_day, year_month
 
 
@@ -60,9 +61,9 @@ def kpi12_daily(t, limit: int | None = 100) -> DataFrame:
         mean("nr_nivel_menu").alias("nr_nivel_medio_menu"),
         F.max(TIME).alias("nr_tempo_max_navegacao_seg"),
     )
-    overall = kpi12_global(t).drop("nr_total_sessoes")
+    overall = one_row(kpi12_global(t).drop("nr_total_sessoes"))
     seconds = F.col("nr_tempo_medio_navegacao_seg")
-    out = daily.crossJoin(F.broadcast(overall)).withColumns(  # one row
+    out = daily.withColumns(overall).withColumns(
         {
             "desvio_autoatendimento_vs_global": half_up(
                 F.col("pct_taxa_autoatendimento") - F.col("pct_autoatendimento_global"), 2
@@ -79,7 +80,7 @@ def kpi12_daily(t, limit: int | None = 100) -> DataFrame:
 
 def kpi12_top_flows(t) -> DataFrame:
     base = kpi12_base(t)
-    whole = base.agg(F.count(F.lit(1)).alias("_todos"))
+    whole = base.agg(F.count(F.lit(1))).scalar()
     out = (
         base.groupBy("ds_fluxo_ura", "ds_opcao_selecionada")
         .agg(
@@ -89,9 +90,7 @@ def kpi12_top_flows(t) -> DataFrame:
             pct(_moved(), n(ROWS)).alias("pct_transferencia_fluxo"),
             mean(TIME).alias("nr_tempo_medio_seg"),
         )
-        .crossJoin(F.broadcast(whole))  # one row
-        .withColumn("pct_acessos_total", pct(F.col("nr_acessos"), F.col("_todos")))
-        .drop("_todos")
+        .withColumn("pct_acessos_total", pct(F.col("nr_acessos"), whole))
     )
     return ranked(out, {"rank_acesso": ("nr_acessos", True)}, max_rows=None)
 

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import hashlib
 import os
-import tempfile
 import threading
 from concurrent.futures import ThreadPoolExecutor
 
@@ -21,6 +20,7 @@ from atende.plans import dims
 from atende.plans.facts import FACTS, build_fact
 from atende.plans.silver import SPECS, build_silver
 from atende.sources import bindings
+from atende.sources.stage import work_dir
 
 AS_OF = "2024-01-16"
 CALENDAR = ("1992-01-01", "2030-12-31")
@@ -51,20 +51,6 @@ GOLD = DIM_WAVE + BASE_FACT_WAVE + CHILD_FACT_WAVE
 LAYERS = ("bronze", "silver", "gold", "publish")
 
 
-def work_dir(spark: SparkSession) -> str:
-    """Shared folder for stored tables: ``spark.checkpoint.dir``, never a node-local one.
-
-    A temporary folder is made only where the setting is missing and the master is local.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="atende-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return os.path.join(root, f"atende-{spark.sparkContext.applicationId}")
-
-
 def build_dim(name: str, spark: SparkSession, t, calendar: tuple[str, str] = CALENDAR) -> DataFrame:
     if name == "dim_data":
         return dims.dim_data(spark, *calendar)

@@ -7,8 +7,6 @@ the valid rows into the current-state table and appends the rejected ones.
 
 from __future__ import annotations
 
-import os
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +16,8 @@ from pyspark.sql import types as T
 from atende.functions.casts import event_time
 from atende.operators.cdc import observe_batch, split_marked
 from atende.operators.merge import merge_upsert_if_changed
-from atende.plans.layers import work_dir
 from atende.plans.silver import mark_silver, silver_spec
+from atende.sources.stage import staged
 from atende.sources.tables import write_quarantine
 
 EPOCH = "1970-01-01T00:00:00Z"
@@ -102,16 +100,14 @@ def merge_batch(
     The batch is read once: its typed and checked rows are staged as a table, while the rows
     read are counted and the newest event time is found. Merge and quarantine read the stage.
     """
-    spark = batch.sparkSession
     counted, seen = observe_batch(
         batch.withColumn("_event", event_time("_timestamp")), f"batch_{entity}", "_event"
     )
-    stage = os.path.join(work_dir(spark), "stage", uuid.uuid4().hex)
-    mark_silver(entity, counted, as_of=as_of, tie_break=tie_break).write.parquet(stage)
+    marked = staged(mark_silver(entity, counted, as_of=as_of, tie_break=tie_break))
     result = dict(seen.get)
     if not result.get("rows"):
         return {"rows": 0, "max_time": None}
-    valid, rejected = split_marked(spark.read.parquet(stage))
+    valid, rejected = split_marked(marked)
     current = table.read()
     if current is not None:
         valid = merge_upsert_if_changed(

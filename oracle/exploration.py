@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from oracle import flag, pct, rnd
-from oracle.gold import pick
+
 from oracle.kpis import avg, cnt, light
 
 FINALS: dict[str, str] = {}
