@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from atende.sources.stage import staged
+from atende.sources.tables import write_table_partitioned
+
 
 def _merge(
     target: DataFrame, source: DataFrame, keys: Sequence[str], take_source: Column
@@ -49,3 +52,34 @@ def merge_upsert_if_changed(
 def merge_upsert_all(target: DataFrame, source: DataFrame, *, keys: Sequence[str]) -> DataFrame:
     """Type-1 upsert: every matched row is replaced, the others are inserted."""
     return _merge(target, source, keys, F.lit(True))
+
+
+def merge_into_partitions(
+    path: str,
+    source: DataFrame,
+    *,
+    keys: Sequence[str],
+    by: Sequence[str],
+    merge: Callable[..., DataFrame] = merge_upsert_if_changed,
+    **options: object,
+) -> None:
+    """Merge a batch into a partitioned Parquet table, rewriting only the partitions it touches.
+
+    Touched are the partitions of the batch's rows and those where its keys lie now, so a
+    row whose date changed leaves its old partition. To find the latter only the key columns
+    of the table are read. The merged rows are staged before anything is replaced, and the
+    same batch can be merged again after a failure.
+    """
+    spark = source.sparkSession
+    source = staged(source)
+    target = spark.read.schema(source.schema).parquet(path)
+    known = target.join(source.select(*keys), list(keys), "left_semi").select(*by)
+    touched = staged(known.unionByName(source.select(*by)).distinct())
+    affected = target.join(touched, list(by), "left_semi").select(*source.columns)
+    merged = staged(merge(affected, source, keys=keys, **options))
+    write_table_partitioned(merged, path, by=by)
+    # A partition that lost all its rows is not in the output: replace it by an empty one.
+    emptied = touched.join(merged.select(*by).distinct(), list(by), "left_anti")
+    for day in emptied.collect():  # at most one row per touched partition
+        folder = "/".join(f"{c}={day[c]}" for c in by)
+        merged.filter(F.lit(False)).drop(*by).write.mode("overwrite").parquet(f"{path}/{folder}")

@@ -17,7 +17,6 @@ from atende.plans.kpi.kpi04 import target_hours, tickets
 RESOLUTION_BANDS = [
     (60, "MENOS_1H"), (240, "1H_A_4H"), (480, "4H_A_8H"), (1440, "8H_A_24H"), (4320, "24H_A_72H"),
 ]
-ACCURACY = 10000
 
 
 def kpi05_base(t, hours: dict[str, int] = SLA_HOURS) -> DataFrame:
@@ -48,15 +47,23 @@ def _mean_hours():
     return F.avg(F.when(_done(), F.col("nr_tempo_resolucao_horas")))
 
 
+def _quantile(q: float):
+    """Exact quantile of the hours, open tickets counting as 0.
+
+    Its state is one counter per distinct value; hours have two decimals, so it grows with
+    the range of the hours and not with the tickets.
+    """
+    return F.expr(f"percentile_disc({q}) within group (order by coalesce(nr_tempo_resolucao_horas, 0D))")
+
+
 def _by_category(base: DataFrame, t) -> DataFrame:
-    hours = F.coalesce("nr_tempo_resolucao_horas", F.lit(0.0))
     out = base.groupBy("ds_categoria_ticket").agg(
         n("sk_ticket").alias("nr_total_tickets"),
         n_if(_done()).alias("nr_tickets_resolvidos"),
         half_up(_mean_hours(), 2).alias("nr_mttr_horas"),
         half_up(_mean_hours() / F.lit(24.0), 2).alias("nr_mttr_dias"),
-        F.percentile_approx(hours, 0.5, ACCURACY).alias("nr_mttr_mediana_horas"),
-        F.percentile_approx(hours, 0.9, ACCURACY).alias("nr_mttr_p90_horas"),
+        _quantile(0.5).alias("nr_mttr_mediana_horas"),
+        _quantile(0.9).alias("nr_mttr_p90_horas"),
         F.min(F.when(_done(), F.col("nr_tempo_resolucao_horas"))).alias("nr_mttr_minimo"),
         F.max(F.when(_done(), F.col("nr_tempo_resolucao_horas"))).alias("nr_mttr_maximo"),
         _fcr().alias("pct_fcr"),

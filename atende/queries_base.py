@@ -312,6 +312,15 @@ def b14_merge_upsert_if_changed(lake):
     return merge.merge_upsert_if_changed(target, source, keys=["id_chamada"])
 
 
+@query
+def b14_merge_into_partitions(lake):
+    """The same merge on a table partitioned by date, in place."""
+    (target, source), path, by = _batches(lake), _fresh(lake, "merge"), ("ano", "mes", "dia")
+    tables.write_table_partitioned(target, path, by=by)
+    merge.merge_into_partitions(path, source, keys=["id_chamada"], by=by)
+    return lake.spark.read.schema(target.schema).parquet(path)
+
+
 @query
 def b14_merge_apply_deletes(lake):
     """The updates arrive first and the original events late: only newer rows get in, deletes do."""

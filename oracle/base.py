@@ -79,6 +79,7 @@ def merged(old: int, new: int, take: str) -> str:
 
 DIFFERS = "o.hash_registro is distinct from n.hash_registro"
 FINALS["b14_merge_upsert_if_changed"] = merged(0, 1, DIFFERS)
+FINALS["b14_merge_into_partitions"] = merged(0, 1, DIFFERS)
 FINALS["b14_merge_apply_deletes"] = merged(1, 0, f"({DIFFERS} or o.op_cdc <> n.op_cdc) and coalesce(n.dt_cdc_evento >= o.dt_cdc_evento, true)")
 FINALS["b15_merge_upsert_all"] = "select o_orderkey, o_custkey, case when o_orderstatus <> 'F' then lower(o_orderstatus) else o_orderstatus end as o_orderstatus, o_totalprice from orders"
 FINALS["b16_add_audit_columns"] = "select *, timestamp '2024-01-16 01:00:00' as dt_ingestao_silver from region"

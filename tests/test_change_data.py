@@ -12,6 +12,7 @@ from atende.operators import cdc, merge
 from atende.plans.layers import AS_OF
 from atende.plans.silver import SPECS, build_silver, mark_silver
 from atende.sources import bindings
+from atende.sources.tables import write_table_partitioned
 from atende.streaming.incremental import VersionedTable, WatermarkStore, merge_batch, run_incremental, run_with_watermark
 
 EVENT = "id string, v string, Op string, _timestamp string, _seq bigint"
@@ -94,6 +95,24 @@ def test_merge_upsert_all_replaces_and_inserts(spark):
     assert plain(merge.merge_upsert_all(target, source, keys=["k"])) == [(1, "a"), (2, None), (3, "c")]
 
 
+def test_partition_merge_rewrites_only_touched_partitions(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "id int, hash_registro string, dia int"
+    target = spark.createDataFrame([(1, "a", 1), (2, "a", 2), (3, "a", 3), (4, "a", 3)], schema)
+    write_table_partitioned(target, path, by=["dia"])
+
+    def files():
+        return {p.name for p in (tmp_path / "t").glob("dia=3/*.parquet")}
+
+    before = files()
+    # 1 moves from day 1 (its only row) to day 2, 5 is new on day 4, day 3 is not touched
+    batch = spark.createDataFrame([(1, "b", 2), (5, "b", 4)], schema)
+    for _ in range(2):  # merging the batch again changes nothing
+        merge.merge_into_partitions(path, batch, keys=["id"], by=["dia"])
+        got = spark.read.schema(schema).parquet(path)
+        assert plain(got) == [(1, "b", 2), (2, "a", 2), (3, "a", 3), (4, "a", 3), (5, "b", 4)]
+    assert files() == before
+
+
 def test_merge_with_composite_key_and_empty_target(spark):
     source = spark.createDataFrame([(1, 1, "x"), (1, 2, "y")], "a int, b int, hash_registro string")
     empty = source.filter("false")
