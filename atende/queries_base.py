@@ -55,8 +55,8 @@ def a2_scan_parquet(lake):
 
 @query
 def a3_scan_catalog(lake):
-    lake.source("nation").createOrReplaceTempView("catalogo_nacao")
-    return tables.scan_catalog(lake.spark, "catalogo_nacao").select("n_nationkey", "n_name")
+    lake.source("orders").createOrReplaceTempView("catalogo_pedidos")
+    return tables.scan_catalog(lake.spark, "catalogo_pedidos").select("o_orderkey", "o_orderstatus")
 
 
 def _now():
@@ -340,7 +340,7 @@ def b15_merge_upsert_all(lake):
 
 @query
 def b16_add_audit_columns(lake):
-    return cdc.add_audit_columns(lake.source("region"), name="dt_ingestao_silver", run_ts="2024-01-16 01:00:00")
+    return cdc.add_audit_columns(lake.source("supplier"), name="dt_ingestao_silver", run_ts="2024-01-16 01:00:00")
 
 
 @query
@@ -437,10 +437,29 @@ def e1_surrogate_key_stable(lake):
 
 @query
 def e2_unknown_member(lake):
-    rows = lake.source("region").select(F.col("r_regionkey").alias("sk"), F.col("r_name").alias("nm"))
+    rows = lake.source("customer").select(F.col("c_custkey").alias("sk"), F.col("c_name").alias("nm"))
     return keys.unknown_member(rows, {"sk": -1, "nm": rules.UNKNOWN})
 
 
+@query
+def e7_dim_canal(lake):
+    """The channel list with the sessions of each channel."""
+    facts = [lake[f].select("sk_canal") for f in ("fato_chamada", "fato_chat", "fato_whatsapp")]
+    used = reduce(DataFrame.unionByName, facts).groupBy("sk_canal").agg(F.count(F.lit(1)).alias("_n"))
+    return lake.plan("dim_canal").join(used, "sk_canal", "left").withColumn(
+        "nr_atendimentos", F.coalesce("_n", F.lit(0))
+    ).drop("_n")
+
+
+@query
+def e11_dim_data(lake):
+    """The calendar with the tickets opened per day."""
+    opened = lake["fato_ticket"].groupBy(F.col("sk_data_abertura").alias("sk_data")).agg(F.count(F.lit(1)).alias("_n"))
+    return lake.plan("dim_data").join(opened, "sk_data", "left").withColumn(
+        "nr_tickets", F.coalesce("_n", F.lit(0))
+    ).drop("_n")
+
+
 @query
 def f1_resolve_keys(lake):
     """Calls without a match per dimension role."""

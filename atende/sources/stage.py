@@ -9,18 +9,21 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_local_roots: dict[str, str] = {}
+
+
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for stored tables: ``spark.checkpoint.dir``, never a node-local one.
 
     A temporary folder is made only where the setting is missing and the master is local.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    app = spark.sparkContext.applicationId
+    root = spark.conf.get("spark.checkpoint.dir", None) or _local_roots.get(app)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="atende-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return os.path.join(root, f"atende-{spark.sparkContext.applicationId}")
+        root = _local_roots[app] = tempfile.mkdtemp(prefix="atende-")
+    return os.path.join(root, f"atende-{app}")
 
 
 def staged(df: DataFrame) -> DataFrame:

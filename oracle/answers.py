@@ -28,8 +28,8 @@ DIM_QUERIES = {
     "e3_dim_status_chamada": "dim_status_chamada", "e3_dim_status_ticket": "dim_status_ticket",
     "e3_dim_categoria_ticket": "dim_categoria_ticket", "e3_dim_prioridade_ticket": "dim_prioridade_ticket",
     "e4_dim_skill": "dim_skill", "e5_dim_campanha": "dim_campanha", "e6_dim_fila": "dim_fila",
-    "e7_dim_canal": "dim_canal", "e8_dim_cliente": "dim_cliente", "e9_dim_operador": "dim_operador",
-    "e10_dim_supervisor": "dim_supervisor", "e11_dim_data": "dim_data",
+    "e8_dim_cliente": "dim_cliente", "e9_dim_operador": "dim_operador",
+    "e10_dim_supervisor": "dim_supervisor",
 }
 for _name, _dim in DIM_QUERIES.items():
     _add(_name, f"select * from {_dim}")

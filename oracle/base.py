@@ -15,7 +15,7 @@ UNK = "'DESCONHECIDO'"
 # An empty CSV field is NULL.
 FINALS["a1_scan_csv_strings"] = "select nullif(columns(* exclude (_seq)), '') from bz_cliente"
 FINALS["a2_scan_parquet"] = "select o_orderkey, o_custkey from orders where o_orderdate >= timestamp '1998-01-01'"
-FINALS["a3_scan_catalog"] = "select n_nationkey, n_name from nation"
+FINALS["a3_scan_catalog"] = "select o_orderkey, o_orderstatus from orders"
 
 
 def land(c: str) -> str:
@@ -82,7 +82,7 @@ FINALS["b14_merge_upsert_if_changed"] = merged(0, 1, DIFFERS)
 FINALS["b14_merge_into_partitions"] = merged(0, 1, DIFFERS)
 FINALS["b14_merge_apply_deletes"] = merged(1, 0, f"({DIFFERS} or o.op_cdc <> n.op_cdc) and coalesce(n.dt_cdc_evento >= o.dt_cdc_evento, true)")
 FINALS["b15_merge_upsert_all"] = "select o_orderkey, o_custkey, case when o_orderstatus <> 'F' then lower(o_orderstatus) else o_orderstatus end as o_orderstatus, o_totalprice from orders"
-FINALS["b16_add_audit_columns"] = "select *, timestamp '2024-01-16 01:00:00' as dt_ingestao_silver from region"
+FINALS["b16_add_audit_columns"] = "select *, timestamp '2024-01-16 01:00:00' as dt_ingestao_silver from supplier"
 FINALS["b17_partition_columns"] = "select id_ticket, cast(year(dt_abertura) as int) as ano, cast(month(dt_abertura) as int) as mes, cast(day(dt_abertura) as int) as dia from sv_ticket"
 FINALS["b18_run_metrics"] = "select (select count(*) from bz_chamada) as nr_lidos, count(*) as nr_dedup, count(*) - count(motivo) as nr_validos, count(motivo) as nr_quarentena from qz_chamada"
 FINALS["b19_drop_tombstones"] = f"select op_cdc, {C} as nr_linhas from sv_discagem where op_cdc <> 'DELETE' group by 1"
@@ -131,7 +131,10 @@ FINALS["e1_surrogate_key_seq"] = "select c_custkey, cast(row_number() over (orde
 FINALS["e1_surrogate_key_stable"] = f"""select c_custkey, c_mktsegment, cast(case when k then row_number() over (partition by k order by c_custkey)
   else (select count(*) from customer where c_mktsegment in ('BUILDING', 'MACHINERY')) + row_number() over (partition by k order by c_custkey) end as int) as sk
 from (select *, c_mktsegment in ('BUILDING', 'MACHINERY') as k from customer)"""
-FINALS["e2_unknown_member"] = f"select r_regionkey as sk, r_name as nm from region union all select -1, {UNK}"
+FINALS["e2_unknown_member"] = f"select c_custkey as sk, c_name as nm from customer union all select -1, {UNK}"
+FINALS["e7_dim_canal"] = """select c.*, coalesce(n, 0) as nr_atendimentos from dim_canal c left join (select sk_canal, count(*) as n from
+  (select sk_canal from fato_chamada union all select sk_canal from fato_chat union all select sk_canal from fato_whatsapp) group by 1) u using (sk_canal)"""
+FINALS["e11_dim_data"] = """select d.*, coalesce(n, 0) as nr_tickets from dim_data d left join (select sk_data_abertura as sk_data, count(*) as n from fato_ticket group by 1) using (sk_data)"""
 FINALS["f1_resolve_keys"] = "select count(*) as nr_linhas, " + ", ".join(
     f"{cnt(f'{c} = -1')} as {c}" for c in ("sk_cliente", "sk_operador", "sk_fila", "sk_status_chamada", "sk_data_inicio", "sk_data_fim")) + " from fato_chamada"
 FINALS["f2_fact_key"] = "select count(*) as nr_linhas, count(distinct sk_discagem) as nr_chaves, max(sk_discagem) as nr_maior from fato_discagem"

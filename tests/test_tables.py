@@ -2,9 +2,11 @@
 
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from atende.sources import tables
+from atende.sources.stage import staged, work_dir
 
 def now():
     return F.lit("2024-02-03").cast("timestamp")
@@ -80,3 +82,24 @@ def test_parquet_filter_reaches_the_scan(spark, sf_dir):
     df = tables.scan_parquet(spark, f"{sf_dir}/orders.parquet", F.col("o_orderkey") > 1000).select("o_orderkey")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(o_orderkey,1000)" in plan and "ReadSchema: struct<o_orderkey:bigint>" in plan
+
+
+class _Session:
+    """Stands in for a session with given settings (the real one cannot change them)."""
+
+    def __init__(self, master, folder):
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: folder)})()
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": f"app-{master}"})()
+
+
+def test_work_folder_follows_the_session_and_is_never_local_on_a_cluster():
+    assert work_dir(_Session("yarn", "/shared")) == "/shared/atende-app-yarn"
+    with pytest.raises(ValueError):
+        work_dir(_Session("yarn", None))
+    local = _Session("local[2]", None)
+    assert work_dir(local) == work_dir(local)
+
+
+def test_staged_rows_equal_the_input(spark):
+    df = spark.range(10).selectExpr("id", "cast(null as date) d", "id % 2 = 0 as b")
+    assert plain(staged(df)) == plain(df) and staged(df).dtypes == df.dtypes
