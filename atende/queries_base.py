@@ -92,7 +92,8 @@ def a7_watermark_advance(lake):
 def a8_incremental_files(lake):
     """Two landings of the same table, each picked up once by the file stream."""
     root = _fresh(lake, "stream")
-    source, table = os.path.join(root, "landed"), incremental.VersionedTable(lake.spark, os.path.join(root, "table"))
+    source = os.path.join(root, "landed")
+    table = incremental.PartitionedTable(lake.spark, os.path.join(root, "table"), ("ano", "mes", "dia"))
     rows = lake.bronze("whatsapp_atendimento")
     early = F.col("_timestamp") < "2024-01-16"
 

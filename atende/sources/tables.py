@@ -62,9 +62,10 @@ def write_bronze_partitioned(
     df: DataFrame, path: str, *, date: str | None, now: Column | None = None,
     dry_run: bool = False,
 ) -> DataFrame:
-    """Land a table as Snappy Parquet by ``ano/mes/dia``; returns rows per partition.
+    """Land a table as Snappy Parquet by ``ano/mes/dia``.
 
-    A dry run only counts.
+    Returns the rows per partition that the landing folder holds after the write; a dry run
+    writes nothing and counts the batch.
     """
     landed = derive_date_partitions(df, date=date, now=now)
     if not dry_run:

@@ -7,7 +7,7 @@ the valid rows into the current-state table and appends the rejected ones.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,10 +15,10 @@ from pyspark.sql import types as T
 
 from atende.functions.casts import event_time
 from atende.operators.cdc import observe_batch, split_marked
-from atende.operators.merge import merge_upsert_if_changed
+from atende.operators.merge import merge_into_partitions, merge_upsert_if_changed
 from atende.plans.silver import mark_silver, silver_spec
 from atende.sources.stage import staged
-from atende.sources.tables import write_quarantine
+from atende.sources.tables import write_quarantine, write_table_partitioned
 
 EPOCH = "1970-01-01T00:00:00Z"
 
@@ -55,12 +55,8 @@ class WatermarkStore:
         )
 
 
-class VersionedTable:
-    """A Parquet table that is replaced as a whole: each version is a new folder.
-
-    A merge never overwrites files that it still reads. The version log gets its line only
-    after the new files are complete, so a lost job leaves the previous version in place.
-    """
+class _LoggedTable:
+    """A stored table with a log that gets a line after each finished write."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
@@ -74,20 +70,49 @@ class VersionedTable:
     def version(self) -> int:
         return self.spark.read.schema("version int").json(f"{self.path}/log").agg(F.max("version")).first()[0]
 
+
+class VersionedTable(_LoggedTable):
+    """A Parquet table that is replaced as a whole: each version is a new folder.
+
+    For small tables. A merge never overwrites files that it still reads, and a lost job
+    leaves the previous version in place.
+    """
+
     def read(self) -> DataFrame | None:
         current = self.version()
         return self.spark.read.parquet(f"{self.path}/data/v{current}") if current else None
 
-    def replace(self, df: DataFrame) -> None:
+    def merge(self, rows: DataFrame, *, keys: Sequence[str], **options: object) -> None:
+        current, following = self.read(), self.version() + 1
+        if current is not None:
+            rows = merge_upsert_if_changed(current, rows, keys=keys, **options)
+        rows.write.mode("overwrite").parquet(f"{self.path}/data/v{following}")
+        self._log(following)
+
+
+class PartitionedTable(_LoggedTable):
+    """A Parquet table partitioned by date parts; a merge rewrites only the dates it touches."""
+
+    def __init__(self, spark: SparkSession, path: str, by: Sequence[str]):
+        super().__init__(spark, path)
+        self.by = list(by)
+
+    def read(self) -> DataFrame | None:
+        return self.spark.read.parquet(f"{self.path}/data") if self.version() else None
+
+    def merge(self, rows: DataFrame, *, keys: Sequence[str], **options: object) -> None:
         following = self.version() + 1
-        df.write.mode("overwrite").parquet(f"{self.path}/data/v{following}")
+        if following == 1:
+            write_table_partitioned(rows, f"{self.path}/data", by=self.by)
+        else:
+            merge_into_partitions(f"{self.path}/data", rows, keys=keys, by=self.by, **options)
         self._log(following)
 
 
 def merge_batch(
     entity: str,
     batch: DataFrame,
-    table: VersionedTable,
+    table: VersionedTable | PartitionedTable,
     *,
     quarantine: str,
     as_of: str,
@@ -108,19 +133,16 @@ def merge_batch(
     if not result.get("rows"):
         return {"rows": 0, "max_time": None}
     valid, rejected = split_marked(marked)
-    current = table.read()
-    if current is not None:
-        valid = merge_upsert_if_changed(
-            current, valid, keys=silver_spec(entity, as_of).key,
-            newer_only="dt_cdc_evento" if newer_only else None, deletes=deletes,
-        )
-    table.replace(valid)
+    table.merge(
+        valid, keys=silver_spec(entity, as_of).key,
+        newer_only="dt_cdc_evento" if newer_only else None, deletes=deletes,
+    )
     write_quarantine(rejected, quarantine, ingested=F.lit(as_of))
     return result
 
 
 def run_with_watermark(
-    entity: str, bronze: DataFrame, table: VersionedTable, store: WatermarkStore, *,
+    entity: str, bronze: DataFrame, table: VersionedTable | PartitionedTable, store: WatermarkStore, *,
     quarantine: str, as_of: str, now: str, tie_break: str | None = None,
 ) -> dict[str, object]:
     """One incremental run; the watermark is saved last, after the merge succeeded."""

@@ -13,7 +13,9 @@ from atende.plans.layers import AS_OF
 from atende.plans.silver import SPECS, build_silver, mark_silver
 from atende.sources import bindings
 from atende.sources.tables import write_table_partitioned
-from atende.streaming.incremental import VersionedTable, WatermarkStore, merge_batch, run_incremental, run_with_watermark
+from atende.streaming.incremental import (
+    PartitionedTable, VersionedTable, WatermarkStore, merge_batch, run_incremental, run_with_watermark,
+)
 
 EVENT = "id string, v string, Op string, _timestamp string, _seq bigint"
 
@@ -161,9 +163,10 @@ def test_file_stream_takes_each_file_once(spark, sf_dir, tmp_path):
     assert spark.read.parquet(str(tmp_path / "bad")).count() == rejected.count()
 
 
-def test_watermark_run_reads_only_newer_events_and_skips_empty_batches(spark, sf_dir, tmp_path):
-    rows = _whatsapp(spark, sf_dir)
-    table = VersionedTable(spark, str(tmp_path / "table"))
+@pytest.mark.parametrize("partitioned", [False, True])
+def test_watermark_run_reads_only_newer_events_and_skips_empty_batches(spark, sf_dir, tmp_path, partitioned):
+    rows, path = _whatsapp(spark, sf_dir), str(tmp_path / "table")
+    table = PartitionedTable(spark, path, ("ano", "mes", "dia")) if partitioned else VersionedTable(spark, path)
     store = WatermarkStore(spark, str(tmp_path / "marks"))
 
     def run(df):
