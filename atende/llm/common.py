@@ -32,6 +32,7 @@ class Stage:
     def __call__(self, df: DataFrame) -> DataFrame:
         path = os.path.join(self.root, uuid.uuid4().hex)
         df.write.parquet(path)
+        self.spark.sparkContext._jvm.System.gc()  # lets Spark remove the shuffle files that the table replaces
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = path
         out._stage = self  # keeps the id unique while the frame lives
