@@ -10,36 +10,25 @@ from pyspark.sql import functions as F
 from atende.sources.stage import staged
 
 UNKNOWN_KEY = -1
-SINGLE_WINDOW_ROWS = 200_000
 
 
-def position_buckets(df: DataFrame, order: Column, weight: Column, splits: int) -> DataFrame:
-    """Add ``_bucket`` and ``_before``: the total weight that sorts before the row's bucket.
+def running_total(df: DataFrame, order: Sequence[Column], weight: Column, name: str) -> DataFrame:
+    """Add the total ``weight`` of all rows before each row in ``order``.
 
-    Rows are cut into ``splits`` ranges of about equal size at approximate quantiles of
-    ``order``; equal values share a bucket and NULLs form the last one. The split points
-    are one value and the bucket totals at most ``splits + 2`` rows, hence the broadcast.
+    Rows are range-partitioned by the whole order, so a value that many rows share is cut where later
+    order columns differ, and text counts in full length. The totals are one row per range, which
+    bounds the broadcast; each range then sums up its own rows.
     """
-    cuts = [i / splits for i in range(1, splits)]
-    points = df.agg(
-        F.percentile_approx(order, F.array(*map(F.lit, cuts)), F.lit(10000)).alias("_cuts")
-    )
-    bucket = F.when(order.isNull(), F.lit(splits + 1)).otherwise(
-        F.size(F.filter(F.col("_cuts"), lambda p: p < order))
-    )
-    placed = df.withColumn("_cuts", points.scalar()).withColumn("_bucket", bucket).drop("_cuts")
-    totals = placed.groupBy("_bucket").agg(F.sum(weight).alias("_n"))
-    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    before = totals.select("_bucket", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    return placed.join(F.broadcast(before), "_bucket")
-
-
-def order_number(c: Column, kind: str) -> Column:
-    """A number that sorts like the column; for text the first seven bytes."""
-    if kind != "string":
-        return c
-    head = F.rpad(F.substring(F.hex(F.encode(c, "UTF-8")), 1, 14), 14, "0")
-    return F.conv(head, 16, 10).cast("bigint")
+    columns = df.columns
+    # A written table fixes which row lies in which range.
+    ranged = staged(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    totals = ranged.groupBy("_range").agg(F.sum(weight).alias("_n"))
+    earlier = Window.orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select(F.col("_range").alias("_at"), "_n").select("_at", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    within = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    inside = ranged.withColumn("_inside", F.coalesce(F.sum(weight).over(within), F.lit(0)))
+    total = (F.col("_before") + F.col("_inside")).cast("bigint").alias(name)
+    return inside.join(F.broadcast(before), F.col("_range") == F.col("_at")).select(*columns, total)
 
 
 def surrogate_key_seq(
@@ -48,33 +37,22 @@ def surrogate_key_seq(
     order: Sequence[str],
     name: str,
     existing: DataFrame | None = None,
-    splits: int = 64,
-    max_rows: int | None = None,
 ) -> DataFrame:
-    """Dense 1..n key by the natural key ``order``.
+    """Dense 1..n key by the natural key ``order``; NULLs come first.
 
-    The numbering runs in parallel over ranges of the first key column; only an input with a
-    known small bound (``max_rows``) is numbered by one ordered window. With ``existing``
-    (natural key + key of the stored dimension) known members keep their key and new ones
-    continue after the greatest.
+    With ``existing`` (natural key + key of the stored dimension) known members keep their key
+    and new ones continue after the greatest.
     """
     if existing is not None:
-        kept = existing.select(*order, name)
+        kept = existing.select(*[F.col(c).alias(f"_k_{c}") for c in order], name)
+        same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in order]
         top = kept.agg(F.coalesce(F.max(F.greatest(F.col(name), F.lit(0))), F.lit(0)).alias("_top")).scalar()
-        known = df.join(kept, list(order), "inner")
-        fresh = surrogate_key_seq(
-            df.join(kept, list(order), "left_anti"),
-            order=order, name=name, splits=splits, max_rows=max_rows,
-        ).withColumn(name, (F.col(name) + top).cast("int"))
+        known = df.join(kept, same, "inner")
+        fresh = surrogate_key_seq(df.join(kept, same, "left_anti"), order=order, name=name)
+        fresh = fresh.withColumn(name, (F.col(name) + top).cast("int"))
         return known.select(*df.columns, name).unionByName(fresh.select(*df.columns, name))
-    columns = list(df.columns)
-    if max_rows is not None and max_rows <= SINGLE_WINDOW_ROWS:
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("int"))
-    first = order_number(F.col(order[0]), dict(df.dtypes)[order[0]])
-    placed = position_buckets(df, first, F.lit(1), splits)
-    within = Window.partitionBy("_bucket").orderBy(*order)
-    key = (F.col("_before") + F.row_number().over(within)).cast("int")
-    return placed.withColumn(name, key).select(*columns, name)
+    placed = running_total(df, [F.col(c).asc() for c in order], F.lit(1), "_key")
+    return placed.withColumn(name, (F.col("_key") + 1).cast("int")).select(*df.columns, name)
 
 
 def unknown_member(df: DataFrame, values: dict[str, object]) -> DataFrame:
@@ -98,12 +76,12 @@ def distinct_value_dim(
     Values are normalised before the distinct, and the label of the unknown member is left
     to that member alone, so that no label occurs twice.
     """
-    labels = staged(
+    labels = (
         df.select(F.upper(F.trim(F.col(column))).alias(label))
         .filter(F.col(label).isNotNull() & (F.col(label) != unknown_label))
         .distinct()
     )
-    keyed = surrogate_key_seq(labels, order=[label], name=key, max_rows=labels.count())
+    keyed = surrogate_key_seq(labels, order=[label], name=key)
     dim = keyed.withColumns(flags or {}).select(key, label, *(flags or {}))
     return unknown_member(dim, {key: UNKNOWN_KEY, label: unknown_label, **(unknown or {})})
 

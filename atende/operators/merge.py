@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from atende.sources.stage import staged
@@ -73,13 +73,36 @@ def merge_into_partitions(
     spark = source.sparkSession
     source = staged(source)
     target = spark.read.schema(source.schema).parquet(path)
-    known = target.join(source.select(*keys), list(keys), "left_semi").select(*by)
-    touched = staged(known.unionByName(source.select(*by)).distinct())
-    affected = target.join(touched, list(by), "left_semi").select(*source.columns)
+    new_keys = source.select(*[F.col(k).alias(f"_m_{k}") for k in keys])
+    moved = target.join(new_keys, [F.col(k).eqNullSafe(F.col(f"_m_{k}")) for k in keys], "left_semi").select(*by)
+    touched = staged(moved.unionByName(source.select(*by)).distinct())
+    affected = _of_partitions(target, touched, by).select(*source.columns)
     merged = staged(merge(affected, source, keys=keys, **options))
+    # Partitions that lose all their rows are removed; the others are replaced in one write.
+    emptied = _of_partitions(touched, merged.select(*by).distinct(), by, "left_anti")
+    gone = [_folder(spark, path, [(c, row[c]) for c in by]) for row in emptied.collect()]  # one row per emptied partition
     write_table_partitioned(merged, path, by=by)
-    # A partition that lost all its rows is not in the output: replace it by an empty one.
-    emptied = touched.join(merged.select(*by).distinct(), list(by), "left_anti")
-    for day in emptied.collect():  # at most one row per touched partition
-        folder = "/".join(f"{c}={day[c]}" for c in by)
-        merged.filter(F.lit(False)).drop(*by).write.mode("overwrite").parquet(f"{path}/{folder}")
+    for folder in gone:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def _of_partitions(df: DataFrame, wanted: DataFrame, by: Sequence[str], how: str = "left_semi") -> DataFrame:
+    """Rows of the wanted partitions, NULL partitions included.
+
+    The first partition column is also bounded by the least and greatest wanted value, one-row values
+    that the scan can prune by; a NULL partition is read in any case.
+    """
+    other = wanted.select(*[F.col(c).alias(f"_w_{c}") for c in by])
+    same = [F.col(c).eqNullSafe(F.col(f"_w_{c}")) for c in by]
+    if how == "left_semi":
+        first = F.col(by[0])
+        low, high = (wanted.agg(f(by[0]).alias("_b")).scalar() for f in (F.min, F.max))
+        df = df.filter(first.isNull() | ((first >= low) & (first <= high)))
+    return df.join(other, same, how)
+
+
+def _folder(spark: SparkSession, path: str, values: list[tuple[str, object]]) -> str:
+    """Folder of a partition as Spark names it."""
+    names = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return "/".join([path, *(names.getPartitionPathString(c, None if v is None else str(v)) for c, v in values)])

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from atende.operators.keys import SINGLE_WINDOW_ROWS, position_buckets
+from atende.operators.keys import running_total
 from atende.sources.stage import staged
 
 
@@ -20,68 +20,42 @@ def order_by(column: str, descending: bool) -> Column:
 def rank_within(
     df: DataFrame, *, partition: Sequence[str], by: str, name: str, descending: bool = True
 ) -> DataFrame:
-    """``RANK()`` inside groups of any size.
+    """``RANK()`` inside groups of any size, NULL groups included.
 
-    The window runs over the distinct values of ``by`` per group (with their row counts)
-    instead of over the rows, and the rank is joined back. Partition columns must not be NULL.
-    The input is staged, because it is read for the counts and again for the join.
+    Runs over the distinct values of ``by`` per group with their row counts: totals over all groups,
+    less the total before the group. No task holds a group. The rank is joined back, null-safe.
+    ``df`` is read several times: pass a stored or :func:`staged` table.
     """
-    df = staged(df)
     counts = df.groupBy(*partition, by).agg(F.count(F.lit(1)).alias("_n"))
-    earlier = (
-        Window.partitionBy(*partition)
-        .orderBy(order_by(by, descending))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    ranks = counts.select(
-        *[F.col(p).alias(f"_p_{p}") for p in partition],
-        F.col(by).alias("_v"),
-        (F.lit(1) + F.coalesce(F.sum("_n").over(earlier), F.lit(0))).cast("int").alias(name),
+    order = [*[F.col(p).asc() for p in partition], order_by(by, descending)]
+    placed = staged(running_total(counts, order, F.col("_n"), "_before"))
+    firsts = placed.groupBy(*partition).agg(F.min("_before").alias("_first"))
+    firsts = firsts.select(*[F.col(p).alias(f"_g_{p}") for p in partition], "_first")
+    groups = placed.join(firsts, [F.col(p).eqNullSafe(F.col(f"_g_{p}")) for p in partition])
+    ranks = groups.select(
+        *[F.col(p).alias(f"_p_{p}") for p in partition], F.col(by).alias("_v"),
+        (F.col("_before") - F.col("_first") + 1).alias(name),
     )
-    on = [F.col(p) == F.col(f"_p_{p}") for p in partition] + [F.col(by).eqNullSafe(F.col("_v"))]
+    on = [*[F.col(p).eqNullSafe(F.col(f"_p_{p}")) for p in partition], F.col(by).eqNullSafe(F.col("_v"))]
     return df.join(ranks, on).drop("_v", *[f"_p_{p}" for p in partition])
 
 
-def rank_over_all(
-    df: DataFrame, *, by: str, name: str, descending: bool = True, splits: int = 64
-) -> DataFrame:
-    """``RANK()`` over a whole numeric column without a single-task window.
+def rank_over_all(df: DataFrame, *, by: str, name: str, descending: bool = True) -> DataFrame:
+    """``RANK()`` over a whole column of any ordered type, without a single-task window.
 
     ``df`` is read several times: pass a stored or :func:`staged` table.
     """
-    values = df.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
-    signed = -F.col(by) if descending else F.col(by)
-    placed = position_buckets(values, signed, F.col("_n"), splits)
-    earlier = (
-        Window.partitionBy("_bucket")
-        .orderBy(order_by(by, descending))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    rank = F.col("_before") + 1 + F.coalesce(F.sum("_n").over(earlier), F.lit(0))
-    ranks = placed.select(F.col(by).alias("_v"), rank.cast("int").alias(name))
+    counts = df.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
+    placed = running_total(counts, [order_by(by, descending)], F.col("_n"), "_before")
+    ranks = placed.select(F.col(by).alias("_v"), (F.col("_before") + 1).alias(name))
     return df.join(ranks, F.col(by).eqNullSafe(F.col("_v"))).drop("_v")
 
 
 def ranked(
-    df: DataFrame,
-    ranks: dict[str, tuple[str, bool]],
-    *,
-    max_rows: int | None,
-    partition: Sequence[str] = (),
+    df: DataFrame, ranks: dict[str, tuple[str, bool]], *, partition: Sequence[str] = ()
 ) -> DataFrame:
-    """Add several ``name -> (column, descending)`` ranks, over all rows or per partition.
-
-    ``max_rows`` is a known upper bound of the rows ranked together (the size of the stored
-    dimension the input has one row per member of). Small inputs use plain windows, larger
-    or unbounded ones :func:`rank_over_all` and :func:`rank_within`.
-    """
-    if max_rows is not None and max_rows <= SINGLE_WINDOW_ROWS:
-        window = Window.partitionBy(*partition)
-        return df.withColumns(
-            {n: F.rank().over(window.orderBy(order_by(c, d))) for n, (c, d) in ranks.items()}
-        )
-    if not partition:
-        df = staged(df)
+    """Add several ``name -> (column, descending)`` ranks, over all rows or per partition."""
+    df = staged(df)
     for name, (column, descending) in ranks.items():
         if partition:
             df = rank_within(df, partition=partition, by=column, name=name, descending=descending)
@@ -91,29 +65,17 @@ def ranked(
 
 
 def row_number_over_all(
-    df: DataFrame, *, by: str, tie: str, name: str, descending: bool = True,
-    max_rows: int | None = None, splits: int = 64,
+    df: DataFrame, *, by: str, tie: str, name: str, descending: bool = True
 ) -> DataFrame:
     """``ROW_NUMBER`` over the whole input; ``tie`` is unique and makes the order repeatable."""
-    order = [order_by(by, descending), F.col(tie)]
-    if max_rows is not None and max_rows <= SINGLE_WINDOW_ROWS:
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)))
-    columns = df.columns
-    df = staged(df)
-    signed = -F.col(by) if descending else F.col(by)
-    placed = position_buckets(df, signed, F.lit(1), splits)
-    position = F.col("_before") + F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
-    return placed.withColumn(name, position.cast("int")).select(*columns, name)
+    placed = running_total(df, [order_by(by, descending), F.col(tie)], F.lit(1), "_before")
+    return placed.withColumn(name, F.col("_before") + 1).select(*df.columns, name)
 
 
 def ntile_over_all(
-    df: DataFrame, *, by: str, tie: str, name: str, tiles: int = 4, descending: bool = True,
-    max_rows: int | None = None,
+    df: DataFrame, *, by: str, tie: str, name: str, tiles: int = 4, descending: bool = True
 ) -> DataFrame:
     """``NTILE`` over the whole input; ``tie`` is unique and makes the cut repeatable."""
-    if max_rows is not None and max_rows <= SINGLE_WINDOW_ROWS:
-        order = [order_by(by, descending), F.col(tie)]
-        return df.withColumn(name, F.ntile(tiles).over(Window.orderBy(*order)))
     columns = df.columns
     df = staged(df)
     placed = row_number_over_all(df, by=by, tie=tie, name="_pos", descending=descending)

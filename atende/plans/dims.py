@@ -204,7 +204,7 @@ def dim_skill(s) -> DataFrame:
         .select("ds_skill", "nr_nivel", "ds_faixa_nivel")
         .distinct()
     )
-    keyed = surrogate_key_seq(rows, order=["ds_skill", "nr_nivel"], name="sk_skill", max_rows=rows.count())
+    keyed = surrogate_key_seq(rows, order=["ds_skill", "nr_nivel"], name="sk_skill")
     dim = keyed.select("sk_skill", "ds_skill", "nr_nivel", "ds_faixa_nivel")
     return unknown_member(
         dim,

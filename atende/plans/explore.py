@@ -340,10 +340,10 @@ def _effectiveness() -> Column:
     return half_up(F.lit(100.0) * F.col("nr_conversoes") / F.nullif("nr_meta_contatos", F.lit(0)))
 
 
-def effectiveness_rank(campaigns: DataFrame, max_rows: int | None = None) -> DataFrame:
+def effectiveness_rank(campaigns: DataFrame) -> DataFrame:
     """Campaigns by conversions over goal with a sequential rank."""
     scored = campaigns.select("id_campanha", "nm_campanha", "ds_objetivo", _effectiveness().alias("efetividade"))
-    return row_number_over_all(scored, by="efetividade", tie="id_campanha", name="nr_rank", max_rows=max_rows)
+    return row_number_over_all(scored, by="efetividade", tie="id_campanha", name="nr_rank")
 
 
 def effectiveness_by_objective(campaigns: DataFrame) -> DataFrame:

@@ -52,11 +52,6 @@ def optional(df: DataFrame, name: str, to: str) -> Column:
     return F.col(name).cast(to) if name in df.columns else F.lit(None).cast(to)
 
 
-def bound(t, table: str) -> int | None:
-    """Stored row count of a dimension, when the mapping can tell it."""
-    return t.size(table) if hasattr(t, "size") else None
-
-
 def since_year(fact: DataFrame, date_key: str, min_year: int | None) -> DataFrame:
     """Year floor on the yyyyMMdd key itself, so that it reaches the fact's file scan."""
     return fact if min_year is None else fact.filter(F.col(date_key) >= min_year * 10000)
@@ -66,7 +61,7 @@ def with_day(fact: DataFrame, t, fk: str, take: Sequence[str] | dict[str, str])
     return with_dim(fact, t["dim_data"], fk=fk, sk="sk_data", take=take)
 
 
-def top(df: DataFrame, order: Sequence[tuple[str, bool]], limit: int | None = 100) -> DataFrame:
+def top(df: DataFrame, order: Sequence[tuple[str, bool]], limit: int | None = None) -> DataFrame:
     """ORDER BY (column, descending) with NULLs last, then LIMIT; ``None`` keeps all rows.
 
     Callers end ``order`` with the row's key, so that the rows kept do not vary.

@@ -9,7 +9,7 @@ from atende.functions.rules import pct, traffic_light
 from atende.operators.lookup import with_dim
 from atende.operators.ranks import ranked
 from atende.plans.kpi.common import (
-    ABANDONED, ANSWERED, bound, mean, mean_if, n, one_if, since_year, top, with_day,
+    ABANDONED, ANSWERED, mean, mean_if, n, one_if, since_year, top, with_day,
 )
 
 DAY = ["dt_completa", "nr_ano", "nr_mes", "nr_dia", "ds_dia_semana", "fl_fim_de_semana"]
@@ -43,7 +43,7 @@ def kpi01_base(t, min_year: int | None = 2025) -> DataFrame:
     )
 
 
-def kpi01_by_channel(t, min_year: int | None = 2025, limit: int | None = 100) -> DataFrame:
+def kpi01_by_channel(t, min_year: int | None = 2025, limit: int | None = None) -> DataFrame:
     rows, valid = n("sk_chamada"), F.col("fl_duracao_valida") == 1
     out = (
         kpi01_base(t, min_year)
@@ -98,4 +98,4 @@ def kpi01_queue_rank(t, min_year: int | None = 2025) -> DataFrame:
             mean("nr_tma_fila_segundos").alias("nr_tma_medio_segundos"),
         )
     )
-    return ranked(totals, {"rank_volume": ("nr_total_geral", True)}, max_rows=bound(t, "dim_fila"))
+    return ranked(totals, {"rank_volume": ("nr_total_geral", True)})

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from atende.functions.rules import half_up, pct
 from atende.operators.scalars import one_row
 from atende.operators.ranks import ranked
-from atende.plans.kpi.common import bound, mean, mean_if, n, n_if, optional, top, with_day
+from atende.plans.kpi.common import mean, mean_if, n, n_if, optional, top, with_day
 
 WEIGHTS = {"rank_volume": 0.30, "rank_qualidade": 0.40, "rank_produtividade": 0.30}
 
@@ -99,7 +99,7 @@ def kpi02_consolidated(t) -> DataFrame:
     )
 
 
-def kpi02_ranking(t, weights: dict[str, float] = WEIGHTS, limit: int | None = 100) -> DataFrame:
+def kpi02_ranking(t, weights: dict[str, float] = WEIGHTS, limit: int | None = None) -> DataFrame:
     """Operators against the team mean, three ranks and their weighted sum."""
     people = kpi02_consolidated(t).filter("nr_total_chamadas > 0")
     team = one_row(people.agg(F.avg("nr_tma_segundos").alias("tma"), F.avg("nr_nota_geral_media").alias("nota")))
@@ -110,7 +110,6 @@ def kpi02_ranking(t, weights: dict[str, float] = WEIGHTS, limit: int | None = 10
             "rank_qualidade": ("nr_nota_geral_media", True),
             "rank_produtividade": ("nr_calls_por_hora", True),
         },
-        max_rows=bound(t, "dim_operador"),
     )
     score = reduce(lambda a, b: a + b, [F.col(r) * F.lit(w) for r, w in weights.items()])
     out = rows.select(

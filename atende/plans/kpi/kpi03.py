@@ -10,7 +10,7 @@ from atende.operators.lookup import with_dim
 from atende.operators.scalars import one_row
 from atende.operators.ranks import ranked
 from atende.plans.kpi.common import (
-    bound, mean, n, n_if, one_if, optional, top, with_day, year_month,
+    mean, n, n_if, one_if, optional, top, with_day, year_month,
 )
 
 BANDS = ("EXCELENTE", "BOM", "REGULAR", "RUIM")
@@ -58,7 +58,7 @@ def _is(band: str):
     return n_if(F.col("ds_banda_qualidade") == band)
 
 
-def kpi03_by_operator(t, limit: int | None = 100) -> DataFrame:
+def kpi03_by_operator(t, limit: int | None = None) -> DataFrame:
     base, rows = kpi03_base(t), n("sk_qualidade")
     per_operator = base.groupBy("sk_operador", "nm_operador", "ds_cargo", "nm_supervisor").agg(
         rows.alias("nr_total_avaliacoes"),
@@ -83,9 +83,7 @@ def kpi03_by_operator(t, limit: int | None = 100) -> DataFrame:
             "ds_perfil_qualidade": profile,
         }
     )
-    operators, evaluators = bound(t, "dim_operador"), bound(t, "dim_supervisor")
-    most = None if operators is None or evaluators is None else operators * evaluators
-    rows = ranked(rows, {"rank_qualidade": ("nr_nota_geral_media", True)}, max_rows=most)
+    rows = ranked(rows, {"rank_qualidade": ("nr_nota_geral_media", True)})
     order = [("nr_nota_geral_media", True), ("nr_total_avaliacoes", True), ("sk_operador", False), ("nm_supervisor", False)]
     return top(rows, order, limit)
 

@@ -9,7 +9,7 @@ from atende.functions.rules import half_up, pct
 from atende.operators.lookup import with_dim
 from atende.operators.ranks import ranked
 from atende.plans.kpi.common import (
-    OPEN, RESOLVED, SLA_HOURS, bound, mean_if, n, n_if, one_if, top, with_day, year_month,
+    OPEN, RESOLVED, SLA_HOURS, mean_if, n, n_if, one_if, top, with_day, year_month,
 )
 
 
@@ -54,7 +54,7 @@ def kpi04_base(t, hours: dict[str, int] = SLA_HOURS) -> DataFrame:
     )
 
 
-def kpi04_daily(t, limit: int | None = 100) -> DataFrame:
+def kpi04_daily(t, limit: int | None = None) -> DataFrame:
     levels = tuple(SLA_HOURS)
     day = ["dt_abertura", "nr_ano_abertura", "nr_mes_abertura", "nr_dia_abertura", "ds_ano_mes_abertura"]
     out = (
@@ -114,7 +114,7 @@ def kpi04_by_category(t) -> DataFrame:
             _sla_share().alias("pct_sla_categoria"),
         )
     )
-    return ranked(out, {"rank_volume_categoria": ("nr_total_tickets", True)}, max_rows=bound(t, "dim_categoria_ticket"))
+    return ranked(out, {"rank_volume_categoria": ("nr_total_tickets", True)})
 
 
 def kpi04_status_share(t) -> DataFrame:

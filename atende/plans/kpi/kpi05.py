@@ -9,7 +9,7 @@ from atende.functions.rules import half_up, ladder, pct, traffic_light
 from atende.operators.ranks import ranked
 from atende.operators.scalars import one_row
 from atende.plans.kpi.common import (
-    SLA_HOURS, bound, mean_if, n, n_if, one_if, top, year_month,
+    SLA_HOURS, mean_if, n, n_if, one_if, top, year_month,
 )
 from atende.plans.kpi.kpi04 import target_hours, tickets
 
@@ -69,10 +69,10 @@ def _by_category(base: DataFrame, t) -> DataFrame:
         _fcr().alias("pct_fcr"),
         _mean_hours().alias("_mttr"),
     )
-    return ranked(out, {"rank_mttr_categoria": ("_mttr", False)}, max_rows=bound(t, "dim_categoria_ticket")).drop("_mttr")
+    return ranked(out, {"rank_mttr_categoria": ("_mttr", False)}).drop("_mttr")
 
 
-def kpi05_mttr_category(t, limit: int | None = 100) -> DataFrame:
+def kpi05_mttr_category(t, limit: int | None = None) -> DataFrame:
     base = kpi05_base(t)
     backlog = kpi05_backlog(t).groupBy("ds_categoria_ticket").agg(F.sum("nr_backlog").alias("_backlog"))
     overall = one_row(kpi05_fcr_global(t).select("pct_fcr_global", "nr_mttr_global_horas"))

@@ -100,7 +100,7 @@ def _daily(t, agent: str) -> DataFrame:
     )
 
 
-def kpi06_daily_channel(t, agent: str = "AGENTE", limit: int | None = 100) -> DataFrame:
+def kpi06_daily_channel(t, agent: str = "AGENTE", limit: int | None = None) -> DataFrame:
     sessions = F.col("nr_total_sessoes")
     out = (
         _daily(t, agent)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from atende.functions.rules import half_up, pct, traffic_light
 from atende.operators.lookup import with_dim
 from atende.operators.ranks import ranked
-from atende.plans.kpi.common import bound, mean, n, n_if, optional, top, with_day, year_month
+from atende.plans.kpi.common import mean, n, n_if, optional, top, with_day, year_month
 
 
 def _side(t, fact: str, key: str, complete: str, kind: str) -> DataFrame:
@@ -101,5 +101,4 @@ def kpi07_by_operator(t, min_sessions: int = 10) -> DataFrame:
         )
         .filter(F.col("nr_avaliacoes") >= min_sessions)
     )
-    operators = bound(t, "dim_operador")
-    return ranked(out, {"rank_csat_canal": ("_media", True)}, max_rows=operators, partition=["ds_tipo_canal"]).drop("_media")
+    return ranked(out, {"rank_csat_canal": ("_media", True)}, partition=["ds_tipo_canal"]).drop("_media")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from atende.functions.rules import half_up, pct, traffic_light
 from atende.operators.lookup import with_dim
 from atende.operators.ranks import rank_within, ranked
-from atende.plans.kpi.common import bound, mean, mean_if, n, optional, top
+from atende.plans.kpi.common import mean, mean_if, n, optional, top
 
 WEIGHTS = {"rank_taxa_contato": 0.35, "rank_taxa_conversao": 0.50, "_rank_tentativas": 0.15}
 
@@ -37,7 +37,7 @@ def kpi08_base(t) -> DataFrame:
     return dials(t).drop("ds_tipo_campanha")
 
 
-def kpi08_campaign(t, limit: int | None = 100) -> DataFrame:
+def kpi08_campaign(t, limit: int | None = None) -> DataFrame:
     rows, contacts, sales = n("sk_discagem"), F.sum("fl_contato_realizado"), F.sum("fl_convertido")
     out = (
         dials(t)
@@ -68,7 +68,6 @@ def kpi08_campaign(t, limit: int | None = 100) -> DataFrame:
             "rank_volume_conversao": ("nr_conversoes", True),
             "_rank_tentativas": ("nr_media_tentativas", False),
         },
-        max_rows=bound(t, "dim_campanha"),
     )
     score = sum((F.col(r) * F.lit(w) for r, w in WEIGHTS.items()), F.lit(0.0))
     out = out.withColumns(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from atende.functions.rules import pct, ratio, traffic_light
 from atende.operators.ranks import ntile_over_all, ranked
-from atende.plans.kpi.common import bound, mean, n, top
+from atende.plans.kpi.common import mean, n, top
 from atende.plans.kpi.kpi08 import dials
 
 # Campaign states that count as running or finished.
@@ -49,7 +49,7 @@ def _per_campaign(t, situations: dict[str, tuple[str, ...]] = SITUATIONS) -> Dat
     )
 
 
-def kpi09_roi(t, situations: dict[str, tuple[str, ...]] = SITUATIONS, limit: int | None = 100) -> DataFrame:
+def kpi09_roi(t, situations: dict[str, tuple[str, ...]] = SITUATIONS, limit: int | None = None) -> DataFrame:
     campaigns = _per_campaign(t, situations)
     classes = kpi09_quartiles(t, situations).select(
         "sk_campanha", "rank_geral_efetividade", "rank_geral_volume", "rank_eficiencia_custo",
@@ -93,13 +93,11 @@ def kpi09_rank_by_type(t, situations: dict[str, tuple[str, ...]] = SITUATIONS) -
             "rank_efetividade_tipo": ("pct_efetividade_meta", True),
             "rank_volume_tipo": ("nr_conversoes", True),
         },
-        max_rows=bound(t, "dim_campanha"),
         partition=["ds_tipo_campanha"],
     )
 
 
 def kpi09_quartiles(t, situations: dict[str, tuple[str, ...]] = SITUATIONS) -> DataFrame:
-    size = bound(t, "dim_campanha")
     rows = _per_campaign(t, situations).filter("nr_conversoes > 0").select(
         "sk_campanha", "nm_campanha", "ds_situacao_campanha", "pct_efetividade_meta",
         "nr_conversoes", "nr_tentativas_por_conversao",
@@ -111,8 +109,7 @@ def kpi09_quartiles(t, situations: dict[str, tuple[str, ...]] = SITUATIONS) -> D
             "rank_geral_volume": ("nr_conversoes", True),
             "rank_eficiencia_custo": ("nr_tentativas_por_conversao", False),
         },
-        max_rows=size,
     )
-    rows = ntile_over_all(rows, by="pct_efetividade_meta", tie="sk_campanha", name="quartil_efetividade", max_rows=size)
+    rows = ntile_over_all(rows, by="pct_efetividade_meta", tie="sk_campanha", name="quartil_efetividade")
     labels = F.array(*[F.lit(q) for q in QUARTILES])
     return rows.withColumn("ds_quartil_efetividade", F.try_element_at(labels, "quartil_efetividade"))

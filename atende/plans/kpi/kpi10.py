@@ -9,7 +9,7 @@ from atende.functions.rules import half_up, pct, ratio, traffic_light
 from atende.operators.lookup import with_dim
 from atende.operators.scalars import one_row
 from atende.operators.ranks import ranked
-from atende.plans.kpi.common import bound, mean, n, n_if, one_if, top, with_day, year_month
+from atende.plans.kpi.common import mean, n, n_if, one_if, top, with_day, year_month
 
 # Shift statuses with their own class.
 OCCURRENCES = ("PRESENTE", "AUSENTE", "FERIAS", "AFASTADO", "FOLGA")
@@ -45,7 +45,7 @@ def _workdays():
     return n_if(F.col("fl_dia_util") == 1)
 
 
-def kpi10_attendance(t, limit: int | None = 100) -> DataFrame:
+def kpi10_attendance(t, limit: int | None = None) -> DataFrame:
     hours = _while_present("nr_horas_trabalhadas")
     people = (
         kpi10_base(t)
@@ -89,7 +89,6 @@ def kpi10_attendance(t, limit: int | None = 100) -> DataFrame:
             "rank_menor_absenteismo": ("pct_taxa_absenteismo", False),
             "rank_produtividade_hora": ("nr_chamadas_por_hora", True),
         },
-        max_rows=bound(t, "dim_operador"),
     )
     order = [("pct_taxa_absenteismo", True), ("nr_chamadas_por_hora", True), ("sk_operador", False)]
     return top(rows, order, limit)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from atende.functions.rules import pct, traffic_light
 from atende.operators.lookup import with_dim
 from atende.operators.ranks import ranked
-from atende.plans.kpi.common import bound, mean, mean_if, n, n_if, optional, top, year_month
+from atende.plans.kpi.common import mean, mean_if, n, n_if, optional, top, year_month
 from atende.plans.kpi.kpi01 import DAY, calls
 
 OPENING_HOURS = 8
@@ -82,7 +82,7 @@ def _overload(daily: DataFrame, t) -> DataFrame:
         n_if(F.col("pct_ocupacao_fila") > 85).alias("nr_dias_sobrecarga_critica"),
         F.round(F.avg("pct_ocupacao_fila"), 9).alias("_media"),
     )
-    return ranked(out, {"rank_sobrecarga": ("_media", True)}, max_rows=bound(t, "dim_fila")).drop("_media")
+    return ranked(out, {"rank_sobrecarga": ("_media", True)}).drop("_media")
 
 
 def kpi11_overload_rank(t) -> DataFrame:
@@ -109,7 +109,7 @@ def kpi11_peak_hour(t) -> DataFrame:
     )
 
 
-def kpi11_daily_occupancy(t, limit: int | None = 100) -> DataFrame:
+def kpi11_daily_occupancy(t, limit: int | None = None) -> DataFrame:
     """Occupancy per day and queue with overload rank and peak hour.
 
     Of equally busy hours the earliest is attached, so that a tie does not repeat the row.

@@ -46,7 +46,7 @@ def _gone():
     return n_if(F.col("fl_abandono_ura") == 1)
 
 
-def kpi12_daily(t, limit: int | None = 100) -> DataFrame:
+def kpi12_daily(t, limit: int | None = None) -> DataFrame:
     base = kpi12_base(t)
     daily = base.groupBy("dt_completa", "nr_ano", "nr_mes", "nr_dia", "ds_ano_mes").agg(
         n(ROWS).alias("nr_total_sessoes_ura"),
@@ -92,7 +92,7 @@ def kpi12_top_flows(t) -> DataFrame:
         )
         .withColumn("pct_acessos_total", pct(F.col("nr_acessos"), whole))
     )
-    return ranked(out, {"rank_acesso": ("nr_acessos", True)}, max_rows=None)
+    return ranked(out, {"rank_acesso": ("nr_acessos", True)})
 
 
 def kpi12_abandon_points(t, min_visits: int = 10) -> DataFrame:
@@ -107,7 +107,7 @@ def kpi12_abandon_points(t, min_visits: int = 10) -> DataFrame:
         )
         .filter(F.col("nr_total_chegadas") >= min_visits)
     )
-    return ranked(out, {"rank_abandono": ("_taxa", True)}, max_rows=None).drop("_taxa")
+    return ranked(out, {"rank_abandono": ("_taxa", True)}).drop("_taxa")
 
 
 def kpi12_monthly_trend(t) -> DataFrame:

@@ -221,7 +221,7 @@ _EXPLORE: dict[str, Callable[[Lakehouse], DataFrame]] = {
     "j25_linear_trend": lambda k: explore.linear_trend(k["campanha"], x="nr_meta_contatos", y="nr_conversoes"),
     "j26_contact_conversion_rates": lambda k: explore.contact_conversion_rates(k["campanha"]),
     "j27_diminishing_returns": lambda k: explore.diminishing_returns(k["discagem"]),
-    "j28_effectiveness_rank": lambda k: explore.effectiveness_rank(k["campanha"], k.size("campanha")),
+    "j28_effectiveness_rank": lambda k: explore.effectiveness_rank(k["campanha"]),
     "j28_effectiveness_by_objective": lambda k: explore.effectiveness_by_objective(k["campanha"]),
     "j29_operator_conversion": lambda k: explore.operator_conversion(k["discagem"], k["operador"]),
     "j30_dials_by_week": lambda k: explore.dials_by_week(k["discagem"]),

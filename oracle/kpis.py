@@ -54,7 +54,7 @@ from (select dt_completa, nr_ano, nr_mes, nr_dia, ds_dia_semana, fl_fim_de_seman
   {avg('nr_duracao_minutos', OK)} as nr_tma_minutos, max(nr_duracao_segundos) filter (where fl_duracao_valida = 1) as nr_duracao_max_seg,
   min(nr_duracao_segundos) filter (where {OK}) as nr_duracao_min_seg, {SUM_FULL} as nr_chamadas_completas,
   {pct(SUM_FULL, 'count(*)')} as pct_chamadas_completas from k1_base group by all)
-order by dt_completa desc, nr_total_chamadas desc, ds_canal limit 100"""
+order by dt_completa desc, nr_total_chamadas desc, ds_canal"""
 RELATIONS["k1_queue"] = f"""select dt_completa, ds_fila, ds_canal, count(*) as nr_total_chamadas_fila, {SUM_OK} as nr_atendidas_fila,
   {SUM_GONE} as nr_abandonadas_fila, {pct(SUM_OK, 'count(*)')} as pct_atendimento_fila, {pct(SUM_GONE, 'count(*)')} as pct_abandono_fila,
   {avg('nr_duracao_segundos', OK)} as nr_tma_fila_segundos from k1_base group by all"""
@@ -94,7 +94,7 @@ FINALS["g2_5_kpi02_ranking"] = f"""select * exclude (m_tma, m_nota, nr_chamadas_
 from (select *, {pct('nr_tma_segundos - m_tma', 'm_tma')} as pct_desvio_tma, {pct('nr_nota_geral_media - m_nota', 'm_nota')} as pct_desvio_nota,
   {rank('nr_total_chamadas desc')} as rank_volume, {rank('nr_nota_geral_media desc')} as rank_qualidade, {rank('nr_calls_por_hora desc')} as rank_produtividade
   from k2_all, (select avg(nr_tma_segundos) as m_tma, avg(nr_nota_geral_media) as m_nota from k2_all where nr_total_chamadas > 0)
-  where nr_total_chamadas > 0) order by rank_qualidade, nr_total_chamadas desc, sk_operador limit 100"""
+  where nr_total_chamadas > 0) order by rank_qualidade, nr_total_chamadas desc, sk_operador"""
 
 # --- quality -------------------------------------------------------------------------
 RELATIONS["k3_base"] = f"""select sk_avaliacao as sk_qualidade, f.sk_chamada, sk_operador_avaliado as sk_operador, sk_avaliador as sk_supervisor,
@@ -117,7 +117,7 @@ from (select sk_operador, nm_operador, ds_cargo, nm_supervisor, count(*) as nr_t
   {', '.join(f"{B(b)} as nr_{b.lower()}, {pct(B(b), 'count(*)')} as pct_{b.lower()}" for b in BANDS)}, {CONF} as pct_conformidade,
   min(nr_nota_geral) as nr_nota_minima, max(nr_nota_geral) as nr_nota_maxima from k3_base group by all),
   (select {avg('nr_nota_geral')} as media_equipe_geral from k3_base)
-order by nr_nota_geral_media desc, nr_total_avaliacoes desc, sk_operador, nm_supervisor nulls last limit 100"""
+order by nr_nota_geral_media desc, nr_total_avaliacoes desc, sk_operador, nm_supervisor nulls last"""
 FINALS["g3_3_kpi03_by_supervisor"] = f"""select nm_supervisor, count(distinct sk_operador) as nr_agentes_equipe, count(*) as nr_total_avaliacoes_equipe,
   {avg('nr_nota_geral')} as nr_nota_media_equipe, {avg('nr_nota_comunicacao')} as nr_nota_comunicacao_equipe, {avg('nr_nota_resolucao')} as nr_nota_resolucao_equipe,
   {CONF} as pct_conformidade_equipe, {B('RUIM')} as nr_avaliacoes_ruins, {pct(B('RUIM'), 'count(*)')} as pct_ruins_equipe
@@ -146,7 +146,7 @@ FINALS["g4_2_kpi04_daily"] = f"""select *, {pct('nr_tickets_resolvidos', 'nr_tic
   case when nr_tickets_alta > 50 then 'ATENCAO_ALTA_PRIORIDADE' when nr_tickets_alta > 20 then 'MONITORAR' else 'NORMAL' end as ds_alerta_volume
 from (select dt_abertura, nr_ano_abertura, nr_mes_abertura, nr_dia_abertura, ds_ano_mes_abertura, count(*) as nr_tickets_abertos_dia,
   {', '.join(f"{PR(p)} as nr_tickets_{p.lower()}" for p in ('ALTA', 'MEDIA', 'BAIXA'))}, {total('fl_resolvido')} as nr_tickets_resolvidos,
-  {total('fl_em_aberto')} as nr_tickets_em_aberto from k4_base group by all) order by dt_abertura desc nulls last, nr_tickets_abertos_dia desc limit 100"""
+  {total('fl_em_aberto')} as nr_tickets_em_aberto from k4_base group by all) order by dt_abertura desc nulls last, nr_tickets_abertos_dia desc"""
 FINALS["g4_3_kpi04_sla_by_priority"] = f"""select ds_prioridade_ticket, nr_sla_horas_target, count(*) as nr_total_tickets, {cnt(DONE)} as nr_resolvidos,
   {total('fl_sla_cumprido')} as nr_dentro_sla, {SLA} as pct_sla_cumprido, {cnt(DONE + ' and fl_sla_cumprido = 0')} as nr_fora_sla,
   {avg('nr_tempo_resolucao_horas', DONE)} as nr_tempo_medio_resolucao_horas, max(nr_tempo_resolucao_horas) filter (where {DONE}) as nr_tempo_max_resolucao_horas
@@ -175,7 +175,7 @@ from (select *, {rank('media asc')} as rank_mttr_categoria from (select ds_categ
     quantile_disc(coalesce(nr_tempo_resolucao_horas, 0), 0.9) as nr_mttr_p90_horas, min(nr_tempo_resolucao_horas) filter (where {DONE}) as nr_mttr_minimo,
     max(nr_tempo_resolucao_horas) filter (where {DONE}) as nr_mttr_maximo, {FCR} as pct_fcr, {MEAN_H} as media from k5_base group by 1)) c
 left join (select ds_categoria_ticket, sum(nr_backlog) as nr_backlog from k5_backlog group by 1) b using (ds_categoria_ticket) cross join k5_global g
-order by nr_mttr_horas desc nulls last, nr_total_tickets desc, ds_categoria_ticket limit 100"""
+order by nr_mttr_horas desc nulls last, nr_total_tickets desc, ds_categoria_ticket"""
 FINALS["g5_3_kpi05_mttr_priority"] = f"""select ds_prioridade_ticket, nr_sla_target_horas, count(*) as nr_total_tickets, {cnt(DONE)} as nr_tickets_resolvidos,
   {rnd(MEAN_H)} as nr_mttr_horas, {rnd(f'{MEAN_H} / nullif(nr_sla_target_horas, 0)')} as nr_ratio_mttr_sla, {FCR} as pct_fcr from k5_base group by ds_prioridade_ticket, nr_sla_target_horas"""
 FINALS["g5_4_kpi05_backlog"] = "select * from k5_backlog"
@@ -209,7 +209,7 @@ FINALS["g6_3_kpi06_messages_per_session"] = "select * from k6_msgs"
 FINALS["g6_4_kpi06_unified"] = "select * from k6_all"
 FINALS["g6_5_kpi06_daily_channel"] = f"""select * exclude (ds_ano_mes), case when nr_total_sessoes > 500 then 'ALTO_VOLUME' when nr_total_sessoes > 200 then 'VOLUME_NORMAL'
   else 'BAIXO_VOLUME' end as ds_classificacao_volume, {ratio('nr_media_mensagens_sessao', 'nr_duracao_media_minutos')} as nr_mensagens_por_minuto
-from k6_daily order by dt_completa desc, nr_total_sessoes desc, ds_tipo_canal_digital limit 100"""
+from k6_daily order by dt_completa desc, nr_total_sessoes desc, ds_tipo_canal_digital"""
 FINALS["g6_6_kpi06_monthly_trend"] = f"""select ds_ano_mes, nr_ano, nr_mes, ds_tipo_canal_digital, {total('nr_total_sessoes')} as nr_sessoes_mes,
   {avg('nr_duracao_media_minutos')} as nr_duracao_media_mes, {avg('nr_media_mensagens_sessao')} as nr_media_msg_mes from k6_daily group by all"""
 
@@ -247,7 +247,7 @@ from (select *, {pct('nr_contatos_realizados', 'nr_meta_contatos')} as pct_ating
     count(*) - {CON} as nr_sem_contato, {CON} - {CONV} as nr_contatos_sem_conversao, {TRY} as nr_total_tentativas, {avg('nr_tentativas')} as nr_media_tentativas,
     {avg('nr_tentativas', 'fl_contato_realizado = 1')} as nr_tentativas_ate_contato, {pct(CON, 'count(*)')} as pct_taxa_contato,
     {pct(CONV, CON)} as pct_taxa_conversao_sobre_contato, {pct(CONV, 'count(*)')} as pct_taxa_conversao_sobre_discagens from k8_base group by all))
-order by pct_taxa_conversao_sobre_contato desc nulls last, nr_conversoes desc, sk_campanha limit 100"""
+order by pct_taxa_conversao_sobre_contato desc nulls last, nr_conversoes desc, sk_campanha"""
 FINALS["g8_3_kpi08_client_campaign"] = f"""select *, {rank('nr_conversoes_operador desc', 'sk_campanha')} as rank_conversao_campanha from (select sk_campanha, nm_campanha, sk_cliente,
   count(*) as nr_discagens_operador, {CON} as nr_contatos_operador, {CONV} as nr_conversoes_operador, {pct(CON, 'count(*)')} as pct_contato_operador,
   {pct(CONV, CON)} as pct_conversao_operador, {avg('nr_tentativas')} as nr_media_tentativas_operador from k8_base group by all)"""
@@ -270,7 +270,7 @@ RELATIONS["k9_class"] = f"""select *, case quartil_efetividade when 1 then 'TOP_
 FINALS["g9_1_kpi09_roi"] = f"""select a.*, c.rank_geral_efetividade, c.rank_geral_volume, c.rank_eficiencia_custo, c.quartil_efetividade, c.ds_quartil_efetividade,
   case when a.pct_efetividade_meta >= 100 then 'META_SUPERADA' when a.pct_efetividade_meta >= 80 then 'VERDE' when a.pct_efetividade_meta >= 60 then 'AMARELO' else 'VERMELHO' end as semaforo_efetividade,
   {light('a.nr_tentativas_por_conversao', 5, 10, False, ('EFICIENTE', 'MODERADO', 'INEFICIENTE'))} as ds_eficiencia_operacional
-from k9_all a left join k9_class c on a.sk_campanha = c.sk_campanha order by a.pct_efetividade_meta desc nulls last, a.nr_conversoes desc, a.sk_campanha limit 100"""
+from k9_all a left join k9_class c on a.sk_campanha = c.sk_campanha order by a.pct_efetividade_meta desc nulls last, a.nr_conversoes desc, a.sk_campanha"""
 FINALS["g9_2_kpi09_by_situation"] = f"""select ds_situacao_campanha, count(*) as nr_campanhas, {avg('pct_efetividade_meta')} as nr_efetividade_media,
   {avg('pct_aproveitamento_contato')} as nr_aproveitamento_medio, {avg('pct_taxa_contato')} as nr_taxa_contato_media, {avg('nr_tentativas_por_conversao')} as nr_custo_medio_conversao,
   {total('nr_conversoes')} as nr_total_conversoes_grupo, {total('nr_meta_contatos')} as nr_total_meta_grupo, {pct(total('nr_conversoes'), total('nr_meta_contatos'))} as pct_efetividade_grupo
@@ -302,7 +302,7 @@ FINALS["g10_2_kpi10_attendance"] = f"""select *, {rnd('pct_taxa_presenca - media
   when nr_chamadas_por_hora >= media_calls_hora_equipe * 0.9e0 then 'NA_MEDIA' else 'ABAIXO_DA_MEDIA' end as ds_situacao_produtividade
 from k10_people, (select {avg('pct_taxa_presenca')} as media_presenca_equipe, {avg('pct_taxa_absenteismo')} as media_absenteismo_equipe,
   {avg('nr_chamadas_por_hora')} as media_calls_hora_equipe from k10_people)
-order by pct_taxa_absenteismo desc nulls last, nr_chamadas_por_hora desc nulls last, sk_operador limit 100"""
+order by pct_taxa_absenteismo desc nulls last, nr_chamadas_por_hora desc nulls last, sk_operador"""
 FINALS["g10_3_kpi10_monthly"] = f"""select sk_operador, nm_operador, ds_ano_mes, nr_ano, nr_mes, {UTIL} as nr_dias_uteis_mes, {T10('PRESENTE')} as nr_presente_mes,
   {T10('AUSENTE')} as nr_ausente_mes, {pct(T10('AUSENTE'), UTIL)} as pct_absenteismo_mes, {rnd(HRS)} as nr_horas_mes, {CALLS} as nr_chamadas_mes from k10_base group by all"""
 FINALS["g10_4_kpi10_absence_weekday"] = f"""select ds_dia_semana, {T10('AUSENTE')} as nr_ausencias, count(*) as nr_registros_dia,
@@ -331,7 +331,7 @@ FINALS["g11_2_kpi11_daily_occupancy"] = f"""select d.* exclude (sk_fila), o.rank
   {light('d.pct_taxa_atendimento', 95, 85)} as semaforo_atendimento
 from k11_daily d left join k11_over o on d.sk_fila = o.sk_fila left join (select * from k11_hours where rank_horario_volume = 1
   qualify row_number() over (partition by ds_fila order by nr_hora_inicio nulls first, ds_turno) = 1) p on d.ds_fila = p.ds_fila
-order by dt_completa desc nulls last, pct_ocupacao_fila desc nulls last, d.sk_fila, d.ds_canal limit 100"""
+order by dt_completa desc nulls last, pct_ocupacao_fila desc nulls last, d.sk_fila, d.ds_canal"""
 FINALS["g11_3_kpi11_intraday"] = "select * from k11_hours"
 FINALS["g11_4_kpi11_overload_rank"] = "select * from k11_over"
 FINALS["g11_5_kpi11_weekly_pattern"] = f"""select ds_dia_semana, ds_fila, {avg('nr_chamadas_recebidas')} as nr_media_chamadas, {avg('pct_ocupacao_fila')} as nr_ocupacao_media_semana,
@@ -355,7 +355,7 @@ FINALS["g12_2_kpi12_daily"] = f"""select a.*, g.* exclude (nr_total_sessoes), {r
 from (select dt_completa, nr_ano, nr_mes, nr_dia, ds_ano_mes, count(*) as nr_total_sessoes_ura, {SOLVED} as nr_auto_atendidos, {MOVED} as nr_transferidos_humano, {GONE} as nr_abandonos_ura,
   {pct(SOLVED, 'count(*)')} as pct_taxa_autoatendimento, {pct(MOVED, 'count(*)')} as pct_transferencia_humano, {pct(GONE, 'count(*)')} as pct_abandono_ura, {avg(SEC)} as nr_tempo_medio_navegacao_seg,
   {rnd(f'avg({SEC}) / 60e0')} as nr_tempo_medio_navegacao_min, {avg('nr_nivel_menu')} as nr_nivel_medio_menu, max({SEC}) as nr_tempo_max_navegacao_seg from k12_base group by all) a, k12_total g
-order by dt_completa desc, nr_total_sessoes_ura desc limit 100"""
+order by dt_completa desc, nr_total_sessoes_ura desc"""
 FINALS["g12_3_kpi12_top_flows"] = f"""select *, {rank('nr_acessos desc')} as rank_acesso from (select ds_fluxo_ura, ds_opcao_selecionada, count(*) as nr_acessos,
   {pct('count(*)', '(select count(*) from k12_base)')} as pct_acessos_total, {pct(SOLVED, 'count(*)')} as pct_autoatendimento_fluxo, {pct(GONE, 'count(*)')} as pct_abandono_fluxo,
   {pct(MOVED, 'count(*)')} as pct_transferencia_fluxo, {avg(SEC)} as nr_tempo_medio_seg from k12_base group by all)"""

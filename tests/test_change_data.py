@@ -115,6 +115,23 @@ def test_partition_merge_rewrites_only_touched_partitions(spark, tmp_path):
     assert files() == before
 
 
+def test_partition_merge_keeps_null_partitions_and_prunes(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "id int, hash_registro string, dia int"
+    rows = [(1, "a", None), (2, "a", None), (3, "a", 7), (4, "a", 9), (5, "a", 30)]
+    write_table_partitioned(spark.createDataFrame(rows, schema), path, by=["dia"])
+    # 1 changes in place, 3 moves to the NULL partition and empties day 7, 4 leaves it as the last of day 9
+    batch = spark.createDataFrame([(1, "b", None), (3, "b", None), (4, "b", 8)], schema)
+    for _ in range(2):
+        merge.merge_into_partitions(path, batch, keys=["id"], by=["dia"])
+        got = spark.read.schema(schema).parquet(path)
+        assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, [(1, "b", None), (2, "a", None), (3, "b", None), (4, "b", 8), (5, "a", 30)]))
+    assert not list((tmp_path / "t").glob("dia=7")) and not list((tmp_path / "t").glob("dia=9"))
+    wanted = spark.createDataFrame([(8,), (9,)], "dia int")
+    plan = merge._of_partitions(spark.read.schema(schema).parquet(path), wanted, ["dia"])._jdf.queryExecution().executedPlan().toString()
+    filters = next(x for x in plan.split("PartitionFilters: ")[1:])
+    assert "dia" in filters and "subquery" in filters.lower()
+
+
 def test_merge_with_composite_key_and_empty_target(spark):
     source = spark.createDataFrame([(1, 1, "x"), (1, 2, "y")], "a int, b int, hash_registro string")
     empty = source.filter("false")
