@@ -178,20 +178,32 @@ def _anchor_rows(docs: DataFrame, length: int, seed: int) -> DataFrame:
 
 
 class _File:
-    """An array in a temporary file that is read and written from front to back."""
+    """An array that only grows, in a temporary file that is read and written from front to back."""
 
-    def __init__(self, dtype: type):
-        self.file, self.dtype = tempfile.TemporaryFile(), np.dtype(dtype)
+    def __init__(self, dtype: type, most: int):
+        self.file, self.buffer, self.size = tempfile.TemporaryFile(buffering=0), np.zeros(most + 1, dtype), 0
 
     def read(self) -> np.ndarray:
+        """The array, in a buffer that the next call reuses."""
         self.file.seek(0)
-        return np.fromfile(self.file, self.dtype)
+        out, got = self.buffer[: self.size], 0
+        while got < out.nbytes:
+            got += self.file.readinto(memoryview(out).cast("B")[got:])
+        return out
 
     def write(self, x: np.ndarray) -> None:
         self.file.seek(0)
-        x.tofile(self.file)
-        self.file.truncate()
-        self.file.flush()
+        left, self.size = memoryview(x).cast("B"), len(x)
+        while left:
+            left = left[self.file.write(left):]
+
+
+def _inserted(x: np.ndarray, old: np.ndarray, spots: np.ndarray, values: np.ndarray | int, space: np.ndarray) -> np.ndarray:
+    """``x`` at the places where ``old`` is true, the values at the others; in ``space``."""
+    out = space[: len(old)]
+    out[old] = x
+    out[spots] = values
+    return out
 
 
 def collection_bwt(strings: list[bytes], most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -207,43 +219,51 @@ def collection_bwt(strings: list[bytes], most: int) -> tuple[np.ndarray, np.ndar
     columns = np.zeros((longest + 1, m), np.uint8)  # columns[j]: the symbol j places before the end
     for i, s in enumerate(strings):
         columns[: len(s), i] = np.frombuffer(s, np.uint8)[::-1] + 1
-    bwt_file, lcp_file = _File(np.uint8), _File(np.int16)
+    total = m + int(lens.sum())
+    bwt_file, lcp_file = _File(np.uint8, total), _File(np.int16, total)
     bwt_file.write(columns[0])
     lcp_file.write(np.zeros(m, np.int16))
     pos, live, place = np.arange(m), np.flatnonzero(lens > 0), np.uint32((1 << 24) - 1)
-    if m + lens.sum() >= place:
+    if total >= place:
         raise ValueError("a batch holds at most 2**24 symbols")
     pair = lambda symbol, at: symbol.astype(np.uint32) << np.uint32(24) | at.astype(np.uint32)
     # All (symbol, place in the transform), sorted: where a pair stands is the place of its longer suffix.
-    pairs, ends = np.sort(pair(columns[0], np.arange(m))), int(np.count_nonzero(lens == 0))
+    pairs, spare = np.empty(total, np.uint32)[:m], np.empty(total, np.uint32)
+    pairs[:], ends = np.sort(pair(columns[0], np.arange(m))), int(np.count_nonzero(lens == 0))
+    index, moved = np.empty(total, np.intp), np.empty(total, np.uint32)
+    longer_bwt, longer_lcp = np.empty(total, np.uint8), np.empty(total, np.int16)
     for j in range(1, longest + 1):
         bwt, lcp = bwt_file.read(), lcp_file.read()
-        n = len(bwt)
+        n, k = len(bwt), len(live)
         at = np.searchsorted(pairs, pair(columns[j - 1, live], pos[live]))
+        by = np.argsort(at)
+        at = at[by]
         new = at - ends + m
+        pos[live[by]] = new
         # The new suffixes and those right behind them get their common prefix with the one before.
-        r = np.unique(np.concatenate([at, at + 1]))
-        r = r[r < n]
+        r = np.sort(np.concatenate([at, at[np.append(at[1:] != at[:-1] + 1, at[-1] + 1 < n)] + 1]))
         here, before = pairs[r], pairs[r - 1]
         value, same = np.zeros(len(r), np.int16), np.flatnonzero((here >> 24 == before >> 24) & (r > ends))
         if len(same):
             same = same[np.argsort(before[same] & place)]
             ranges = np.stack([(before[same] & place) + 1, (here[same] & place) + 1], 1).ravel().astype(np.int64)
-            value[same] = np.minimum(np.minimum.reduceat(np.append(lcp, np.int16(0)), ranges)[::2] + 1, most)
-        by = np.argsort(new)
-        into, symbols = new[by] - np.arange(len(by)), columns[j, live[by]]
-        bwt_file.write(np.insert(bwt, into, symbols))
-        lcp = np.insert(lcp, into, np.int16(0))
+            value[same] = np.minimum(np.minimum.reduceat(lcp_file.buffer[: n + 1], ranges)[::2] + 1, most)
+        symbols, old = columns[j, live[by]], np.ones(n + k, bool)
+        old[new] = False
+        bwt_file.write(_inserted(bwt, old, new, symbols, longer_bwt))
+        lcp = _inserted(lcp, old, new, 0, longer_lcp)
         lcp[r - ends + m] = value
         lcp_file.write(lcp)
-        shift = np.repeat(np.arange(len(into) + 1, dtype=np.uint32), np.diff(into, prepend=0, append=n))
-        more = np.sort(pair(symbols, new[by]))
-        pairs += shift[pairs & place]
-        pairs = np.insert(pairs, np.searchsorted(pairs, more), more)
+        shift = np.repeat(np.arange(k + 1, dtype=np.uint32), np.diff(new - np.arange(k), prepend=0, append=n))
+        np.bitwise_and(pairs, place, out=index[:n])
+        pairs += np.take(shift, index[:n], out=moved[:n], mode="clip")
+        more = np.sort(pair(symbols, new))
+        spots, old = np.searchsorted(pairs, more) + np.arange(k), np.ones(n + k, bool)
+        old[spots] = False
+        pairs, spare = _inserted(pairs, old, spots, more, spare), pairs.base
         ends += int(np.count_nonzero(symbols == 0))
-        pos[live] = new
         live = live[lens[live] > j]
-    return bwt_file.read(), lcp_file.read()
+    return bwt_file.read().copy(), lcp_file.read().copy()
 
 
 def repeated_starts(strings: list[bytes], origin: list[tuple], length: int) -> list[np.ndarray]:
@@ -318,36 +338,30 @@ def _sorted_spans(fragments: DataFrame, length: int) -> DataFrame:
     """Spans of the fragments that share a key with others."""
 
     def spans(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        batch: list[pd.DataFrame] = []
+        batch: dict[tuple, tuple] = {}
 
         def flush() -> pd.DataFrame:
-            rows = pd.concat(batch, ignore_index=True)
-            rows = rows[~rows.assign(n=rows["text"].map(len)).duplicated(["doc_id", "h", "lo", "n"])].reset_index(drop=True)
+            rows = list(batch.values())
             batch.clear()
-            found = repeated_starts(rows["text"].tolist(), list(zip(zip(rows["doc_id"], rows["h"]), rows["lo"])), length)
+            found = repeated_starts([r[4] for r in rows], [((d, h), lo) for d, h, lo, _, _ in rows], length)
             out = [
-                (r.doc_id, r.h, r.lo + x, r.lo + y)
-                for r, starts in zip(rows.itertuples(), found) if len(starts) and not r.covered
+                (d, h, lo + x, lo + y)
+                for (d, h, lo, covered, _), starts in zip(rows, found) if len(starts) and not covered
                 for x, y in _spans_of_starts(starts, length)
             ]
             return pd.DataFrame(out, columns=["doc_id", "h", "s", "e"]).astype({"doc_id": "Int64"})
 
         for frame, starts in runs(frames, ["key", "slack"]):
-            ends = np.append(starts[1:], len(frame))
-            for x, y in zip(starts, ends):
-                if y - x == 1:
-                    continue
-                own = frame.iloc[x:y]
-                if own["covered"].all():
+            ids = [None if d != d else int(d) for d in frame["doc_id"].tolist()]  # nulls come as NaN
+            h, lo, covered, text, off, size, slack = (frame[c].tolist() for c in ("h", "lo", "covered", "text", "off", "size", "slack"))
+            for x, y in zip(starts.tolist(), [*starts[1:].tolist(), len(ids)]):
+                if y - x == 1 or all(covered[x:y]):
                     continue
-                parts = promising(own["text"].tolist(), own["off"].tolist(), int(own["size"].iloc[0]), int(own["slack"].iloc[0]))
-                if any(parts):
-                    own = own[[p is not None for p in parts]][["doc_id", "h", "lo", "covered", "text"]].astype({"doc_id": "object"})
-                    parts = [p for p in parts if p]
-                    own["text"] = [t[p[0]: p[1]] for t, p in zip(own["text"], parts)]
-                    own["lo"] += [p[0] for p in parts]
-                    batch.append(own)
-                if sum(map(len, batch)) >= BATCH:
+                for i, part in enumerate(promising(text[x:y], off[x:y], size[x], slack[x]), x):
+                    if part:
+                        row = (ids[i], h[i], lo[i] + part[0], covered[i], text[i][part[0]: part[1]])
+                        batch.setdefault((*row[:3], len(row[4])), row)  # two refined keys may lead to one place
+                if len(batch) >= BATCH:
                     yield flush()
         if batch:
             yield flush()
