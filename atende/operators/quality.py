@@ -48,16 +48,20 @@ def null_pct_by_column(df: DataFrame) -> DataFrame:
 def profile_table(df: DataFrame, name: str) -> DataFrame:
     """Rows, columns, NULL cells and repeated rows of one table.
 
-    Repeated rows are counted from the distinct rows and how often each occurs, so the only
-    shuffle is the partial aggregate on the row itself.
+    Repeated rows are counted from the 128-bit digests of the rows and how often each occurs, so
+    that the shuffle carries digests and counts, never whole rows.
     """
-    nulls = reduce(lambda a, b: a + b, [F.col(c).isNull().cast("bigint") for c in df.columns])
+    missing = [F.col(c).isNull() for c in df.columns]
+    nulls = reduce(lambda a, b: a + b, [m.cast("bigint") for m in missing])
+    # The hash passes over NULLs, so where they stand goes into the digest on its own.
+    digest = [F.xxhash64(F.lit(seed), *df.columns, *missing).alias(f"_h{seed}") for seed in (1, 2)]
     return (
-        df.groupBy(*df.columns)
-        .agg(F.count(F.lit(1)).alias("_n"))
+        df.select(*digest, nulls.alias("_z"))
+        .groupBy("_h1", "_h2")
+        .agg(F.count(F.lit(1)).alias("_n"), F.sum("_z").alias("_z"))
         .agg(
             F.sum("_n").alias("nr_linhas"),
-            F.sum(nulls * F.col("_n")).alias("nr_nulos"),
+            F.sum("_z").alias("nr_nulos"),
             F.sum(F.col("_n") - 1).alias("nr_duplicadas"),
         )
         .select(

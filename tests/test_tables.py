@@ -103,3 +103,11 @@ def test_work_folder_follows_the_session_and_is_never_local_on_a_cluster():
 def test_staged_rows_equal_the_input(spark):
     df = spark.range(10).selectExpr("id", "cast(null as date) d", "id % 2 = 0 as b")
     assert plain(staged(df)) == plain(df) and staged(df).dtypes == df.dtypes
+
+
+def test_profile_tells_nulls_of_different_columns_apart(spark):
+    from atende.operators.quality import profile_table
+
+    rows = [(None, "a"), ("a", None), ("a", None), (None, None), (None, None), (None, None), ("a", "")]
+    got = profile_table(spark.createDataFrame(rows, "x string, y string"), "t").first()
+    assert (got["nr_linhas"], got["nr_colunas"], got["nr_nulos"], got["nr_duplicadas"]) == (7, 2, 9, 3)
