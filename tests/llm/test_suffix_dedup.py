@@ -32,6 +32,7 @@ def texts_of(rnd, letters="abcé \n"):
     a, b, c = word(90), word(150), word(55)
     rows = [(None, a), (1, None), (2, ""), (3, "x" * 700), (4, "ab" * 300), (5, "x" * 39), (6, a + b), (6, a + b), (7, b + a + word(10) + b)]
     rows += [(10 + i, word(rnd.randint(0, 60)) + c + word(rnd.randint(0, 60))) for i in range(40)]  # one passage, many surroundings
+    rows += [(None, word(30) + b + word(45) + a), (None, word(12) + b), (None, (word(23) + "#") * 3)]  # null ids are documents of their own
     near = [list(b * 2) for _ in range(25)]
     for i, x in enumerate(near):
         x[rnd.randrange(len(x))] = "Z"
