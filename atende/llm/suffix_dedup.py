@@ -317,20 +317,23 @@ def promising(texts: list[bytes], offs: list[int], size: int, slack: int) -> lis
     A shared string reaches at least half of the missing bytes to the left or to the right of the common
     key. Fragments that are alone under both longer keys drop out, down to NARROW missing bytes.
     """
-    cands = [(i, o, o + size) for i, o in enumerate(offs)]
-    while slack > NARROW:
-        left = -(-(slack + 1) // 2)
-        longer = [
-            (i, x, y) for i, a, b in cands for x, y in ((a - left, b), (a, b + slack + 1 - left)) if 0 <= x and y <= len(texts[i])
-        ]
-        seen = Counter((y - x, texts[i][x:y]) for i, x, y in longer)
-        cands = [(i, x, y) for i, x, y in longer if seen[y - x, texts[i][x:y]] > 1]
-        # Both ways have the same slack up to one byte; the larger one is kept for all.
-        slack = max(slack - left, left - 1)
+    cands, done, length = [(i, o, o + size) for i, o in enumerate(offs)], [], size + slack
+    while cands:
+        longer = set()
+        for i, x, y in cands:
+            # The two ways differ by one byte at times, so each candidate has its own missing bytes.
+            missing = length - (y - x)
+            left = -(-(missing + 1) // 2)
+            if missing <= NARROW:
+                done.append((i, x, y))
+            else:
+                longer.update((i, v, w) for v, w in ((x - left, y), (x, y + missing + 1 - left)) if 0 <= v and w <= len(texts[i]))
+        seen = Counter(texts[i][x:y] for i, x, y in longer)
+        cands = [(i, x, y) for i, x, y in longer if seen[texts[i][x:y]] > 1]
     out: list[tuple[int, int] | None] = [None] * len(texts)
-    for i, x, y in cands:
-        old = out[i] or (len(texts[i]), 0)
-        out[i] = (min(old[0], max(x - slack, 0)), max(old[1], min(y + slack, len(texts[i]))))
+    for i, x, y in done:
+        missing, old = length - (y - x), out[i] or (len(texts[i]), 0)
+        out[i] = (min(old[0], max(x - missing, 0)), max(old[1], min(y + missing, len(texts[i]))))
     return out
 
 

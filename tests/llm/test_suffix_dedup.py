@@ -81,3 +81,16 @@ def test_every_window_has_an_anchor_by_content():
         covered = lambda p: any(x <= p and p + 40 <= y for x, y, *_ in spans)
         assert all(np.any((lo <= p) & (p <= last) & (p <= a) & (a <= p + 20)) or covered(p) for p in range(len(b) - 39))
         assert len(v) == len(a)
+
+
+def test_no_shared_string_is_left_out_before_sorting():
+    rnd = random.Random(5)
+    for shared in (400, 401, 402, 403):
+        for at in range(shared - 200 + 1):
+            both = rnd.randbytes(shared)
+            ends = [(rnd.randbytes(200 - at) if at < 200 else b"", rnd.randbytes(max(400 - shared + at, 0))) for _ in range(2)]
+            texts = [x + both + y for x, y in ends]
+            parts = s.promising(texts, [len(x) + at for x, _ in ends], 200, 200)
+            first, last = max(at - 200, 0), min(at, shared - 400)  # starts of the 400-byte strings around the common key
+            for (x, _), part in zip(ends, parts):
+                assert part and part[0] <= len(x) + first and len(x) + last + 400 <= part[1], (shared, at)
