@@ -95,7 +95,9 @@ def _periodic(b: np.ndarray, at: np.ndarray, h: np.ndarray, length: int, seed: i
     Three anchors or more of one hash at one distance d show a stretch of period d. Strings that reach
     over its left or right end are found by its first or last anchor. Strings inside a stretch of
     ``length`` + d bytes start again d bytes on, so they need no anchors; ``unit`` is the hash of the least
-    rotation of the period, by which shorter stretches find a longer one.
+    rotation of the period, by which shorter stretches find a longer one. A shorter stretch may have only one
+    or two anchors where d is over a third of the anchors' window, and is then not seen as a stretch: the anchors
+    of the first d strings stay, so that the fragments of the longer one hold every rotation.
     """
     keep, stretches, gap = np.ones(len(at), bool), [], np.diff(at)
     tie = (h[1:] == h[:-1]) & (gap <= seed)
@@ -112,6 +114,8 @@ def _periodic(b: np.ndarray, at: np.ndarray, h: np.ndarray, length: int, seed: i
             end += 1
         if not length <= end - start < length + d:
             keep[x + 1: last] = False
+        if end - start >= length + d and 3 * d > length - seed + 1:
+            keep[x: last] |= at[x: last] < start + d + length - seed
         if end - start >= length:
             unit = b[start: start + d].tobytes() * 2
             stretches.append((start, end, d, xxhash.xxh3_64_intdigest(min(unit[i: i + d] for i in range(d))) >> 1))

@@ -94,3 +94,27 @@ def test_no_shared_string_is_left_out_before_sorting():
             first, last = max(at - 200, 0), min(at, shared - 400)  # starts of the 400-byte strings around the common key
             for (x, _), part in zip(ends, parts):
                 assert part and part[0] <= len(x) + first and len(x) + last + 400 <= part[1], (shared, at)
+
+
+def test_short_stretches_with_few_anchors_find_a_long_one(spark):
+    rnd, rows = random.Random(6), []
+    word = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    for d in (66, 67, 68, 75, 100, 101, 133, 150, 199, 200):
+        unit = word(d)
+        rows.append((1000 * d, word(30) + unit * 10 + word(30)))
+        rows += [(1000 * d + k, word(50) + (unit * 9)[k: k + n] + word(50)) for k in range(1, d, 29) for n in (400, 200 + 2 * d)]
+    got = [(r["row"]["doc_id"], *list(r["r"])[:4]) for r in s.suffix_dedup(make_docs(spark, rows)).collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, brute(rows, 400)))
+
+
+@pytest.mark.parametrize("d", [67, 100, 150, 200])
+def test_a_long_stretch_keeps_an_anchor_for_every_rotation(d):
+    rnd = np.random.default_rng(d)
+    unit = rnd.integers(97, 122, d).astype(np.uint8)
+    long = np.concatenate([rnd.integers(97, 122, 30), np.tile(unit, 10), rnd.integers(97, 122, 30)]).astype(np.uint8)
+    _, v, lo, last, _ = s.anchors(long, 400, 200)
+    held = {(int(x), long[p: p + 400].tobytes()) for x, y, z in zip(v, lo, last) for p in range(y, z + 1)}
+    for k in range(d):
+        b = np.tile(unit, 10)[k: k + 400]
+        _, w, _, _, _ = s.anchors(b, 400, 200)
+        assert any((int(x), b.tobytes()) in held for x in w), k
