@@ -1,7 +1,9 @@
 """Licence scan with DataFrame functions: TF-IDF cosine to templates, then inheritance by directory.
 
-Lines with a licence cue are the header of a file, wherever they stand. Headers and templates become
-sparse TF-IDF vectors over words; a header takes the template with the highest cosine, if high enough.
+Lines with a licence cue are the header of a file, wherever they stand; of a file named like a licence
+file it is the whole text. Headers and templates become sparse TF-IDF vectors over words; a header takes
+the template with the highest cosine, if high enough. Where that names no licence, or only the reserved
+rights that stand beside many licences, the best of its sentences and windows of words counts.
 Files without a header inherit the licence of the nearest ancestor directory that has a licence file.
 """
 
@@ -10,12 +12,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from atende.llm.common import Stage
+from atende.llm.common import Stage, let
 
 LEAST_COSINE = 0.5
 # A licence file is named like one, or is short and mostly licence.
 FILE_NAMES = r"(?i)\A(licen[cs]e|copying|notice)([.\-_].*)?\z"
 # Cues and the short forms of common licences.
+RESERVED = "proprietary"
+# Words of the windows of a long sentence, and words from one to the next.
+WINDOWS = ((12, 3), (32, 8))
+SENTENCE_END = r"(?<=[.!?])\s+|\n\s*\n"
 CUE = r"(?i)(licen[cs]|copyright|spdx|all rights reserved|public domain)"
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License."),
@@ -32,8 +38,8 @@ TEMPLATES = (
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0, the Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0 Universal."),
-    ("proprietary", "All rights reserved."),
-    ("proprietary", "Copyright. All rights reserved. Unauthorized copying of this file is strictly prohibited."),
+    (RESERVED, "All rights reserved."),
+    (RESERVED, "Copyright. All rights reserved. Unauthorized copying of this file is strictly prohibited."),
 )
 
 
@@ -45,15 +51,38 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^a-z0-9]+"), lambda x: x != "")
 
 
-def cosines(headers: DataFrame, templates: DataFrame, stage: Stage) -> DataFrame:
+def units_of(text: Column, named: Column) -> Column:
+    """Sentences of the lines and of the whole text, and windows of long ones: all of a licence file, else those with a cue."""
+    near = lambda units: F.filter(units, lambda x: named | x.rlike(CUE))
+    lines = F.flatten(F.transform(F.split(text, "\n"), lambda x: F.split(x, SENTENCE_END)))
+    sentences = near(F.array_distinct(F.concat(F.split(text, SENTENCE_END), lines)))
+
+    def windows(sentence: Column) -> Column:
+        def cut(words: Column) -> Column:
+            starts = lambda size, step: F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(words) - size + step - 1), F.lit(step))
+            parts = [F.transform(starts(size, step), lambda n, size=size: F.array_join(F.slice(words, n + 1, size), " ")) for size, step in WINDOWS]
+            return F.when(F.size(words) > WINDOWS[0][0], F.concat(*parts)).otherwise(F.array().cast("array<string>"))
+
+        return let(F.split(F.trim(sentence), r"\s+"), cut)
+
+    return F.array_distinct(F.concat(sentences, near(F.flatten(F.transform(sentences, windows)))))
+
+
+def _terms(df: DataFrame, key: str) -> DataFrame:
+    return df.select(key, F.explode(words_of(F.col(key))).alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf"))
+
+
+def frequencies(headers: DataFrame, templates: DataFrame, stage: Stage) -> DataFrame:
+    """(t, df): document frequencies over all distinct headers and templates."""
+    terms = _terms(headers, "header").select("term").union(_terms(templates, "template").join(templates, "template").select("term"))
+    return stage(terms.groupBy("term").agg(F.count("*").alias("df")).withColumnRenamed("term", "t"))
+
+
+def cosines(headers: DataFrame, templates: DataFrame, df: DataFrame, n: int, stage: Stage) -> DataFrame:
     """(header, licence, cosine): the best template of each distinct header text; smallest name on ties."""
-    terms = lambda df, key: df.select(key, F.explode(words_of(F.col(key))).alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf"))
-    own = stage(terms(headers, "header"))
-    known = terms(templates, "template").join(templates, "template")
-    n = headers.count() + len(TEMPLATES)
-    # Document frequencies over all distinct headers and templates.
-    df = stage(own.select("term").union(known.select("term")).groupBy("term").agg(F.count("*").alias("df")).withColumnRenamed("term", "t"))
-    weigh = lambda x: x.join(df, F.col("term") == F.col("t")).withColumn("w", F.col("tf") * (F.log(F.lit(1.0 + n) / (1 + F.col("df"))) + 1)).drop("t", "df", "tf")
+    own, known = _terms(headers, "header"), _terms(templates, "template").join(templates, "template")
+    idf = F.log(F.lit(1.0 + n) / (1 + F.coalesce("df", F.lit(0)))) + 1
+    weigh = lambda x: x.join(df, F.col("term") == F.col("t"), "left").withColumn("w", F.col("tf") * idf).drop("t", "df", "tf")
     own, known = stage(weigh(own)), stage(weigh(known))
     norm = lambda x, key, as_: x.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias(as_))
     # The templates are a fixed list, which bounds the broadcast.
@@ -84,15 +113,34 @@ def license_scan(files: DataFrame, path: str = "path", text: str = "text", least
     """
     stage = Stage(files)
     body = F.coalesce(F.col(text), F.lit(""))
-    rows = files.select(F.col(path).alias("path"), header_of(body).alias("header"), (F.length(body)).alias("chars"))
-    rows = stage(rows.withColumn("header", F.when(F.col("header") != "", F.col("header"))))
+    name = F.element_at(F.split("path", "/"), -1)
+    rows = files.select(F.col(path).alias("path"), body.alias("body")).withColumn("named", F.coalesce(name.rlike(FILE_NAMES), F.lit(False)))
+    rows = rows.withColumn("header", F.when(F.col("named"), F.col("body")).otherwise(header_of(F.col("body"))))
+    has = F.col("header") != ""
+    rows = stage(rows.select(
+        "path", "named", F.when(has, F.col("header")).alias("header"), F.length("body").alias("chars"),
+        F.when(has, F.sha2(F.concat(F.col("named").cast("string"), "body"), 256)).alias("file"),
+        F.when(has, units_of(F.col("body"), F.col("named"))).alias("units"),
+    ))
     spark = files.sparkSession
     templates = spark.createDataFrame(list(TEMPLATES), "licence string, template string")
     headers = stage(rows.where("header is not null").select("header").distinct())
-    best = stage(cosines(headers, templates, stage).where(F.col("cosine") >= least).withColumnRenamed("header", "h"))
-    found = stage(rows.join(best, F.col("header") == F.col("h"), "left").drop("h"))
-    name = F.element_at(F.split("path", "/"), -1)
-    is_file = name.rlike(FILE_NAMES) | (2 * F.length("header") >= F.col("chars"))
+    df, n = frequencies(headers, templates, stage), headers.count() + len(TEMPLATES)
+    best = stage(cosines(headers, templates, df, n, stage).where(F.col("cosine") >= least).withColumnRenamed("header", "h"))
+    whole = stage(rows.join(best, F.col("header") == F.col("h"), "left").drop("h"))
+    open_ = F.col("file").isNotNull() & (F.col("licence").isNull() | (F.col("licence") == RESERVED))
+    units = stage(whole.where(open_).select("file", F.explode("units").alias("unit")).distinct())
+    scores = stage(cosines(units.select(F.col("unit").alias("header")).distinct(), templates, df, n, stage).where(F.col("cosine") >= least))
+    order = F.min(F.struct((F.col("licence") == RESERVED).alias("r"), (-F.col("cosine")).alias("c"), "licence", (-F.length("unit")).alias("len")))
+    parts = units.join(scores, F.col("unit") == F.col("header")).groupBy(F.col("file").alias("f")).agg(order.alias("u"))
+    better = F.col("u").isNotNull() & (F.col("licence").isNull() | ~F.col("u.r"))
+    found = stage(
+        whole.drop("units").join(stage(parts), open_ & (F.col("file") == F.col("f")), "left")
+        .withColumn("cosine", F.when(better, -F.col("u.c")).otherwise(F.col("cosine")))
+        .withColumn("chars_of", F.when(better, -F.col("u.len")).otherwise(F.length("header")))
+        .withColumn("licence", F.when(better, F.col("u.licence")).otherwise(F.col("licence"))).drop("f", "u", "file")
+    )
+    is_file = F.col("named") | (2 * F.col("chars_of") >= F.col("chars"))
     top = F.min(F.struct((-F.col("cosine")).alias("c"), "licence"))
     declared = stage(
         found.where(F.col("licence").isNotNull() & F.col("path").isNotNull() & is_file)

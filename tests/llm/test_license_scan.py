@@ -60,3 +60,40 @@ def test_plan_is_native(spark):
     df = spark.createDataFrame([(p, t) for p, t in FILES], "path string, text string")
     plan = s.license_scan(df)._jdf.queryExecution().executedPlan().toString()
     assert not any(w in plan for w in ("Python", "Pandas", "ArrowEval"))
+
+
+BSD = """Copyright (c) 2019, A. Person
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions."""
+MIT = """Copyright (c) 2020 A. Person
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, subject to the following conditions:"""
+PROSE = "the sea was calm that day and nobody in the harbour had seen a ship since the long winter of the year before "
+
+
+def test_bodies_of_licence_files_and_sentences_in_prose(spark):
+    files = {
+        "bsd/LICENSE": (BSD, "BSD-3-Clause"), "mit/LICENSE.txt": (MIT, "MIT"), "body/COPYING": (BSD.split("\n\n")[1], "BSD-3-Clause"),
+        "prose/a.txt": (PROSE * 4 + "Ended. Released under the MIT License. " + PROSE * 4, "MIT"),
+        "prose/b.txt": (PROSE * 4 + "licensed under the Apache License, Version 2.0 " + PROSE * 4, "Apache-2.0"),
+        "wrapped/c.py": ("# Copyright 2020 A. Person. All rights reserved.\n# Licensed under the GNU Lesser General\n# Public License, version 3.\n" + PROSE, "LGPL-3.0"),
+        "none/d.txt": (PROSE * 3, None), "reserved/e.txt": (PROSE + "\nCopyright. All rights reserved.", "proprietary"),
+    }
+    df = spark.createDataFrame([(p, t) for p, (t, _) in files.items()], "path string, text string")
+    got = {r["path"]: (r["licence"], r["how"]) for r in s.license_scan(df).collect()}
+    assert got == {p: (x, "header" if x else "none") for p, (_, x) in files.items()}
+
+
+def test_a_licence_line_beside_other_cue_lines_counts_and_declares_nothing(spark):
+    files = [("a/LICENSE", FILES[0][1]), FILES[3], ("a/b/c.py", "print(1)")]
+    got = {r["path"]: tuple(r)[1:] for r in s.license_scan(spark.createDataFrame(files, "path string, text string")).collect()}
+    assert got["a/b/f.py"] == ("Apache-2.0", 1.0, "header", None)
+    assert got["a/b/c.py"][0::2] == ("MIT", "inherited") and got["a/b/c.py"][3] == "a"
