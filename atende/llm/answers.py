@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from atende.llm import decontamination as d
 from atende.llm import quality_rules as q
 
 
@@ -61,4 +62,29 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 from fig
 """
 
-ANSWERS: dict[str, str] = {"op1_quality_rules": OP1}
+_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{d.UPPER}', '{d.LOWER}'), '{d.WORD}') as ws"
+
+OP11 = f"""
+with w as (select row_number() over () as r, doc_id, {_WORDS} from documents),
+b as (select item_id, {_WORDS} from benchmark),
+g as (
+  select distinct item_id, k, array_to_string(ws[i:i + k - 1], ' ') as gram
+  from (select item_id, ws, least(len(ws), {d.WINDOW}) as k, unnest(range(1, greatest(len(ws) - {d.WINDOW - 1}, 1) + 1)) as i from b where len(ws) > 0)
+),
+sizes as (select distinct k from g),
+dw as (
+  select r, i, k, array_to_string(ws[i:i + k - 1], ' ') as gram
+  from (select r, ws, k, unnest(range(1, len(ws) - k + 2)) as i from w join sizes on len(ws) >= k)
+),
+h as (select r, i, k, item_id from dw join g using (gram, k)),
+hit as (select r, count(distinct p) as n_hit from (select r, unnest(range(i, i + k)) as p from h) group by r),
+items as (
+  select r, count(*) as n_items, string_agg(item, ',' order by item) as names
+  from (select distinct r, cast(item_id as varchar) as item from h where item_id is not null) group by r
+)
+select doc_id, len(ws) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from w left join hit using (r) left join items using (r)
+"""
+
+ANSWERS: dict[str, str] = {"op1_quality_rules": OP1, "op11_decontamination": OP11}

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from atende.llm.best_fit_packing import best_fit_packing
+from atende.llm.decontamination import decontaminate
 from atende.llm.embedding_dedup import embedding_dedup
 from atende.llm.html_text import html_text
 from atende.llm.license_scan import license_scan
@@ -89,10 +90,20 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside windows of benchmark items, and which items those are."""
+    found = decontaminate(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"))
+    items = F.col("d.items")
+    return found.select(
+        "row.doc_id", "d.n_words", "d.n_hit", F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (F.col("d.n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_piece_sampling, op3_best_fit_packing, op4_suffix_dedup, op5_line_dedup, op6_token_counts,
-        op7_html_text, op8_embedding_dedup, op9_license_scan, op10_simhash_dedup,
+        op7_html_text, op8_embedding_dedup, op9_license_scan, op10_simhash_dedup, op11_decontamination,
     )
 }
