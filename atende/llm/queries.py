@@ -18,6 +18,7 @@ from atende.llm.piece_sampling import sample_pieces
 from atende.llm.quality_rules import quality_rules
 from atende.llm.simhash_dedup import simhash_components
 from atende.llm.suffix_dedup import suffix_dedup
+from atende.llm.token_alignment import alignment_counts
 from atende.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,10 +101,16 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of the tokens that two tokenizers cut every document into, with corpus-wide counts."""
+    return alignment_counts(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("row.doc_id", "*").drop("row")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_piece_sampling, op3_best_fit_packing, op4_suffix_dedup, op5_line_dedup, op6_token_counts,
         op7_html_text, op8_embedding_dedup, op9_license_scan, op10_simhash_dedup, op11_decontamination,
+        op12_token_alignment,
     )
 }

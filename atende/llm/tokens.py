@@ -3,14 +3,21 @@
 from __future__ import annotations
 
 import json
+import re
 from functools import lru_cache
 
+import numpy as np
 import tiktoken
 
 # Pieces remembered by a Python worker before it starts anew. A cache only: it changes no result.
 CACHE_PIECES = 400_000
 # Fixed value: the pre-token pattern of the vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Fixed value: white space of that pattern.
+_SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# The pattern's search fails on white space much longer than this, so such runs are cut out before it.
+LONG_RUN = 50_000
+_LONG_SPACE = re.compile(f"[{_SPACES}]{{{LONG_RUN},}}")
 
 
 def _byte_of_symbol() -> dict[str, int]:
@@ -21,13 +28,13 @@ def _byte_of_symbol() -> dict[str, int]:
 
 
 @lru_cache(4)
-def encoding(path: str) -> tiktoken.Encoding:
+def encoding(path: str, pattern: str = PATTERN) -> tiktoken.Encoding:
     """The encoder of a byte-level BPE file of the tokenizers library; special strings are plain text."""
     with open(path, encoding="utf-8") as file:
         vocabulary = json.load(file)["model"]["vocab"]
     byte = _byte_of_symbol()
     ranks = {bytes(byte[c] for c in token): i for token, i in vocabulary.items() if all(c in byte for c in token) and token != "<|endoftext|>"}
-    return tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
 class _Pieces(dict):
@@ -52,11 +59,19 @@ class Encoder:
     """
 
     def __init__(self, path: str):
-        self.enc = encoding(path)
+        self.enc, self.whole = encoding(path), encoding(path, "(?s).+")
         self.pieces = _Pieces(self.packed)
 
     def packed(self, text: str) -> bytes:
-        return self.enc.encode_to_numpy(text).astype("<u4").tobytes()
+        if len(text) < LONG_RUN:
+            return self.enc.encode_to_numpy(text).astype("<u4").tobytes()
+        parts, at = [], 0
+        for m in _LONG_SPACE.finditer(text):
+            # A run before other text ends one character early: its last one starts the next pre-token.
+            end = m.end() if m.end() == len(text) else m.end() - 1
+            parts += [self.enc.encode_to_numpy(text[at: m.start()]), self.whole.encode_to_numpy(text[m.start(): end])]
+            at = end
+        return np.concatenate([*parts, self.enc.encode_to_numpy(text[at:])]).astype("<u4").tobytes()
 
     def __call__(self, text: str) -> bytes:
         if "  " in text or len(text) < 16:
