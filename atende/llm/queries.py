@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from atende.llm.best_fit_packing import best_fit_packing
 from atende.llm.decontamination import decontaminate
 from atende.llm.embedding_dedup import embedding_dedup
+from atende.llm.embedding_whitening import whiten
 from atende.llm.html_text import html_text
 from atende.llm.license_scan import license_scan
 from atende.llm.line_dedup import line_dedup
@@ -106,11 +107,16 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment_counts(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("row.doc_id", "*").drop("row")
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of every vector."""
+    return whiten(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_piece_sampling, op3_best_fit_packing, op4_suffix_dedup, op5_line_dedup, op6_token_counts,
         op7_html_text, op8_embedding_dedup, op9_license_scan, op10_simhash_dedup, op11_decontamination,
-        op12_token_alignment,
+        op12_token_alignment, op13_embedding_whitening,
     )
 }
