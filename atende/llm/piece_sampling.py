@@ -15,9 +15,11 @@ lattice of a text is a chain of word lattices and a set is known by its prefix a
 from __future__ import annotations
 
 import heapq
+import itertools
 import math
 import re
 import zlib
+from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
@@ -36,9 +38,13 @@ SHIFT = 2.7
 ALPHA = 1.0
 # Log-weight of each byte of a character that the vocabulary lacks.
 BYTE_SCORE = -20.0
-# Segmentations of a word that are listed; words with more are walked through their lattice.
-MOST_LISTED = 256
-CACHE_WORDS = 100_000
+# Segmentations of a word are counted up to this number; a word is asked for fewer than that.
+MOST_WAYS = 1 << 24
+# Bytes of lattices that a worker keeps, and characters of the longest word it keeps. A cache only: it changes no result.
+CACHE_BYTES = 64 << 20
+CACHE_CHARS = 64
+# Ids of the rows that are handed on at a time.
+BATCH_IDS = 1 << 18
 SAMPLES = 4
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
@@ -50,59 +56,109 @@ def vocabulary() -> str:
 
 
 class Word:
-    """Lattice of one word: sums from each place to the end, and its segmentations if they are few."""
+    """Lattice of one word, edges of each place one after the other, with the probability of each among those of its place.
 
-    def __init__(self, text: str, pieces: dict[str, tuple[int, float]], longest: int, byte_ids: list[int]):
+    Edge probabilities count all that may follow, so a path drawn edge by edge is a draw of a segmentation.
+    """
+
+    def __init__(self, text: str, pieces: dict[str, tuple[int, float]], longest: int):
         n = len(text)
-        self.edges: list[list[tuple[int, tuple[int, ...], float]]] = [[] for _ in range(n)]
-        ways, rest = [0] * n + [1], [-math.inf] * n + [0.0]
-        for i in range(n - 1, -1, -1):
-            edges = self.edges[i]
+        self.first, ends, ids, scores = array("i", [0]), array("i"), array("i"), array("d")
+        for i in range(n):
             for j in range(i + 1, min(n, i + longest) + 1):
                 if (piece := pieces.get(text[i:j])) is not None:
-                    edges.append((j, (piece[0],), piece[1]))
-            if not edges or edges[0][0] != i + 1:  # a character without a piece goes as its bytes
-                data = text[i].encode()
-                edges.append((i + 1, tuple(byte_ids[b] for b in data), BYTE_SCORE * len(data)))
-            ways[i] = sum(ways[j] for j, _, _ in edges)
-            top = max(s + rest[j] for j, _, s in edges)
-            rest[i] = top + math.log(sum(math.exp(s + rest[j] - top) for j, _, s in edges))
-        self.rest, self.listed = rest, None
-        if ways[0] <= MOST_LISTED:
-            self.listed = sorted(self._all(0, (), 0.0), key=lambda x: (-x[1], x[0]))
-            self.sums = np.cumsum([math.exp(p) for _, p in self.listed]).tolist()
-
-    def _all(self, i: int, ids: tuple[int, ...], score: float) -> list[tuple[tuple[int, ...], float]]:
-        if i == len(self.edges):
-            return [(ids, score - self.rest[0])]
-        return [x for j, more, s in self.edges[i] for x in self._all(j, ids + more, score + s)]
-
-    def draw(self, rng: np.random.Generator, without: dict[tuple[int, ...], float]) -> tuple[tuple[int, ...], float]:
-        """(ids, log-probability) of a segmentation that is not among ``without``."""
-        if self.listed is not None:
-            if without:
-                left = [x for x in self.listed if x[0] not in without]
-                sums = np.cumsum([math.exp(p) for _, p in left])
-                return left[min(bisect_left(sums.tolist(), rng.random() * sums[-1]), len(left) - 1)]
-            return self.listed[min(bisect_left(self.sums, rng.random() * self.sums[-1]), len(self.listed) - 1)]
-        while True:
-            i, ids, score = 0, (), 0.0
-            while i < len(self.edges):
-                u = rng.random()
-                for j, more, s in self.edges[i]:
-                    u -= math.exp(s + self.rest[j] - self.rest[i])
-                    if u < 0:
-                        break
-                i, ids, score = j, ids + more, score + s
-            if ids not in without:
-                return ids, score - self.rest[0]
-
-    def open_mass(self, without: dict[tuple[int, ...], float]) -> float:
-        """Log-probability of the segmentations that are not among ``without``; minus infinity if there are none."""
-        if self.listed is not None and len(without) >= len(self.listed):
-            return -math.inf
-        mass = math.fsum(math.exp(p) for p in without.values())
-        return math.log1p(-mass) if mass < 1 - 1e-12 else -math.inf
+                    ends.append(j)
+                    ids.append(piece[0])
+                    scores.append(piece[1])
+                elif j == i + 1:  # a character without a piece goes as its bytes
+                    ends.append(j)
+                    ids.append(-ord(text[i]) - 1)
+                    scores.append(BYTE_SCORE * len(text[i].encode()))
+            self.first.append(len(ends))
+        rest, self.ways = array("d", bytes(8 * n)) + array("d", [0.0]), array("i", bytes(4 * n)) + array("i", [1])
+        self.cumulated = array("d", bytes(8 * len(ends)))
+        first, ways, cumulated = self.first, self.ways, self.cumulated
+        for i in range(n - 1, -1, -1):
+            own = range(first[i], first[i + 1])
+            ways[i] = min(MOST_WAYS, sum(ways[ends[e]] for e in own))
+            logs = [scores[e] + rest[ends[e]] for e in own]
+            top = max(logs)
+            total = math.fsum(math.exp(x - top) for x in logs)
+            rest[i] = top + math.log(total)
+            so_far = 0.0
+            for e, x in zip(own, logs):
+                scores[e] = x - rest[i]  # the logarithm of the edge's probability from here on
+                so_far += math.exp(scores[e])
+                cumulated[e] = so_far
+        self.ends, self.ids, self.logs = ends, ids, scores
+
+    def bytes(self) -> int:
+        return 400 + 8 * len(self.first) + 24 * len(self.ends)
+
+    def draw(self, draws: list[float], at: int) -> tuple[tuple[int, ...], float]:
+        """(edges, log-probability) of a segmentation by the uniform draws from ``at`` on."""
+        first, ends, logs, cumulated = self.first, self.ends, self.logs, self.cumulated
+        i, last, path, log = 0, len(first) - 1, [], 0.0
+        while i < last:
+            e = bisect_left(cumulated, draws[at + i], first[i], first[i + 1] - 1)
+            path.append(e)
+            log += logs[e]
+            i = ends[e]
+        return tuple(path), log
+
+    def draw_without(self, draws: list[float], at: int, without: dict[tuple[int, ...], float]) -> tuple[tuple[int, ...], float]:
+        """A segmentation that is not among ``without``, in proportion to the probabilities of all others."""
+        i, path, log, live = 0, [], 0.0, list(without)
+        while i < len(self.first) - 1:
+            if not live:
+                more, further = self._tail(i, draws, at)
+                return tuple(path) + more, log + further
+            own = range(self.first[i], self.first[i + 1])
+            masses = [self._left(e, [p for p in live if p[len(path)] == e], len(path)) for e in own]
+            u, k = draws[at + i] * math.fsum(masses), 0
+            while k < len(masses) - 1 and (u >= masses[k] or masses[k] == 0.0):
+                u -= masses[k]
+                k += 1
+            while masses[k] == 0.0:  # rounding went past the last edge with mass
+                k -= 1
+            e = own[k]
+            live = [p for p in live if p[len(path)] == e]
+            path.append(e)
+            log += self.logs[e]
+            i = self.ends[e]
+        return tuple(path), log
+
+    def _tail(self, i: int, draws: list[float], at: int) -> tuple[tuple[int, ...], float]:
+        path, log = [], 0.0
+        while i < len(self.first) - 1:
+            e = bisect_left(self.cumulated, draws[at + i], self.first[i], self.first[i + 1] - 1)
+            path.append(e)
+            log += self.logs[e]
+            i = self.ends[e]
+        return tuple(path), log
+
+    def _left(self, edge: int, without: list[tuple[int, ...]], depth: int) -> float:
+        """Probability of the edge and all that may follow, less the paths ``without`` that take it."""
+        p = math.exp(self.logs[edge])
+        return p if not without else p * self.open_mass([x[depth + 1:] for x in without], self.ends[edge])
+
+    def open_mass(self, without: list[tuple[int, ...]], i: int = 0) -> float:
+        """Probability, from place i on, of all paths but those given; summed over the edges that leave them, so nothing cancels."""
+        total: list[float] = []
+        work = [(i, 0.0, 0, without)]
+        while work:
+            i, log, depth, own = work.pop()
+            if len(own) >= self.ways[i]:  # at its cap a place has more ways than any list of paths
+                continue
+            taken: dict[int, list[tuple[int, ...]]] = {}
+            for p in own:
+                taken.setdefault(p[depth], []).append(p)
+            for e in range(self.first[i], self.first[i + 1]):
+                if e in taken:
+                    work.append((self.ends[e], log + self.logs[e], depth + 1, taken[e]))
+                else:
+                    total.append(math.exp(log + self.logs[e]))
+        return math.fsum(total)
 
 
 class Sampler:
@@ -115,25 +171,39 @@ class Sampler:
         self.longest = max(map(len, self.pieces))
         self.byte_ids = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.words: dict[str, Word] = {}
+        self.held = 0
         if any(SPACE in p.lstrip(SPACE) for p in self.pieces):
             raise ValueError("a piece goes over the start of a word")
 
     def word(self, text: str) -> Word:
         found = self.words.get(text)
         if found is None:
-            if len(self.words) >= CACHE_WORDS:
+            found = Word(text, self.pieces, self.longest)
+            if self.held > CACHE_BYTES:
                 self.words.clear()
-            found = self.words[text] = Word(text, self.pieces, self.longest, self.byte_ids)
+                self.held = 0
+            if len(text) <= CACHE_CHARS:
+                self.words[text] = found
+                self.held += found.bytes()
         return found
 
-    def sample(self, text: str, k: int, seed: int) -> list[tuple[list[int], float, float]]:
+    def ids(self, words: list[Word], path: list[tuple[tuple[int, ...], float]]) -> np.ndarray:
+        found = [w.ids[e] for w, (edges, _) in zip(words, path) for e in edges]
+        if found and min(found) < 0:
+            found = [y for x in found for y in ([x] if x >= 0 else [self.byte_ids[b] for b in chr(-x - 1).encode()])]
+        return np.array(found, np.int32)
+
+    def sample(self, text: str, k: int, seed: int) -> list[tuple[np.ndarray, float, float]]:
         """Up to k distinct (ids, log-probability, log inclusion probability), best perturbed value first.
 
         The text is taken as it is, after a dummy space; an empty one has the empty segmentation only. The
         inclusion probability is that of the threshold, the perturbed value of the (k + 1)-th.
         """
-        words = [self.word(w) for w in _WORD.findall(SPACE + text.replace(" ", SPACE))] if text else []
+        texts = _WORD.findall(SPACE + text.replace(" ", SPACE)) if text else []
+        words = [self.word(w) for w in texts]
+        starts = [0, *itertools.accumulate(map(len, texts))]
         rng, n = np.random.default_rng(seed), len(words)
+        several = np.array([w.ways[0] > 1 for w in words], bool)
         # A set: (-perturbed maximum, number, path whose first ``at`` words are fixed, at, left-out segmentations of word ``at``).
         agenda: list[tuple] = [(-rng.gumbel(), 0, [], 0, {})]
         number, out = 1, []
@@ -142,17 +212,23 @@ class Sampler:
             if len(out) == k:
                 out.append((None, 0.0, -value))
                 break
-            path = path[:at] + [w.draw(rng, without if i == at else {}) for i, w in enumerate(words[at:], at)]
+            draws = rng.random(starts[-1]).tolist()
+            new = [w.draw(draws, s) for w, s in zip(words[at:], starts[at:])]
+            if without:
+                new[0] = words[at].draw_without(draws, starts[at], without)
+            path = path[:at] + new
             logs = np.array([p for _, p in path])
-            out.append(([x for ids, _ in path for x in ids], float(logs.sum()), -value))
+            out.append((self.ids(words, path), float(logs.sum()), -value))
             # Sets that leave the path at word t; only as many as may still be needed go on the agenda.
             before = np.concatenate([[0.0], np.cumsum(logs)])[at:n]
+            own = logs[at:]
             with np.errstate(divide="ignore"):
-                masses = np.log1p(-np.minimum(np.exp(logs[at:]), 1.0))
-            masses[-np.expm1(logs[at:]) < 1e-12] = -np.inf
+                masses = np.where(several[at:], np.log1p(-np.exp(np.minimum(own, -1e-9))), -np.inf)
+            for t in np.flatnonzero(several[at:] & (own > -1e-6)).tolist():  # where the difference to one would lose digits
+                masses[t] = _log(words[at + t].open_mass([path[at + t][0]]))
             if n > at:
                 first = without | {path[at][0]: path[at][1]}
-                masses[0] = words[at].open_mass(first)
+                masses[0] = _log(words[at].open_mass(list(first)))
             masses += before
             with np.errstate(divide="ignore", over="ignore"):
                 values = -np.logaddexp(value, -masses + np.log(rng.exponential(size=len(masses))))
@@ -165,8 +241,12 @@ class Sampler:
         score = lambda p: 0.0 if threshold == -math.inf else _log1mexp(p - threshold)
         return [(ids, p, score(p)) for ids, p, _ in out]
 
-    def decode(self, ids: list[int]) -> str:
-        return self.model.decode(ids) if ids else ""
+    def decode(self, ids: np.ndarray) -> str:
+        return self.model.decode(ids.tolist()) if len(ids) else ""
+
+
+def _log(x: float) -> float:
+    return math.log(x) if x > 0 else -math.inf
 
 
 def _log1mexp(x: float) -> float:
@@ -198,17 +278,25 @@ def sample_pieces(
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sampler(path or vocabulary(), alpha)
         for batch in batches:
-            at, out = [], []
+            at, out, size = [], [], 0
             for i, (key, body) in enumerate(zip(batch.column("key").to_pylist(), batch.column("text"))):
                 body = body.as_py()
                 seed = xxhash.xxh3_64_intdigest(repr((list(key.values()), body)).encode("utf-8", "surrogatepass"))
                 for rank, (ids, p, q) in enumerate(own.sample(body, samples, seed)):
                     at.append(i)
-                    out.append((rank, ids, zlib.crc32(np.array(ids, "<u4").tobytes()), len(ids), p, q, own.decode(ids) == body))
-            cols = list(zip(*out)) or [[]] * 7
-            kinds = (pa.int32(), pa.list_(pa.int32()), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.bool_())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("key").take(pa.array(at, pa.int64())), *(pa.array(c, k) for c, k in zip(cols, kinds))], names=result.names
-            )
+                    out.append((rank, ids, zlib.crc32(ids.astype("<u4").tobytes()), len(ids), p, q, own.decode(ids) == body))
+                    size += len(ids)
+                    if size >= BATCH_IDS:
+                        yield packed(batch, at, out)
+                        at, out, size = [], [], 0
+            if out:
+                yield packed(batch, at, out)
+
+    def packed(batch: pa.RecordBatch, at: list[int], out: list[tuple]) -> pa.RecordBatch:
+        rank, ids, *others = zip(*out)
+        lists = pa.ListArray.from_arrays(pa.array([0, *itertools.accumulate(map(len, ids))], pa.int32()), pa.array(np.concatenate(ids)))
+        kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.bool_())
+        columns = [pa.array(rank, pa.int32()), lists, *(pa.array(c, k) for c, k in zip(others, kinds))]
+        return pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(at, pa.int64())), *columns], names=result.names)
 
     return rows.mapInArrow(draw, result).select("key.*", *result.names[1:])

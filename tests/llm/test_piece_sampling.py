@@ -29,10 +29,7 @@ def all_paths(own, text):
     return {ids: math.exp(x) / top for ids, x in done}
 
 
-@pytest.mark.parametrize("listed", [256, 0])
-def test_samples_are_drawn_without_replacement(own, monkeypatch, listed):
-    monkeypatch.setattr(s, "MOST_LISTED", listed)
-    own.words.clear()
+def test_samples_are_drawn_without_replacement(own):
     exact, pairs = all_paths(own, "at on"), Counter()
     runs = 4000
     for seed in range(runs):
@@ -44,7 +41,6 @@ def test_samples_are_drawn_without_replacement(own, monkeypatch, listed):
     for a, b in itertools.permutations(exact, 2):
         expected = exact[a] * exact[b] / (1 - exact[a])
         assert abs(pairs[a, b] / runs - expected) < 5 * math.sqrt(expected / runs) + 0.002
-    own.words.clear()
 
 
 def test_inclusion_scores_are_unbiased(own):
@@ -54,6 +50,25 @@ def test_inclusion_scores_are_unbiased(own):
     assert abs(total / 3000 - sum(exact.values())) < 0.1
 
 
+def test_third_draw_and_a_small_cache(own, monkeypatch):
+    """Three of the segmentations of one word in order, also where no lattice is kept."""
+    monkeypatch.setattr(s, "CACHE_BYTES", 0)
+    exact, triples, runs = all_paths(own, "one"), Counter(), 6000
+    for seed in range(runs):
+        triples[tuple(tuple(x[0]) for x in own.sample("one", 3, seed))] += 1
+    for a, b, c in itertools.permutations(exact, 3):
+        expected = exact[a] * exact[b] / (1 - exact[a]) * exact[c] / (1 - exact[a] - exact[b])
+        assert abs(triples[a, b, c] / runs - expected) < 5 * math.sqrt(expected / runs) + 0.002
+
+
+@pytest.mark.parametrize("text", ["7" * 100_000, "漢字語" * 30_000, "1234567890" * 10_000, "🤦" * 20_000, "http://example.org/" + "aB3-" * 20_000, "x" * 100_000])
+def test_long_texts_without_spaces(own, text):
+    got = own.sample(text, 4, 3)
+    ways = own.word(s.SPACE + text).ways[0]
+    assert len({x[0].tobytes() for x in got}) == min(4, ways) and all(own.decode(x[0]) == text for x in got)
+    assert not own.words.get(s.SPACE + text)
+
+
 def test_few_segmentations_are_all_given(own):
     exact = all_paths(own, "a b")
     got = own.sample("a b", 100, 1)
@@ -63,7 +78,7 @@ def test_few_segmentations_are_all_given(own):
 @pytest.mark.parametrize("text", ["", " ", "a", "  two  spaces ", "tab\there\n\nlines", "é漢字🤦 ͸", "x" * 3000, "word " * 3000, "Internationalization of antidisestablishmentarianism"])
 def test_round_trip_and_seed(own, text):
     got = own.sample(text, 3, 7)
-    assert got == own.sample(text, 3, 7)
+    assert [(x[0].tolist(), *x[1:]) for x in got] == [(x[0].tolist(), *x[1:]) for x in own.sample(text, 3, 7)]
     assert len({tuple(x[0]) for x in got}) == len(got) >= 1
     assert all(own.decode(ids) == text for ids, _, _ in got)
 
