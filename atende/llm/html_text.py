@@ -36,11 +36,14 @@ CLOSES = {
     "thead": ({"thead", "tbody", "tfoot", "caption"}, {"table"}), "tbody": ({"thead", "tbody", "tfoot", "caption"}, {"table"}),
     "tfoot": ({"thead", "tbody", "tfoot", "caption"}, {"table"}), "body": ({"head"}, {"html"}),
 }
+# Widest cell that others are lined up behind, and deepest indentation; what goes beyond is written all the same.
+MOST_WIDTH = 120
+MOST_INDENT = 40
 # Content that ends the head of a page without a body tag.
 HEAD_ONLY = {"base", "link", "meta", "noscript", "script", "style", "template", "title", "head", "html"}
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"']|[\"'])*?)>", re.S
-)
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+# Attributes up to the end of a tag, which is no ">" in quotes; possessive, so that nothing is tried twice.
+_INSIDE = re.compile(r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*+", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)")
@@ -48,26 +51,48 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)")
 
 def tokens(page: str) -> Iterator[tuple[str, str, str]]:
     """(kind, name or text, attributes): kinds are text, raw (text without entities), open and close."""
-    at, low = 0, None
-    while at < len(page):
-        m = _TOKEN.search(page, at)
-        if not m:
-            break
-        if m.start() > at:
-            yield "text", page[at: m.start()], ""
-        at = m.end()
-        if not m[2]:
+    at, text_from, quotes = 0, 0, True
+    while (at := page.find("<", at)) >= 0:
+        start, name, attrs = at, "", ""
+        closing = page.startswith("/", at + 1)
+        if page.startswith("<!--", at):
+            at = _after(page, "-->", at + 4)
+        elif page.startswith("<![CDATA[", at):
+            at = _after(page, "]]>", at + 9)
+        elif page.startswith(("<!", "<?"), at):
+            at = _after(page, ">", at + 2)
+        elif m := _NAME.match(page, at + 1 + closing):
+            end = _INSIDE.match(page, m.end()).end() if quotes else m.end()
+            if not page.startswith(">", end):  # a quote is open to the end of the page: from here on quotes mean nothing
+                quotes = False
+                end = page.find(">", m.end())
+            if end < 0:
+                break
+            name, attrs, at = m[0].lower(), page[m.end(): end], end + 1
+        else:
+            at += 1
+            continue
+        if start > text_from:
+            yield "text", page[text_from:start], ""
+        text_from = at
+        if not name:
             continue
-        name = m[2].lower()
-        yield ("close" if m[1] else "open"), name, m[3]
-        if name in RAW and not m[1]:
-            low = low if low is not None else page.lower() if len(page.lower()) == len(page) else page
-            end = low.find(f"</{name}", at)
-            end = len(page) if end < 0 else end
+        yield ("close" if closing else "open"), name, attrs
+        if name in RAW and not closing:
+            m = _RAW_END[name].search(page, at)
+            end = m.start() if m else len(page)
             yield ("text" if name in ("textarea", "title") else "raw"), page[at:end], ""
-            at = end
-    if at < len(page):
-        yield "text", page[at:], ""
+            at = text_from = end
+    if text_from < len(page):
+        yield "text", page[text_from:], ""
+
+
+_RAW_END = {name: re.compile(f"</{name}", re.I | re.A) for name in RAW}
+
+
+def _after(page: str, mark: str, at: int) -> int:
+    end = page.find(mark, at)
+    return len(page) if end < 0 else end + len(mark)
 
 
 def attributes(text: str) -> dict[str, str]:
@@ -77,27 +102,24 @@ def attributes(text: str) -> dict[str, str]:
 def events(page: str) -> Iterator[tuple[str, str, str]]:
     """Balanced open and close events with implied tags, and texts."""
     stack: list[str] = []
-    count: dict[str, int] = {}
+    count: dict[str, list[int]] = {}  # places of each name on the stack
 
     def push(name: str, attrs: str = "") -> tuple[str, str, str]:
+        count.setdefault(name, []).append(len(stack))
         stack.append(name)
-        count[name] = count.get(name, 0) + 1
         return "open", name, attrs
 
     def pop() -> tuple[str, str, str]:
         name = stack.pop()
-        count[name] -= 1
+        count[name].pop()
         return "close", name, ""
 
     def up_to(names: set[str], scope: set[str]) -> int | None:
-        if not any(count.get(n) for n in names):
+        """Place of the innermost of the names, unless one of the scope stands above it."""
+        found = max((count[n][-1] for n in names if count.get(n)), default=None)
+        if found is None or any(count[n][-1] > found for n in scope if count.get(n)):
             return None
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i] in names:
-                return i
-            if stack[i] in scope:
-                return None
-        return None
+        return found
 
     for kind, name, attrs in tokens(page):
         if kind in ("text", "raw"):
@@ -158,7 +180,7 @@ class _Flow:
         if self.gap or not self.parts:
             if self.parts:
                 self.parts.append("\n" * self.gap)
-            self.parts.append(" " * (self.indent - len(self.marker)) + self.marker)
+            self.parts.append(" " * (min(self.indent, MOST_INDENT) - len(self.marker)) + self.marker)
             self.gap, self.space, self.marker = 0, False, ""
 
     def text(self, text: str) -> None:
@@ -191,7 +213,10 @@ class _Flow:
 def _columns(rows: list[list[str]]) -> list[str]:
     """Lines of a table whose cells start at the same place; cells of several lines keep their lines."""
     cells = [[c.split("\n") for c in row] for row in rows]
-    width = [max((len(x) for row in cells if k < len(row) for x in row[k]), default=0) for k in range(max(map(len, cells), default=0))]
+    width = [0] * max(map(len, cells), default=0)
+    for row in cells:
+        for k, lines in enumerate(row):
+            width[k] = max(width[k], min(max(map(len, lines)), MOST_WIDTH))
     out = []
     for row in cells:
         for i in range(max(map(len, row), default=0)):
