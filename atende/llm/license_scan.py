@@ -59,42 +59,45 @@ def units_of(text: Column, named: Column) -> Column:
 
     def windows(sentence: Column) -> Column:
         def cut(words: Column) -> Column:
-            starts = lambda size, step: F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(words) - size + step - 1), F.lit(step))
-            parts = [F.transform(starts(size, step), lambda n, size=size: F.array_join(F.slice(words, n + 1, size), " ")) for size, step in WINDOWS]
-            return F.when(F.size(words) > WINDOWS[0][0], F.concat(*parts)).otherwise(F.array().cast("array<string>"))
+            def of(size: int, step: int) -> Column:
+                starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(words) - size + step - 1), F.lit(step))
+                return F.transform(starts, lambda n: F.array_join(F.slice(words, n + 1, size), " "))
+
+            return F.when(F.size(words) > WINDOWS[0][0], F.concat(*(of(*w) for w in WINDOWS))).otherwise(F.array().cast("array<string>"))
 
         return let(F.split(F.trim(sentence), r"\s+"), cut)
 
     return F.array_distinct(F.concat(sentences, near(F.flatten(F.transform(sentences, windows)))))
 
 
-def _terms(df: DataFrame, key: str) -> DataFrame:
-    return df.select(key, F.explode(words_of(F.col(key))).alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf"))
+def _terms(df: DataFrame, text: str, key: str) -> DataFrame:
+    """(key, term, tf): the words of each text; the text itself is not carried along."""
+    return df.select(key, F.explode(words_of(F.col(text))).alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf"))
 
 
 def frequencies(headers: DataFrame, templates: DataFrame, stage: Stage) -> DataFrame:
     """(t, df): document frequencies over all distinct headers and templates."""
-    terms = _terms(headers, "header").select("term").union(_terms(templates, "template").join(templates, "template").select("term"))
+    terms = _terms(headers, "header", "key").select("term").union(_terms(templates, "template", "template").join(templates, "template").select("term"))
     return stage(terms.groupBy("term").agg(F.count("*").alias("df")).withColumnRenamed("term", "t"))
 
 
 def cosines(headers: DataFrame, templates: DataFrame, df: DataFrame, n: int, stage: Stage) -> DataFrame:
-    """(header, licence, cosine): the best template of each distinct header text; smallest name on ties."""
-    own, known = _terms(headers, "header"), _terms(templates, "template").join(templates, "template")
+    """(key, licence, cosine): the best template of each header (key, header); smallest name on ties."""
+    own, known = _terms(headers, "header", "key"), _terms(templates, "template", "template").join(templates, "template")
     idf = F.log(F.lit(1.0 + n) / (1 + F.coalesce("df", F.lit(0)))) + 1
     weigh = lambda x: x.join(df, F.col("term") == F.col("t"), "left").withColumn("w", F.col("tf") * idf).drop("t", "df", "tf")
     own, known = stage(weigh(own)), stage(weigh(known))
     norm = lambda x, key, as_: x.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias(as_))
     # The templates are a fixed list, which bounds the broadcast.
     table = known.join(norm(known, "template", "tn"), "template").select("template", "licence", F.col("term").alias("t"), F.col("w").alias("tw"), "tn")
-    dots = own.join(F.broadcast(table), F.col("term") == F.col("t")).groupBy("header", "template", "licence").agg(
+    dots = own.join(F.broadcast(table), F.col("term") == F.col("t")).groupBy("key", "template", "licence").agg(
         F.sum(F.col("w") * F.col("tw")).alias("dot"), F.first("tn").alias("tn")
     )
-    scored = dots.join(norm(own, "header", "hn").withColumnRenamed("header", "h"), F.col("header") == F.col("h")).select(
-        "header", "licence", F.round(F.col("dot") / (F.col("tn") * F.col("hn")), 6).alias("cosine")
+    scored = dots.join(norm(own, "key", "hn").withColumnRenamed("key", "k"), F.col("key") == F.col("k")).select(
+        "key", "licence", F.round(F.col("dot") / (F.col("tn") * F.col("hn")), 6).alias("cosine")
     )
     best = F.min(F.struct((-F.col("cosine")).alias("c"), "licence"))
-    return scored.groupBy("header").agg(best.alias("b")).select("header", F.col("b.licence").alias("licence"), (-F.col("b.c")).alias("cosine"))
+    return scored.groupBy("key").agg(best.alias("b")).select("key", F.col("b.licence").alias("licence"), (-F.col("b.c")).alias("cosine"))
 
 
 def ancestors(path: Column) -> Column:
@@ -118,26 +121,29 @@ def license_scan(files: DataFrame, path: str = "path", text: str = "text", least
     rows = rows.withColumn("header", F.when(F.col("named"), F.col("body")).otherwise(header_of(F.col("body"))))
     has = F.col("header") != ""
     rows = stage(rows.select(
-        "path", "named", F.when(has, F.col("header")).alias("header"), F.length("body").alias("chars"),
+        "path", "named", F.when(has, F.col("header")).alias("header"), F.when(has, F.sha2("header", 256)).alias("head"), F.length("body").alias("chars"),
         F.when(has, F.sha2(F.concat(F.col("named").cast("string"), "body"), 256)).alias("file"),
         F.when(has, units_of(F.col("body"), F.col("named"))).alias("units"),
     ))
     spark = files.sparkSession
     templates = spark.createDataFrame(list(TEMPLATES), "licence string, template string")
-    headers = stage(rows.where("header is not null").select("header").distinct())
+    headers = stage(rows.where("header is not null").select(F.col("head").alias("key"), "header").dropDuplicates(["key"]))
     df, n = frequencies(headers, templates, stage), headers.count() + len(TEMPLATES)
-    best = stage(cosines(headers, templates, df, n, stage).where(F.col("cosine") >= least).withColumnRenamed("header", "h"))
-    whole = stage(rows.join(best, F.col("header") == F.col("h"), "left").drop("h"))
+    best = stage(cosines(headers, templates, df, n, stage).where(F.col("cosine") >= least))
+    whole = stage(rows.withColumn("header_chars", F.length("header")).drop("header").join(best, F.col("head") == F.col("key"), "left").drop("key", "head"))
     open_ = F.col("file").isNotNull() & (F.col("licence").isNull() | (F.col("licence") == RESERVED))
-    units = stage(whole.where(open_).select("file", F.explode("units").alias("unit")).distinct())
-    scores = stage(cosines(units.select(F.col("unit").alias("header")).distinct(), templates, df, n, stage).where(F.col("cosine") >= least))
-    order = F.min(F.struct((F.col("licence") == RESERVED).alias("r"), (-F.col("cosine")).alias("c"), "licence", (-F.length("unit")).alias("len")))
-    parts = units.join(scores, F.col("unit") == F.col("header")).groupBy(F.col("file").alias("f")).agg(order.alias("u"))
+    # A file's units are taken apart once for each distinct file; a long sentence is told from others by its digest.
+    units = whole.where(open_).dropDuplicates(["file"]).select("file", F.explode("units").alias("unit"))
+    units = stage(units.select("file", "unit", F.sha2("unit", 256).alias("of"), F.length("unit").alias("unit_chars")))
+    distinct = units.select(F.col("of").alias("key"), F.col("unit").alias("header")).dropDuplicates(["key"])
+    scores = stage(cosines(distinct, templates, df, n, stage).where(F.col("cosine") >= least))
+    order = F.min(F.struct((F.col("licence") == RESERVED).alias("r"), (-F.col("cosine")).alias("c"), "licence", (-F.col("unit_chars")).alias("len")))
+    parts = units.drop("unit").join(scores, F.col("of") == F.col("key")).groupBy(F.col("file").alias("f")).agg(order.alias("u"))
     better = F.col("u").isNotNull() & (F.col("licence").isNull() | ~F.col("u.r"))
     found = stage(
         whole.drop("units").join(stage(parts), open_ & (F.col("file") == F.col("f")), "left")
         .withColumn("cosine", F.when(better, -F.col("u.c")).otherwise(F.col("cosine")))
-        .withColumn("chars_of", F.when(better, -F.col("u.len")).otherwise(F.length("header")))
+        .withColumn("chars_of", F.when(better, -F.col("u.len")).otherwise(F.col("header_chars")))
         .withColumn("licence", F.when(better, F.col("u.licence")).otherwise(F.col("licence"))).drop("f", "u", "file")
     )
     is_file = F.col("named") | (2 * F.col("chars_of") >= F.col("chars"))

@@ -13,10 +13,24 @@ FILES = [
 ]
 
 
+def brute_units(text, named):
+    """Sentences of the lines and of the text, and windows of words of the long ones."""
+    near = lambda units: [u for u in units if named or re.search(s.CUE, u)]
+    sentences = near([*re.split(s.SENTENCE_END, text), *(u for line in text.split("\n") for u in re.split(s.SENTENCE_END, line))])
+    cut = []
+    for u in sentences:
+        words = u.split()
+        if len(words) > s.WINDOWS[0][0]:
+            cut += [" ".join(words[at: at + size]) for size, step in s.WINDOWS for at in range(0, max(0, len(words) - size + step - 1) + 1, step)]
+    return set(sentences + near(cut))
+
+
 def brute(files):
-    head = lambda t: " ".join(x for x in (t or "").split("\n") if re.search(s.CUE, x)) or None
+    named = lambda p: bool(p is not None and re.search(s.FILE_NAMES.replace(r"\z", r"\Z"), p.split("/")[-1]))
+    cues = lambda t: " ".join(x for x in t.split("\n") if re.search(s.CUE, x))
+    head = lambda p, t: (t or "" if named(p) else cues(t or "")) or None
     words = lambda t: [w for w in re.split(r"[^a-z0-9]+", t.lower()) if w]
-    heads = {head(t) for _, t in files} - {None}
+    heads = {head(p, t) for p, t in files} - {None}
     bags = [Counter(words(h)) for h in heads] + [Counter(words(t)) for _, t in s.TEMPLATES]
     df = Counter(w for b in bags for w in b)
     weigh = lambda t: {w: n * (math.log((1 + len(bags)) / (1 + df[w])) + 1) for w, n in Counter(words(t)).items()}
@@ -26,22 +40,33 @@ def brute(files):
         v, out = weigh(h), []
         for name, t in s.TEMPLATES:
             u = weigh(t)
-            out.append((-round(sum(v[w] * u.get(w, 0) for w in v) / norm(v) / norm(u), 6), name))
-        c, name = min(out)
+            out += [(-round(sum(v[w] * u.get(w, 0) for w in v) / norm(v) / norm(u), 6), name)] if v else []
+        c, name = min(out, default=(0, None))
         return (name, -c) if -c >= s.LEAST_COSINE else None
 
-    own = {h: best(h) for h in heads}
+    def verdict(p, t):
+        """(licence, cosine, characters that name it) of a file by itself."""
+        h = head(p, t)
+        if h is None:
+            return None
+        own = best(h)
+        if own is None or own[0] == s.RESERVED:
+            scored = [(x[0] == s.RESERVED, -x[1], x[0], -len(u)) for u in brute_units(t, named(p)) if (x := best(u))]
+            if scored and (own is None or not min(scored)[0]):
+                _, c, name, n = min(scored)
+                return name, -c, -n
+        return own and (*own, len(h))
+
+    own = [verdict(p, t) for p, t in files]
     declared = {}
-    for p, t in files:
-        h = head(t)
-        if p is not None and h and own[h] and (re.search(s.FILE_NAMES.replace(r"\z", r"\Z"), p.split("/")[-1]) or 2 * len(h) >= len(t)):
+    for (p, t), v in zip(files, own):
+        if p is not None and v and (named(p) or 2 * v[2] >= len(t)):
             d = "/".join(p.split("/")[:-1])
-            declared[d] = min(declared.get(d, (0, "~")), (-own[h][1], own[h][0]))
+            declared[d] = min(declared.get(d, (0, "~")), (-v[1], v[0]))
     out = []
-    for p, t in files:
-        h = head(t)
-        if h and own[h]:
-            out.append((p, *own[h], "header", None))
+    for (p, _), v in zip(files, own):
+        if v:
+            out.append((p, *v[:2], "header", None))
             continue
         parts = (p or "").split("/")[:-1]
         up = [d for n in range(len(parts), -1, -1) if (d := "/".join(parts[:n])) in declared] if p is not None else []
@@ -50,9 +75,10 @@ def brute(files):
 
 
 def test_against_brute_force(spark):
-    df = spark.createDataFrame([(p, t, "x") for p, t in FILES], "path string, text string, licence string")
+    files = [*FILES, ("whole/LICENSE", MIT), ("whole/x.c", "int x;"), ("long/a.txt", PROSE * 300 + "Released under the MIT License. " + PROSE * 300), ("prose/b.txt", PROSE)]
+    df = spark.createDataFrame([(p, t, "x") for p, t in files], "path string, text string, licence string")
     result = s.license_scan(df)
-    assert sorted(map(repr, map(tuple, result.collect()))) == sorted(map(repr, brute(FILES)))
+    assert sorted(map(repr, map(tuple, result.collect()))) == sorted(map(repr, brute(files)))
     assert s.license_scan(df.where("false")).count() == 0
 
 
