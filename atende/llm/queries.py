@@ -49,7 +49,7 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without its repeated passages."""
     return suffix_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text")).select(
-        "row.doc_id", "r.n_bytes", "r.n_removed", "r.n_spans", "r.kept_sha256"
+        "row.doc_id", "r.n_bytes", "r.n_removed", "r.n_spans", "r.kept_sha256", "r.kept_text"
     )
 
 
