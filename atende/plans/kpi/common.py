@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from atende.functions.rules import half_up
-from atende.operators.lookup import with_dim
+from atende.operators.lookup import partition_of, with_dim
 from atende.operators.ranks import order_by
 
 # Status labels the call KPIs count.
@@ -53,8 +53,13 @@ def optional(df: DataFrame, name: str, to: str) -> Column:
 
 
 def since_year(fact: DataFrame, date_key: str, min_year: int | None) -> DataFrame:
-    """Year floor on the yyyyMMdd key itself, so that it reaches the fact's file scan."""
-    return fact if min_year is None else fact.filter(F.col(date_key) >= min_year * 10000)
+    """Year floor on the yyyyMMdd key itself and its month partition, so that it reaches the fact's file scan."""
+    if min_year is None:
+        return fact
+    part = partition_of(date_key)
+    if part in fact.columns:
+        fact = fact.filter(F.col(part) >= min_year * 100)
+    return fact.filter(F.col(date_key) >= min_year * 10000)
 
 
 def with_day(fact: DataFrame, t, fk: str, take: Sequence[str] | dict[str, str]) -> DataFrame:

@@ -1,5 +1,10 @@
 """The layered tables of one source folder, built in dependency order and stored once.
 
+Stored tables are partitioned: current-state tables by verdict and the date parts of their spec, facts by the
+month of their date key, with files sorted by the key. The checked rows of a current-state table are written
+once; the table itself, its quarantine and its run figures are views of them. Each build goes to a folder
+of its own, so a reader of an earlier build keeps its files.
+
 Current-state and star-schema tables are written as Parquet and read back: dimensions get
 exact file sizes (so the planner, not a hint, decides what is small enough to broadcast),
 facts are resolved once for all queries, and a lost executor only costs a re-read.
@@ -10,17 +15,21 @@ from __future__ import annotations
 import hashlib
 import os
 import threading
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from atende.operators.lookup import partition_of
 from atende.plans import dims
 from atende.plans.facts import FACTS, build_fact
-from atende.plans.silver import SPECS, build_silver
+from atende.plans.silver import SPECS, build_silver, mark_silver, silver_spec
 from atende.sources import bindings
 from atende.sources.stage import work_dir
+from atende.sources.tables import Published
+from atende.sources.verdicts import MarkedTable
 
 AS_OF = "2024-01-16"
 CALENDAR = ("1992-01-01", "2030-12-31")
@@ -48,7 +57,10 @@ DIM_SOURCES = {
 PARALLEL_BUILDS = 5
 GOLD = DIM_WAVE + BASE_FACT_WAVE + CHILD_FACT_WAVE
 
-LAYERS = ("bronze", "silver", "gold", "publish")
+# The one batch of a layer build.
+FULL_BUILD = "completo"
+# Days of a month share a folder under this grain; "day" gives each day its own, for tables of some GB a day.
+GRAINS = ("month", "day")
 
 
 def build_dim(name: str, spark: SparkSession, t, calendar: tuple[str, str] = CALENDAR) -> DataFrame:
@@ -72,13 +84,17 @@ class Lakehouse:
         root: str | None = None,
         as_of: str = AS_OF,
         calendar: tuple[str, str] = CALENDAR,
+        grain: str = "month",
     ):
+        if grain not in GRAINS:
+            raise ValueError(f"grain is one of {GRAINS}")
         self.spark, self.source_dir = spark, source_dir.rstrip("/")
         self.as_of, self.calendar = as_of, calendar
         label = hashlib.md5(self.source_dir.encode()).hexdigest()[:12]
         self.root = root or os.path.join(work_dir(spark), label)
+        self.grain = grain
         self._tables: dict[str, DataFrame] = {}
-        self._sizes: dict[str, int] = {}
+        self._marked: dict[str, MarkedTable] = {}
         self._lock = threading.RLock()
 
     def source(self, table: str) -> DataFrame:
@@ -122,14 +138,41 @@ class Lakehouse:
         return DIM_SOURCES[name]
 
     def _store(self, name: str) -> DataFrame:
+        path = os.path.join(self.root, name, uuid.uuid4().hex[:12])
+        if name in SPECS:
+            return self._store_silver(name, path)
         df = self.plan(name)
-        path = os.path.join(self.root, name)
         if name in FACTS:
-            # Ordered files give the scans date ranges to skip by.
-            df = df.sortWithinPartitions(FACTS[name].date_key)
-        df.write.mode("overwrite").parquet(path)
+            return self._store_fact(df, path, FACTS[name].date_key)
+        df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def _store_silver(self, entity: str, path: str) -> DataFrame:
+        """All checked rows in one write; the valid ones are the table."""
+        marked = mark_silver(entity, self.bronze(entity), as_of=self.as_of, tie_break="_seq", extended=True)
+        partition = silver_spec(entity, self.as_of).partition
+        by = [c for c in (partition[1] if partition else ()) if self.grain == "day" or not c.startswith("dia")]
+        table = MarkedTable(self.spark, path, marked.schema, by)
+        table.write(marked, FULL_BUILD, ingested=F.lit(self.as_of))
+        self._marked[entity] = table
+        return table.valid()
+
+    def _store_fact(self, df: DataFrame, path: str, date_key: str) -> DataFrame:
+        """A fact by month of its date key; its frame ends with that column, which filters and joins prune by."""
+        part = partition_of(date_key)
+        rows = df.withColumn(part, F.floor(F.col(date_key) / 100).cast("int"))
+        rows.hint("rebalance", F.col(part)).sortWithinPartitions(part, date_key).write.partitionBy(part).parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
+    def marked(self, entity: str) -> MarkedTable:
+        """The checked rows of a current-state table."""
+        self.require([entity])
+        return self._marked[entity]
+
+    def quarantine(self, entity: str) -> DataFrame:
+        """Rejected rows of a current-state table, with the reason and the day of ingestion."""
+        return self.marked(entity).rejected()
+
     def require(self, names: list[str]) -> None:
         """Store the missing tables among ``names`` and what they need, independent ones at once."""
         with self._lock:
@@ -155,13 +198,6 @@ class Lakehouse:
             self.require([name])
         return self._tables[name]
 
-    def size(self, name: str) -> int:
-        """Stored row count, used to decide between a small and a distributed plan."""
-        with self._lock:
-            if name not in self._sizes:
-                self._sizes[name] = self[name].count()
-            return self._sizes[name]
-
     def path(self, *parts: str) -> str:
         return os.path.join(self.root, *parts)
 
@@ -191,18 +227,20 @@ class Lakehouse:
         for layer in list(waves)[first:]:
             for name in waves[layer]:
                 self._tables.pop(name, None)
-                self._sizes.pop(name, None)
+                self._marked.pop(name, None)
         for layer in list(waves)[first:]:
             self.require(waves[layer])
             done[layer] = waves[layer]
         if publish_to:
-            from atende.sources.tables import publish_snapshot
-
-            for name in waves["gold"]:
-                publish_snapshot(self[name], os.path.join(publish_to, name))
+            Published(self.spark, publish_to).publish({n: self.visible(n) for n in waves["gold"]})
             done["publish"] = waves["gold"]
         return done
 
+    def visible(self, name: str) -> DataFrame:
+        """A stored table without its partition column."""
+        df = self[name]
+        return df.drop(partition_of(FACTS[name].date_key)) if name in FACTS else df
+
 
 _lakes: dict[tuple[str, str], Lakehouse] = {}
 _lakes_lock = threading.Lock()
@@ -215,7 +253,3 @@ def lake_for(spark: SparkSession, source_dir: str) -> Lakehouse:
         if key not in _lakes:
             _lakes[key] = Lakehouse(spark, source_dir)
         return _lakes[key]
-
-
-def empty_like(df: DataFrame) -> DataFrame:
-    return df.filter(F.lit(False))

@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from atende.functions import casts, privacy, rules
 from atende.operators import cdc, keys, lookup, merge, quality
 from atende.plans.facts import FACTS
-from atende.plans.layers import AS_OF, GOLD, Lakehouse
+from atende.plans.layers import AS_OF, GOLD, SILVER_WAVE, Lakehouse
 from atende.plans.silver import build_silver, latest_events, mark_silver, silver_spec
 from atende.sources import tables
+from atende.sources.verdicts import INGESTED
 from atende.streaming import incremental
 
 BASE: dict[str, Callable[[Lakehouse], DataFrame]] = {}
@@ -131,19 +132,14 @@ def a9_empty_batch_noop(lake):
 
 @query
 def a10_write_quarantine(lake):
-    path = _fresh(lake, "quarantine")
-    tables.write_quarantine(lake.silver("chamada")[1], path, ingested=_as_of())
-    return lake.spark.read.parquet(path).groupBy(cdc.REASON, "ano_ingestao", "mes_ingestao", "dia_ingestao").agg(
-        F.count(F.lit(1)).alias("nr_linhas")
-    )
+    """What the layer build stored of the rejected calls."""
+    return lake.quarantine("chamada").groupBy(cdc.REASON, *INGESTED).agg(F.count(F.lit(1)).alias("nr_linhas"))
 
 
 @query
 def a11_write_table_partitioned(lake):
-    path = _fresh(lake, "table")
-    tables.write_table_partitioned(lake["chamada"], path, by=("ano", "mes", "dia"))
-    stored = lake.spark.read.parquet(path)
-    return stored.groupBy("ano", "mes", "dia").agg(
+    """The layer's own table, by the date parts it is partitioned by."""
+    return lake["chamada"].groupBy("ano", "mes", "dia").agg(
         F.count(F.lit(1)).alias("nr_linhas"), F.sum("nr_duracao_segundos").alias("nr_segundos")
     )
 
@@ -285,16 +281,15 @@ def b12_row_hash(lake):
     return lake.source("orders").select("o_orderkey", cdc.row_hash(["o_orderkey", "o_custkey", "o_orderstatus", day]).alias("hash_registro"))
 
 
-QUARANTINED = ["chamada", "avaliacao_qualidade", "ticket", "discagem"]
-
-
 @query
 def b13_quarantine_split(lake):
+    """Rejected rows of all current-state tables, by reason, from their stored quarantine."""
+    lake.require(SILVER_WAVE)
     return reduce(
         DataFrame.unionByName,
         [
-            lake.silver(e)[1].groupBy(cdc.REASON).agg(F.count(F.lit(1)).alias("nr_linhas")).withColumn("nm_tabela", F.lit(e))
-            for e in QUARANTINED
+            lake.quarantine(e).groupBy(cdc.REASON).agg(F.count(F.lit(1)).alias("nr_linhas")).withColumn("nm_tabela", F.lit(e))
+            for e in SILVER_WAVE
         ],
     )
 
@@ -351,8 +346,9 @@ def b17_partition_columns(lake):
 
 @query
 def b18_run_metrics(lake):
-    rows = lake.bronze("chamada")
-    return cdc.run_metrics(rows, mark_silver("chamada", rows, as_of=AS_OF, tie_break="_seq"))
+    """Rows read, and of the stored batch the rows after dedup, valid and rejected."""
+    read = lake.bronze("chamada").agg(F.count(F.lit(1))).scalar()
+    return lake.marked("chamada").metrics().withColumn("nr_lidos", read)
 
 
 @query

@@ -126,6 +126,44 @@ def reprocess_partition(
     write_table_partitioned(only, path, by=by)
 
 
+class Published:
+    """A set of published tables that readers always see as one consistent whole.
+
+    Each publication is a new folder with all its tables; the last step appends one line to the log, and the
+    greatest finished number is the current one. A reader that opened an earlier publication keeps its files,
+    and a publication that fails half-way is never seen.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def _log(self) -> DataFrame:
+        return self.spark.read.schema("nr_publicacao int, nm_tabela string").json(f"{self.path}/log")
+
+    def current(self) -> int:
+        """Number of the current publication, 0 before the first."""
+        root = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/log")
+        if not root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(root):
+            return 0
+        return self._log().agg(F.max("nr_publicacao")).first()[0] or 0
+
+    def publish(self, tables: dict[str, DataFrame]) -> int:
+        number = self.current() + 1
+        for name, df in tables.items():
+            df.write.mode("overwrite").parquet(f"{self.path}/v{number}/{name}")
+        names = self.spark.createDataFrame([(number, name) for name in tables], "nr_publicacao int, nm_tabela string")
+        names.coalesce(1).write.mode("append").json(f"{self.path}/log")
+        return number
+
+    def tables(self) -> list[str]:
+        """Tables of the current publication."""
+        current = self.current()
+        return sorted(r["nm_tabela"] for r in self._log().filter(F.col("nr_publicacao") == current).collect())  # one row a table
+
+    def read(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/v{self.current()}/{name}")
+
+
 def publish_snapshot(df: DataFrame, path: str) -> None:
     """Full refresh of a published table; running it again gives the same table."""
     df.write.mode("overwrite").parquet(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from atende.plans.silver import SPECS
 from oracle import AS_OF, flag, pct, rnd, total
 from oracle.gold import DOW, HOLIDAY, MON, WEEKEND
 from oracle.kpis import avg, cnt, light
@@ -65,7 +66,7 @@ FINALS["b11_redact_free_text"] = "select doc_id, cast(length(text) as int) as nr
 FINALS["b12_row_hash"] = "select o_orderkey, md5(concat_ws('|', o_orderkey, o_custkey, o_orderstatus, strftime(o_orderdate, '%Y-%m-%d'))) as hash_registro from orders"
 FINALS["b13_quarantine_split"] = " union all ".join(
     f"select '{e}' as nm_tabela, motivo as _motivo_quarentena, {C} as nr_linhas from qz_{e} where motivo is not null group by all"
-    for e in ("chamada", "avaliacao_qualidade", "ticket", "discagem"))
+    for e in SPECS)
 for _i in (0, 1):
     RELATIONS[f"bz{_i}_chamada"] = f"select * from bz_chamada where _seq = {_i}"
     RELATIONS |= relations_of("chamada", f"bz{_i}_chamada", str(_i))
