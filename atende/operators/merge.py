@@ -87,18 +87,33 @@ def merge_into_partitions(
         where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def _packed(df: DataFrame, by: Sequence[str]) -> Column | None:
+    """One number of all date parts, in their order (year * 10000 + month * 100 + day); None unless all are numbers."""
+    kinds = dict(df.dtypes)
+    if not all(kinds[c] in ("int", "bigint", "smallint", "tinyint") for c in by):
+        return None
+    out = F.lit(0).cast("bigint")
+    for c in by:
+        out = out * 100 + F.col(c).cast("bigint")
+    return out
+
+
 def _of_partitions(df: DataFrame, wanted: DataFrame, by: Sequence[str], how: str = "left_semi") -> DataFrame:
     """Rows of the wanted partitions, NULL partitions included.
 
-    The first partition column is also bounded by the least and greatest wanted value, one-row values
-    that the scan can prune by; a NULL partition is read in any case.
+    The whole date, packed into one number, is bounded by the least and greatest wanted one, which are one-row
+    values that the scan prunes by; a NULL partition is read only if one is wanted. Parts that are no
+    numbers bound their first one.
     """
     other = wanted.select(*[F.col(c).alias(f"_w_{c}") for c in by])
     same = [F.col(c).eqNullSafe(F.col(f"_w_{c}")) for c in by]
     if how == "left_semi":
-        first = F.col(by[0])
-        low, high = (wanted.agg(f(by[0]).alias("_b")).scalar() for f in (F.min, F.max))
-        df = df.filter(first.isNull() | ((first >= low) & (first <= high)))
+        place, of_wanted = _packed(df, by), _packed(wanted, by)
+        if place is None or of_wanted is None:
+            place = of_wanted = F.col(by[0])
+        low, high = (wanted.agg(f(of_wanted).alias("_b")).scalar() for f in (F.min, F.max))
+        open_ = wanted.agg(F.count(F.when(of_wanted.isNull(), 1)).alias("_b")).scalar()
+        df = df.filter((place.isNull() & (open_ > 0)) | ((place >= low) & (place <= high)))
     return df.join(other, same, how)
 
 

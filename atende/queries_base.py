@@ -84,6 +84,28 @@ def a6_watermark_filter(lake):
     )
 
 
+def _garbled(lake):
+    """Calls of which every seventh event has a time that cannot be read, or none."""
+    rows, third = lake.bronze("chamada"), F.pmod(F.col("id_chamada").try_cast("bigint"), F.lit(7))
+    return rows.withColumn("_timestamp", F.when(third == 3, F.concat(F.lit("sem hora "), "_timestamp")).when(third == 5, None).otherwise(F.col("_timestamp")))
+
+
+@query
+def a6_unreadable_times(lake):
+    """Two runs over early events, then all: what was merged, and what reached the quarantine of unreadable times."""
+    root, rows = _fresh(lake, "garbled"), _garbled(lake)
+    table = incremental.VersionedTable(lake.spark, os.path.join(root, "table"))
+    store = incremental.WatermarkStore(lake.spark, os.path.join(root, "marks"))
+    bad = incremental.UnreadableEvents(lake.spark, os.path.join(root, "unreadable"))
+    early = rows.filter(F.coalesce(F.col("_timestamp") < "2024-01-15", F.col("_seq") == 0))
+    for part in (early, rows, rows):
+        incremental.run_with_watermark(
+            "chamada", part, table, store, checked=os.path.join(root, "checked"), as_of=AS_OF, now=AS_OF, tie_break="_seq", unreadable=bad
+        )
+    kept = table.read().agg(F.count(F.lit(1)).alias("nr_linhas")).select(F.lit("mesclado").alias("ds_destino"), "nr_linhas")
+    return kept.unionByName(bad.read().groupBy(F.col(cdc.REASON).alias("ds_destino")).agg(F.count(F.lit(1)).alias("nr_linhas")))
+
+
 @query
 def a7_watermark_advance(lake):
     return incremental.watermark_advance(lake.bronze("chamada"), "1970-01-01 00:00:00")
@@ -100,7 +122,7 @@ def a8_incremental_files(lake):
 
     def step(batch: DataFrame, batch_id: int) -> None:
         incremental.merge_batch(
-            "whatsapp_atendimento", batch, table, quarantine=os.path.join(root, "rejected"),
+            "whatsapp_atendimento", batch, table, checked=os.path.join(root, "checked"), batch_id=batch_id,
             as_of=AS_OF, tie_break="_seq",
         )
 
@@ -119,7 +141,7 @@ def a9_empty_batch_noop(lake):
     runs = [
         incremental.run_with_watermark(
             "ura_navegacao", lake.bronze("ura_navegacao"), table, store,
-            quarantine=os.path.join(root, "rejected"), as_of=AS_OF, now=AS_OF, tie_break="_seq",
+            checked=os.path.join(root, "checked"), as_of=AS_OF, now=AS_OF, tie_break="_seq",
         )
         for _ in range(2)
     ]

@@ -28,6 +28,10 @@ FINALS["a4_derive_date_partitions"] = f"select id_ticket, {land('dt_abertura')}
 FINALS["a5_write_bronze_partitioned"] = f"select {land('dt_inicio')}, {C} as nr_linhas from bz_chamada group by all"
 EVT = "try_cast(replace(_timestamp, 'T', ' ') as timestamp)"
 FINALS["a6_watermark_filter"] = f"""select id_chamada, "Op", _timestamp from bz_chamada where {EVT} > timestamp '2024-01-15 00:00:00'"""
+_ID = "try_cast(id_chamada as bigint)"
+RELATIONS["bzr_chamada"] = f"select * from bz_chamada where coalesce(((({_ID} % 7) + 7) % 7) not in (3, 5), true)"
+FINALS["a6_unreadable_times"] = f"""select 'mesclado' as ds_destino, {C} as nr_linhas from svr_chamada
+union all select '_timestamp_ilegivel', {C} from (select distinct * from (select * from bz_chamada except all select * from bzr_chamada))"""
 FINALS["a7_watermark_advance"] = f"select max({EVT}) as last_watermark from bz_chamada"
 FINALS["a8_incremental_files"] = f"select {', '.join(output_columns('whatsapp_atendimento'))} from sv_whatsapp_atendimento"
 FINALS["a9_empty_batch_noop"] = "select (select count(*) from bz_ura_navegacao) as nr_primeira, 0::bigint as nr_segunda, (select count(*) from sv_ura_navegacao) as nr_tabela, 1::int as nr_versao"
@@ -71,6 +75,7 @@ for _i in (0, 1):
     RELATIONS[f"bz{_i}_chamada"] = f"select * from bz_chamada where _seq = {_i}"
     RELATIONS |= relations_of("chamada", f"bz{_i}_chamada", str(_i))
 COLS = output_columns("chamada")
+RELATIONS |= relations_of("chamada", "bzr_chamada", "r")
 
 
 def merged(old: int, new: int, take: str) -> str:

@@ -1,6 +1,5 @@
 """Change-data properties: dedup, merge, quarantine, incremental runs."""
 
-import os
 from datetime import datetime
 
 import pytest
@@ -13,8 +12,10 @@ from atende.plans.layers import AS_OF
 from atende.plans.silver import SPECS, build_silver, mark_silver
 from atende.sources import bindings
 from atende.sources.tables import write_table_partitioned
+from atende.sources.verdicts import MarkedTable
 from atende.streaming.incremental import (
-    PartitionedTable, VersionedTable, WatermarkStore, merge_batch, run_incremental, run_with_watermark,
+    PartitionedTable, UnreadableEvents, VersionedTable, WatermarkStore, merge_batch, run_incremental, run_with_watermark,
+    unreadable_events,
 )
 
 EVENT = "id string, v string, Op string, _timestamp string, _seq bigint"
@@ -165,10 +166,10 @@ def test_file_stream_takes_each_file_once(spark, sf_dir, tmp_path):
     table = VersionedTable(spark, str(tmp_path / "table"))
     rows = _whatsapp(spark, sf_dir)
 
-    def step(batch, _):
-        seen.append(
-            merge_batch("whatsapp_atendimento", batch, table, quarantine=str(tmp_path / "bad"), as_of=AS_OF, tie_break="_seq")
-        )
+    def step(batch, batch_id):
+        for _ in range(2):  # the second time is a retry, which repeats no rejected row
+            result = merge_batch("whatsapp_atendimento", batch, table, checked=str(tmp_path / "checked"), batch_id=batch_id, as_of=AS_OF, tie_break="_seq")
+        seen.append(result)
 
     for part in (rows.filter("_seq < 400"), rows.filter("_seq >= 400")):
         part.write.mode("append").parquet(source)
@@ -177,7 +178,7 @@ def test_file_stream_takes_each_file_once(spark, sf_dir, tmp_path):
     assert [r["rows"] for r in seen] == [400, rows.count() - 400]
     valid, rejected = build_silver("whatsapp_atendimento", rows, as_of=AS_OF, tie_break="_seq")
     assert plain(table.read()) == plain(valid)
-    assert spark.read.parquet(str(tmp_path / "bad")).count() == rejected.count()
+    assert _checked(spark, rows, tmp_path).rejected().count() == rejected.count()
 
 
 @pytest.mark.parametrize("partitioned", [False, True])
@@ -188,7 +189,7 @@ def test_watermark_run_reads_only_newer_events_and_skips_empty_batches(spark, sf
 
     def run(df):
         return run_with_watermark(
-            "whatsapp_atendimento", df, table, store, quarantine=str(tmp_path / "bad"), as_of=AS_OF, now=AS_OF, tie_break="_seq"
+            "whatsapp_atendimento", df, table, store, checked=str(tmp_path / "checked"), as_of=AS_OF, now=AS_OF, tie_break="_seq"
         )["rows"]
 
     early = rows.filter("_timestamp < '2024-01-10'")
@@ -198,11 +199,52 @@ def test_watermark_run_reads_only_newer_events_and_skips_empty_batches(spark, sf
     assert plain(table.read()) == plain(build_silver("whatsapp_atendimento", rows, as_of=AS_OF, tie_break="_seq")[0])
 
 
-def test_no_quarantine_folder_without_rejected_rows(spark, sf_dir, tmp_path):
+def _checked(spark, rows, tmp_path):
+    schema = mark_silver("whatsapp_atendimento", rows, as_of=AS_OF, tie_break="_seq").schema
+    return MarkedTable(spark, str(tmp_path / "checked"), schema)
+
+
+def test_nothing_rejected_and_nothing_read(spark, sf_dir, tmp_path):
     rows = _whatsapp(spark, sf_dir).filter("id_cliente is not null and dt_inicio like '2024-0%'")
     table = VersionedTable(spark, str(tmp_path / "table"))
-    merge_batch("whatsapp_atendimento", rows, table, quarantine=str(tmp_path / "bad"), as_of=AS_OF, tie_break="_seq")
-    assert not os.path.exists(tmp_path / "bad")
+    options = dict(checked=str(tmp_path / "checked"), as_of=AS_OF, tie_break="_seq")
+    merge_batch("whatsapp_atendimento", rows, table, batch_id=1, **options)
+    assert _checked(spark, rows, tmp_path).rejected().count() == 0 and table.version() == 1
+    assert merge_batch("whatsapp_atendimento", rows.filter("false"), table, batch_id=2, **options)["rows"] == 0 and table.version() == 1
+    figures = _checked(spark, rows, tmp_path).metrics().first()
+    assert figures.nr_dedup == figures.nr_validos == table.read().count() and figures.nr_quarentena == 0
+
+
+def test_unreadable_times_reach_the_quarantine_once(spark, tmp_path):
+    bad = UnreadableEvents(spark, str(tmp_path / "bad"))
+    rows = spark.createDataFrame([(1, "ontem"), (2, None), (2, None), (3, "2024-01-05 10:00:00"), (None, "")], "id int, _timestamp string")
+    for batch in ("1", "1", "2"):  # a retry of the first, then a second run that meets the same rows
+        bad.add(unreadable_events(rows), batch, ingested=F.lit(AS_OF))
+    more = spark.createDataFrame([(9, "amanha")], "id int, _timestamp string")
+    bad.add(unreadable_events(rows.unionByName(more)), "3", ingested=F.lit(AS_OF))
+    got = sorted((r._lote, r.ds_linha) for r in bad.read().collect())
+    assert [b for b, _ in got] == ["1", "1", "1", "3"] and len({x for _, x in got}) == 4
+
+
+def test_a_one_day_merge_reads_that_day_only(spark, tmp_path):
+    path, by = str(tmp_path / "t"), ["ano", "mes", "dia"]
+    rows = spark.range(300).selectExpr("id", "'a' as hash_registro", "2023 + int(id div 150) as ano", "1 + int(id % 12) as mes", "1 + int(id % 25) as dia")
+    write_table_partitioned(rows, path, by=by)
+    target = spark.read.schema(rows.schema).parquet(path)
+    wanted = spark.createDataFrame([(2024, 5, 11)], "ano int, mes int, dia int")
+    read = merge._of_partitions(target, wanted, by)
+    assert read.count() == rows.filter("ano = 2024 and mes = 5 and dia = 11").count() > 0
+    executed = read._jdf.queryExecution().executedPlan()
+    read._jdf.queryExecution().toRdd().count()
+    final = executed.executedPlan() if executed.nodeName() == "AdaptiveSparkPlan" else executed
+
+    def all_nodes(plan):
+        plan = plan.plan() if plan.nodeName().endswith("QueryStage") else plan
+        kids = plan.children()
+        return [plan] + [x for i in range(kids.size()) for x in all_nodes(kids.apply(i))]
+
+    listed = [p.metrics().apply("numPartitions").value() for p in all_nodes(final) if p.nodeName().startswith("Scan parquet") and p.metrics().contains("numPartitions")]
+    assert listed == [1]
 
 
 def test_hot_key_is_reduced_before_the_shuffle(spark):
