@@ -59,17 +59,17 @@ class Encoder:
     """
 
     def __init__(self, path: str):
-        self.enc, self.whole = encoding(path), encoding(path, "(?s).+")
+        self.path, self.enc = path, encoding(path)
         self.pieces = _Pieces(self.packed)
 
     def packed(self, text: str) -> bytes:
-        if len(text) < LONG_RUN:
+        if len(text) < LONG_RUN or not _LONG_SPACE.search(text):
             return self.enc.encode_to_numpy(text).astype("<u4").tobytes()
-        parts, at = [], 0
+        parts, at, whole = [], 0, encoding(self.path, "(?s).+")  # takes a run as one pre-token
         for m in _LONG_SPACE.finditer(text):
             # A run before other text ends one character early: its last one starts the next pre-token.
             end = m.end() if m.end() == len(text) else m.end() - 1
-            parts += [self.enc.encode_to_numpy(text[at: m.start()]), self.whole.encode_to_numpy(text[m.start(): end])]
+            parts += [self.enc.encode_to_numpy(text[at: m.start()]), whole.encode_to_numpy(text[m.start(): end])]
             at = end
         return np.concatenate([*parts, self.enc.encode_to_numpy(text[at:])]).astype("<u4").tobytes()
 

@@ -1,5 +1,9 @@
 import random
 
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
 from atende.llm.best_fit_packing import vocabulary
 from atende.llm.token_counts import TokenTree, leaves_of, token_counts
 from atende.llm.tokens import encoder
@@ -43,3 +47,9 @@ def test_counts_of_a_table(spark, documents):
         expected.append((i, len(encode.packed(t or "")) // 4, len(encode.packed(text)) // 4, len(text)))
     assert sorted(map(repr, [tuple(r)[:4] for r in got])) == sorted(map(repr, expected))
     assert token_counts(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize("text", [" " * 2_000_000, "\n" * 400_000, "\t" * 400_000, "a" + " " * 60_000 + "b", "x " + " \n" * 40_000 + "\tyes  " + " " * 70_000, ("\u3000" * 60_000 + "z") * 2])
+def test_long_white_space_against_the_library(text):
+    library = Tokenizer.from_file(vocabulary())
+    assert np.frombuffer(encoder(vocabulary())(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
