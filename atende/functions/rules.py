@@ -205,6 +205,10 @@ def presence_flag(status: Column | str) -> Column:
     return flag(_col(status) == "PRESENTE")
 
 
+def flag_status(status: Column | str, label: str) -> Column:
+    return flag(_col(status) == label)
+
+
 def flag_active(status: Column | str) -> Column:
     return flag(_col(status) == "A")
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from atende.functions import casts, privacy, rules
 from atende.operators import cdc, keys, lookup, merge, quality
+from atende.plans import views
 from atende.plans.facts import FACTS
 from atende.plans.layers import AS_OF, GOLD, SILVER_WAVE, Lakehouse
 from atende.plans.silver import build_silver, latest_events, mark_silver, silver_spec
@@ -407,7 +408,8 @@ rule("c13_service_level", "metricas_operacionais", "id_metrica", lambda: {
     "v": rules.service_level("nr_chamadas_atendidas", "nr_chamadas_abandonadas"), "presenca": rules.attendance_rate("nr_taxa_abandono"),
     "meta": rules.flag_service_goal("nr_nivel_servico"), "alto": rules.flag_high_abandon("nr_taxa_abandono")})
 rule("c14_campaign_window", "campanha", "id_campanha", lambda: {
-    "dias": rules.campaign_days("dt_inicio", "dt_fim"), "vigente": rules.flag_in_force("dt_inicio", "dt_fim", _as_of())})
+    "dias": rules.campaign_days("dt_inicio", "dt_fim"), "vigente": rules.flag_in_force("dt_inicio", "dt_fim", _as_of()),
+    "ativa": rules.flag_status("st_campanha", "ATIVA")})
 rule("c15_recording_expiry", "gravacao_chamada", "id_gravacao", lambda: {
     "expirada": rules.flag_expired("dt_gravacao", _as_of()), "dias": rules.days_to_expire("dt_gravacao", _as_of())})
 rule("c16_contact_flags", "discagem", "id_discagem", lambda: {"sim": F.col("fl_discagem_atendida"), "nao": rules.complement("fl_discagem_atendida")})
@@ -415,7 +417,10 @@ rule("c17_sender_flags", "mensagem_chat", "id_mensagem", lambda: {
     "cliente": rules.flag_sender("ds_remetente", "CLIENTE"), "operador": rules.flag_sender("ds_remetente", "OPERADOR")})
 rule("c18_presence_flag", "jornada_operador", "id_jornada", lambda: {"v": rules.presence_flag("st_presenca")})
 rule("c19_active_and_has_flags", "cliente", "id_cliente", lambda: {
-    "ativo": rules.flag_active("st_cliente"), "doc": rules.flag_has("nr_documento_mascarado"), "mail": rules.flag_has("ds_email_mascarado")})
+    "ativo": rules.flag_active("st_cliente"), "doc": rules.flag_has("nr_documento_mascarado"), "mail": rules.flag_has("ds_email_mascarado"),
+    "fone": rules.flag_has("nr_telefone_mascarado")})
+rule("c19_active_and_supervisor_flags", "operador", "id_operador", lambda: {
+    "ativo": rules.flag_active("st_operador"), "supervisor": rules.flag_has(F.col("id_supervisor").cast("string"))})
 
 
 @query
@@ -501,6 +506,15 @@ RELATIONS = [
     ("fato_chamada", "dim_data", "sk_data_inicio", "sk_data"),
     ("fato_ticket", "dim_status_ticket", "sk_status_ticket", "sk_status"),
     ("fato_discagem", "dim_campanha", "sk_campanha", "sk_campanha"),
+    ("fato_chamada", "dim_canal", "sk_canal", "sk_canal"),
+    ("fato_chamada", "dim_operador", "sk_operador", "sk_operador"),
+    ("fato_ticket", "dim_cliente", "sk_cliente", "sk_cliente"),
+    # Facts have no unknown member: a review whose call is unknown counts as an orphan.
+    ("fato_qualidade", "fato_chamada", "sk_chamada", "sk_chamada"),
+]
+VIEWS = [
+    views.view_calls_month_status, views.view_operators, views.view_quality_month, views.view_tickets_month, views.view_ticket_sla,
+    views.view_digital_month, views.view_campaigns, views.view_queue_metrics, views.view_ivr_options,
 ]
 
 
@@ -517,8 +531,9 @@ def f14_orphan_check(lake):
 
 @query
 def f15_table_counts(lake):
+    """Rows of all gold tables and reporting views."""
     lake.require(GOLD)
-    return quality.table_counts({n: lake[n] for n in GOLD})
+    return quality.table_counts({**{n: lake[n] for n in GOLD}, **{v.__name__: v(lake) for v in VIEWS}})
 
 
 @query

@@ -15,6 +15,7 @@ from atende.plans.kpi import (
     kpi01, kpi02, kpi03, kpi04, kpi05, kpi06, kpi07, kpi08, kpi09, kpi10, kpi11, kpi12,
 )
 from atende.plans.layers import Lakehouse, lake_for
+from atende.plans.period import Period
 from atende.plans.silver import SPECS
 from atende.queries_base import BASE
 
@@ -105,6 +106,17 @@ _KPIS: dict[str, tuple[Callable, dict]] = {
 for _id, (_fn, _kw) in _KPIS.items():
     register(f"{_id}_{_fn.__name__}", lambda lake, fn=_fn, kw=_kw: fn(lake, **kw))
 
+# One query of each family over a period; the bound orders start in 1992, so the floor cuts some of them.
+SINCE_YEAR = 1996
+SINCE = [
+    "g2_4_kpi02_consolidated", "g3_1_kpi03_base", "g4_2_kpi04_daily", "g5_3_kpi05_mttr_priority", "g6_5_kpi06_daily_channel",
+    "g7_3_kpi07_monthly_trend", "g8_4_kpi08_attempt_bands", "g9_2_kpi09_by_situation", "g10_3_kpi10_monthly", "g11_3_kpi11_intraday",
+    "g12_2_kpi12_daily",
+]
+_BY_NAME = {f"{_id}_{_fn.__name__}": (_fn, _kw) for _id, (_fn, _kw) in _KPIS.items()}
+for _name in SINCE:
+    register(f"{_name}_since", lambda lake, known=_BY_NAME[_name]: known[0](Period(lake, min_year=SINCE_YEAR), **known[1]))
+
 # --- dimensions and facts ------------------------------------------------------------
 for _name, _dim in {
     "e3_dim_status_chamada": "dim_status_chamada", "e3_dim_status_ticket": "dim_status_ticket",
@@ -143,7 +155,7 @@ register("i4_dataset_digital", lambda lake: datasets.dataset_digital(lake, MIN_Y
 register("i5_dataset_campaign_roi", lambda lake: datasets.dataset_campaign_roi(lake, 1995))
 
 # --- exploratory statistics ----------------------------------------------------------
-PROFILED = ["chamada", "cliente", "discagem"]
+PROFILED = ["cliente", "operador", "chamada", "ticket", "chat", "campanha", "discagem"]
 CALL_STATUSES = ["ATENDIDA", "ABANDONADA", "TRANSFERIDA", "ENGAJADA", "DESCONHECIDO"]
 
 
@@ -230,6 +242,8 @@ _EXPLORE: dict[str, Callable[[Lakehouse], DataFrame]] = {
     "j31_channel_comparison": lambda k: explore.channel_comparison(k["chat"], k["whatsapp_atendimento"], k["ura_navegacao"]),
     "j32_chat_enrich": lambda k: explore.chat_enrich(k["chat"], k["mensagem_chat"]),
     "j33_satisfaction_bins": lambda k: explore.satisfaction_bins(k["whatsapp_atendimento"]),
+    "j33_satisfaction_bins_chat": lambda k: explore.satisfaction_bins(k["chat"]),
+    "j34_duration_box_operators": lambda k: explore.box_stats(k["chamada"], by="id_operador", value="nr_duracao_segundos", groups=None),
     "j34_duration_box_stats": lambda k: explore.box_stats(k["ura_navegacao"], by="ds_opcao_selecionada", value="nr_duracao_segundos"),
     "j35_self_service_rate": lambda k: explore.self_service_rate(k["ura_navegacao"]),
 }

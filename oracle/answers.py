@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import re
+
+from atende.plans.facts import FACTS
 from atende.plans.silver import SPECS
+from atende.registry import SINCE, SINCE_YEAR
 from oracle import base, compose, exploration, gold, kpis, reports, silver
 
 RELATIONS = {**silver.RELATIONS, **gold.RELATIONS, **kpis.RELATIONS}
@@ -52,5 +56,16 @@ for _name, _sql in base.FINALS.items():
     _add(_name, _sql)
 _add(
     "f15_table_counts",
-    " union all ".join(f"select '{g}' as nm_tabela, count(*) as nr_linhas from {g}" for g in gold.TABLES),
+    " union all ".join(
+        [f"select '{g}' as nm_tabela, count(*) as nr_linhas from {g}" for g in gold.TABLES]
+        + [f"select '{n.split('_', 1)[1]}' as nm_tabela, count(*) as nr_linhas from ({sql})" for n, sql in reports.FINALS.items() if n.startswith("h")]
+    ),
 )
+
+# KPIs limited to a period: facts from the floor on, parents resolved before it.
+_LIMITED = dict(RELATIONS)
+for _f, _spec in FACTS.items():
+    _LIMITED[f"{_f}_full"] = re.sub(r"\b(fato_[a-z_]+)", r"\1_full", RELATIONS[_f])
+    _LIMITED[_f] = f"select * from {_f}_full where {_spec.date_key} >= {SINCE_YEAR * 10000}"
+for _name in SINCE:
+    ANSWERS[f"{_name}_since"] = compose(kpis.FINALS[_name], _LIMITED)

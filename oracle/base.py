@@ -39,7 +39,7 @@ FINALS["a10_write_quarantine"] = f"""select motivo as _motivo_quarentena, 2024 a
 from qz_chamada where motivo is not null group by 1"""
 FINALS["a11_write_table_partitioned"] = f"select ano, mes, dia, {C} as nr_linhas, {total('nr_duracao_segundos')} as nr_segundos from sv_chamada group by all"
 FINALS["a12_publish_snapshot"] = "select * from dim_operador"
-FINALS["a13_export_csv_for_load"] = f"select {', '.join(T['chat'][3].split())}, id_fila, nr_satisfacao, dt_cdc_evento, op_cdc, hash_registro, ano, mes, dia from sv_chat"
+FINALS["a13_export_csv_for_load"] = f"select {', '.join(T['chat'][3])}, id_fila, nr_satisfacao, dt_cdc_evento, op_cdc, hash_registro, ano, mes, dia from sv_chat"
 FINALS["a14_reprocess_partition"] = f"select ano, mes, dia, {C} as nr_linhas from sv_chamada where not (op_cdc = 'DELETE' and ano = 2024 and mes = 1 and dia = 10) group by all"
 _SILVER = ["cliente", "endereco_cliente", "operador", "chat", "mensagem_chat"]
 _GOLD = ["dim_data", "dim_cliente", "dim_operador", "fato_chat", "fato_mensagem_chat"]
@@ -92,7 +92,7 @@ FINALS["b16_add_audit_columns"] = "select *, timestamp '2024-01-16 01:00:00' as
 FINALS["b17_partition_columns"] = "select id_ticket, cast(year(dt_abertura) as int) as ano, cast(month(dt_abertura) as int) as mes, cast(day(dt_abertura) as int) as dia from sv_ticket"
 FINALS["b18_run_metrics"] = "select (select count(*) from bz_chamada) as nr_lidos, count(*) as nr_dedup, count(*) - count(motivo) as nr_validos, count(motivo) as nr_quarentena from qz_chamada"
 FINALS["b19_drop_tombstones"] = f"select op_cdc, {C} as nr_linhas from sv_discagem where op_cdc <> 'DELETE' group by 1"
-FINALS["b20_schema_project"] = f"select {', '.join(T['campanha'][3].split())} from sv_campanha"
+FINALS["b20_schema_project"] = f"select {', '.join(T['campanha'][3])} from sv_campanha"
 
 
 def rule(name: str, entity: str, key: str, cols: str) -> None:
@@ -118,12 +118,13 @@ rule("c12_flag_ivr_abandon", "ura_navegacao", "id_ura", flag("ds_opcao_seleciona
 _N = "(nr_chamadas_atendidas + nr_chamadas_abandonadas)"
 rule("c13_service_level", "metricas_operacionais", "id_metrica", f"""case when {_N} > 0 then {rnd(f'nr_chamadas_atendidas * 100e0 / {_N}')} end as v,
   {rnd('100e0 - nr_taxa_abandono')} as presenca, {flag('nr_nivel_servico >= 80')} as meta, {flag('nr_taxa_abandono > 10')} as alto""")
-rule("c14_campaign_window", "campanha", "id_campanha", f"cast(dt_fim - dt_inicio as int) as dias, {flag(f'{AS_OF} between dt_inicio and dt_fim')} as vigente")
+rule("c14_campaign_window", "campanha", "id_campanha", f"cast(dt_fim - dt_inicio as int) as dias, {flag(f'{AS_OF} between dt_inicio and dt_fim')} as vigente, " + flag("st_campanha = 'ATIVA'") + " as ativa")
 rule("c15_recording_expiry", "gravacao_chamada", "id_gravacao", f"{flag(f'dt_gravacao < {AS_OF}')} as expirada, cast(dt_gravacao - {AS_OF} as int) as dias")
 rule("c16_contact_flags", "discagem", "id_discagem", "fl_discagem_atendida as sim, cast(1 - fl_discagem_atendida as smallint) as nao")
 rule("c17_sender_flags", "mensagem_chat", "id_mensagem", flag("ds_remetente = 'CLIENTE'") + " as cliente, " + flag("ds_remetente = 'OPERADOR'") + " as operador")
 rule("c18_presence_flag", "jornada_operador", "id_jornada", flag("st_presenca = 'PRESENTE'") + " as v")
-rule("c19_active_and_has_flags", "cliente", "id_cliente", flag("st_cliente = 'A'") + " as ativo, " + flag("nr_documento_mascarado <> ''") + " as doc, " + flag("ds_email_mascarado <> ''") + " as mail")
+rule("c19_active_and_has_flags", "cliente", "id_cliente", flag("st_cliente = 'A'") + " as ativo, " + flag("nr_documento_mascarado <> ''") + " as doc, " + flag("ds_email_mascarado <> ''") + " as mail, " + flag("nr_telefone_mascarado <> ''") + " as fone")
+rule("c19_active_and_supervisor_flags", "operador", "id_operador", flag("st_operador = 'A'") + " as ativo, " + flag("length(cast(id_supervisor as varchar)) > 0") + " as supervisor")
 FINALS["c20_calendar_attributes"] = f"""select d as dia, cast(year(d) as int) as nr_ano, cast(month(d) as int) as nr_mes, cast(day(d) as int) as nr_dia, cast(quarter(d) as int) as nr_trimestre,
   cast(week(d) as int) as nr_semana_ano, cast(dayofweek(d) + 1 as int) as nr_dia_semana, {DOW} as ds_dia_semana, {MON} as ds_mes, 'Q' || quarter(d) as ds_trimestre,
   {flag(WEEKEND)} as fl_fim_de_semana, {flag(HOLIDAY)} as fl_feriado, {flag(f"not ({WEEKEND} or {HOLIDAY})")} as fl_dia_util
@@ -147,5 +148,7 @@ FINALS["f2_fact_key"] = "select count(*) as nr_linhas, count(distinct sk_discage
 FINALS["f14_orphan_check"] = " union all ".join(
     f"select '{f}.{fk}' as nm_relacao, count(*) as nr_orfaos from {f} where {fk} not in (select {sk} from {d})"
     for f, d, fk, sk in (("fato_chamada", "dim_cliente", "sk_cliente", "sk_cliente"), ("fato_chamada", "dim_data", "sk_data_inicio", "sk_data"),
-                         ("fato_ticket", "dim_status_ticket", "sk_status_ticket", "sk_status"), ("fato_discagem", "dim_campanha", "sk_campanha", "sk_campanha")))
+                         ("fato_ticket", "dim_status_ticket", "sk_status_ticket", "sk_status"), ("fato_discagem", "dim_campanha", "sk_campanha", "sk_campanha"),
+                         ("fato_chamada", "dim_canal", "sk_canal", "sk_canal"), ("fato_chamada", "dim_operador", "sk_operador", "sk_operador"),
+                         ("fato_ticket", "dim_cliente", "sk_cliente", "sk_cliente"), ("fato_qualidade", "fato_chamada", "sk_chamada", "sk_chamada")))
 FINALS["f16_score_distribution"] = f"select ds_faixa_nota, {C} as nr_avaliacoes, {avg('nr_nota')} as nr_nota_media from fato_qualidade group by 1"

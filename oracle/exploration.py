@@ -10,7 +10,7 @@ FINALS: dict[str, str] = {}
 RELATIONS: dict[str, str] = {}
 C = "count(*)"
 WEEK = ["DOMINGO", "SEGUNDA", "TERCA", "QUARTA", "QUINTA", "SEXTA", "SABADO"]
-MON = "JANEIRO FEVEREIRO MARCO ABRIL MAIO JUNHO JULHO AGOSTO SETEMBRO OUTUBRO NOVEMBRO DEZEMBRO".split()
+MON = ["JANEIRO", "FEVEREIRO", "MARCO", "ABRIL", "MAIO", "JUNHO", "JULHO", "AGOSTO", "SETEMBRO", "OUTUBRO", "NOVEMBRO", "DEZEMBRO"]
 
 
 def profile(e: str, cols: list[str]) -> str:
@@ -19,15 +19,40 @@ def profile(e: str, cols: list[str]) -> str:
   count(*) - (select count(*) from (select distinct {', '.join(cols)} from bz_{e})) as nr_duplicadas from bz_{e}"""
 
 
+# Columns of the raw events.
 BRONZE = {
-    "chamada": "id_chamada id_cliente id_operador id_fila nr_telefone_origem nr_telefone_destino dt_inicio dt_fim nr_duracao_segundos st_chamada tp_chamada nr_espera_segundos",
-    "cliente": "id_cliente nm_cliente nr_documento ds_email nr_telefone dt_cadastro st_cliente",
-    "discagem": "id_discagem id_campanha id_cliente id_operador nr_tentativas fl_contato_realizado fl_convertido nr_valor_convertido nr_custo_discagem dt_ultima_tentativa st_discagem",
+    "cliente": [
+        "id_cliente", "nm_cliente", "nr_documento", "ds_email", "nr_telefone", "dt_cadastro", "st_cliente",
+    ],
+    "operador": [
+        "id_operador", "nm_operador", "ds_cargo", "ds_email", "dt_admissao", "st_operador", "fl_supervisor",
+        "id_supervisor", "ds_equipe",
+    ],
+    "chamada": [
+        "id_chamada", "id_cliente", "id_operador", "id_fila", "nr_telefone_origem", "nr_telefone_destino",
+        "dt_inicio", "dt_fim", "nr_duracao_segundos", "st_chamada", "tp_chamada", "nr_espera_segundos",
+    ],
+    "ticket": [
+        "id_ticket", "id_cliente", "id_operador", "ds_titulo", "ds_categoria", "ds_prioridade", "st_ticket",
+        "dt_abertura", "dt_resolucao", "nr_tempo_resolucao_horas",
+    ],
+    "chat": [
+        "id_chat", "id_cliente", "id_operador", "id_fila", "dt_inicio", "dt_fim", "nr_duracao_minutos",
+        "st_chat", "nr_satisfacao",
+    ],
+    "campanha": [
+        "id_campanha", "nm_campanha", "ds_objetivo", "dt_inicio", "dt_fim", "nr_meta_contatos",
+        "nr_contatos_realizados", "nr_conversoes", "fl_ativa",
+    ],
+    "discagem": [
+        "id_discagem", "id_campanha", "id_cliente", "id_operador", "nr_tentativas", "fl_contato_realizado",
+        "fl_convertido", "nr_valor_convertido", "nr_custo_discagem", "dt_ultima_tentativa", "st_discagem",
+    ],
 }
-FINALS["j1_profile_tables"] = "\nunion all\n".join(profile(e, c.split()) for e, c in BRONZE.items())
+FINALS["j1_profile_tables"] = "\nunion all\n".join(profile(e, c) for e, c in BRONZE.items())
 FINALS["j2_null_pct_by_column"] = "\nunion all\n".join(
     f"select '{c}' as nm_coluna, {pct(f'count(*) - count({c})', C)} as pct_nulos, {rnd('100 - ' + pct(f'count(*) - count({c})', C))} as pct_completude from bz_chamada"
-    for c in BRONZE["chamada"].split())
+    for c in BRONZE["chamada"])
 
 
 def freq(t: str, by: str, limit: int | None = None, where: str = "true") -> str:
@@ -140,8 +165,12 @@ from sv_chat left join (select id_chat, {C} as nr_mensagens, {cnt("ds_remetente
 RELATIONS["x_sat"] = """select case when nr_satisfacao <= 2 then 'Insatisfeito (1-2)' when nr_satisfacao <= 3 then 'Neutro (3)' when nr_satisfacao <= 4 then 'Satisfeito (4)' else 'Muito Satisfeito (5)' end as ds_faixa
   from sv_whatsapp_atendimento where nr_satisfacao between 0 and 5.1"""
 FINALS["j33_satisfaction_bins"] = freq("x_sat", "ds_faixa")
+RELATIONS["x_sat_chat"] = RELATIONS["x_sat"].replace("sv_whatsapp_atendimento", "sv_chat")
+FINALS["j33_satisfaction_bins_chat"] = freq("x_sat_chat", "ds_faixa")
 Q = lambda q: rnd(f"quantile_cont({D}, {q})")
 FINALS["j34_duration_box_stats"] = f"""select ds_opcao_selecionada, min({D}) as nr_minimo, {Q(0.25)} as nr_q1, {Q(0.5)} as nr_q2, {Q(0.75)} as nr_q3, max({D}) as nr_maximo from sv_ura_navegacao
 where ds_opcao_selecionada in (select ds_opcao_selecionada from sv_ura_navegacao group by 1 order by count(*) desc, 1 limit 5) group by 1"""
+FINALS["j34_duration_box_operators"] = f"""select id_operador, min({D}) as nr_minimo, {Q(0.25)} as nr_q1, {Q(0.5)} as nr_q2, {Q(0.75)} as nr_q3, max({D}) as nr_maximo
+from sv_chamada group by 1"""
 FINALS["j35_self_service_rate"] = f"""select *, cast(taxa_autoatendimento >= 60 as smallint) as fl_na_meta from (select {pct(cnt('fl_transferiu_humano = 0'), C)} as taxa_autoatendimento,
   {pct(cnt('fl_transferiu_humano = 1'), C)} as taxa_transferencia from sv_ura_navegacao)"""
