@@ -61,6 +61,7 @@ def merge_into_partitions(
     keys: Sequence[str],
     by: Sequence[str],
     merge: Callable[..., DataFrame] = merge_upsert_if_changed,
+    replaced: DataFrame | None = None,
     **options: object,
 ) -> None:
     """Merge a batch into a partitioned Parquet table, rewriting only the partitions it touches.
@@ -68,15 +69,23 @@ def merge_into_partitions(
     Touched are the partitions of the batch's rows and those where its keys lie now, so a
     row whose date changed leaves its old partition. To find the latter only the key columns
     of the table are read. The merged rows are staged before anything is replaced, and the
-    same batch can be merged again after a failure.
+    same batch can be merged again after a failure. ``replaced`` are keys whose rows leave the table first,
+    also where the batch has no row for them.
     """
     spark = source.sparkSession
     source = staged(source)
     target = spark.read.schema(source.schema).parquet(path)
-    new_keys = source.select(*[F.col(k).alias(f"_m_{k}") for k in keys])
-    moved = target.join(new_keys, [F.col(k).eqNullSafe(F.col(f"_m_{k}")) for k in keys], "left_semi").select(*by)
+    renamed = [F.col(k).alias(f"_m_{k}") for k in keys]
+    same = [F.col(k).eqNullSafe(F.col(f"_m_{k}")) for k in keys]
+    new_keys = source.select(*renamed)
+    if replaced is not None:
+        gone_keys = staged(replaced.select(*renamed).distinct())
+        new_keys = new_keys.unionByName(gone_keys)
+    moved = target.join(new_keys, same, "left_semi").select(*by)
     touched = staged(moved.unionByName(source.select(*by)).distinct())
     affected = _of_partitions(target, touched, by).select(*source.columns)
+    if replaced is not None:
+        affected = affected.join(gone_keys, same, "left_anti")
     merged = staged(merge(affected, source, keys=keys, **options))
     # Partitions that lose all their rows are removed; the others are replaced in one write.
     emptied = _of_partitions(touched, merged.select(*by).distinct(), by, "left_anti")

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from atende.functions import rules as R
-from atende.operators.cdc import drop_tombstones
+from atende.operators.cdc import cdc_dedup_latest, drop_tombstones
 from atende.operators.keys import (
     UNKNOWN_KEY,
     distinct_value_dim,
-    surrogate_key_seq,
+    keyed,
     unknown_member,
 )
 from atende.sources.stage import staged
@@ -68,17 +68,11 @@ def dim_cliente(s) -> DataFrame:
         "nr_telefone_mascarado", "dt_cadastro", "st_cliente", "fl_cliente_ativo",
     )
     place = ["ds_cidade", "ds_estado", "ds_bairro", "nr_cep_mascarado"]
-    latest = Window.partitionBy("id_cliente").orderBy(
-        F.col("dt_cdc_evento").desc_nulls_last(), F.col("id_endereco").desc_nulls_last()
-    )
-    addresses = (
-        drop_tombstones(s["endereco_cliente"])
-        .withColumn("_rn", F.row_number().over(latest))
-        .filter("_rn = 1")
-        .select("id_cliente", *place)
-    )
-    keyed = surrogate_key_seq(customers, order=["nk_cliente"], name="sk_cliente")
-    joined = keyed.join(addresses, F.col("nk_cliente") == F.col("id_cliente"), "left").drop("id_cliente")
+    addresses = cdc_dedup_latest(
+        drop_tombstones(s["endereco_cliente"]), keys=["id_cliente"], order=["dt_cdc_evento", "id_endereco"]
+    ).select("id_cliente", *place)
+    members = keyed(customers, s, "dim_cliente", order=["nk_cliente"], name="sk_cliente")
+    joined = members.join(addresses, F.col("nk_cliente") == F.col("id_cliente"), "left").drop("id_cliente")
     filled = joined.withColumns(
         {c: F.coalesce(F.col(c), F.lit("" if c.startswith("nr_") else NOT_GIVEN)) for c in place}
     )
@@ -104,12 +98,12 @@ def dim_operador(s) -> DataFrame:
         "st_operador", "fl_operador_ativo", "nr_dias_casa", "ds_faixa_tempo_casa",
         F.col("id_supervisor").alias("nk_supervisor"), *team,
     )
-    keyed = surrogate_key_seq(rows, order=["nk_operador"], name="sk_operador")
-    bosses = keyed.select(
+    members = keyed(rows, s, "dim_operador", order=["nk_operador"], name="sk_operador")
+    bosses = members.select(
         F.col("nk_operador").alias("_boss"), F.col("sk_operador").alias("_sk_boss")
     )
     dim = (
-        keyed.join(bosses, keyed["nk_supervisor"] == F.col("_boss"), "left")
+        members.join(bosses, F.col("nk_supervisor") == F.col("_boss"), "left")
         .withColumn("sk_supervisor", F.coalesce("_sk_boss", F.lit(UNKNOWN_KEY)))
         .select(
             "sk_operador", "nk_operador", "nm_operador", "ds_login_mascarado",
@@ -154,7 +148,7 @@ def dim_supervisor(operators: DataFrame) -> DataFrame:
 def dim_status_chamada(s) -> DataFrame:
     label = F.col("ds_status")
     return distinct_value_dim(
-        s["chamada"], column="st_chamada", label="ds_status", key="sk_status",
+        s["chamada"], tables=s, dim="dim_status_chamada", column="st_chamada", label="ds_status", key="sk_status",
         flags={
             "fl_chamada_concluida": R.flag(label.isin("ATENDIDA", "CONCLUIDA")),
             "fl_chamada_abandonada": R.flag(label.isin("ABANDONADA", "ABANDONO")),
@@ -171,14 +165,14 @@ def dim_status_ticket(s) -> DataFrame:
         "fl_ticket_cancelado": R.flag(label == "CANCELADO"),
     }
     return distinct_value_dim(
-        s["ticket"], column="st_ticket", label="ds_status", key="sk_status",
+        s["ticket"], tables=s, dim="dim_status_ticket", column="st_ticket", label="ds_status", key="sk_status",
         flags=flags, unknown=dict.fromkeys(flags, 0),
     )
 
 
 def dim_categoria_ticket(s) -> DataFrame:
     return distinct_value_dim(
-        s["ticket"], column="ds_categoria", label="nm_categoria", key="sk_categoria"
+        s["ticket"], tables=s, dim="dim_categoria_ticket", column="ds_categoria", label="nm_categoria", key="sk_categoria"
     )
 
 
@@ -188,7 +182,7 @@ def dim_prioridade_ticket(s, order: tuple[str, ...] = ("CRITICA", "ALTA", "MEDIA
     for i, name in enumerate(order, 1):
         position = F.when(label == name, i).otherwise(position)
     return distinct_value_dim(
-        s["ticket"], column="ds_prioridade", label="nm_prioridade", key="sk_prioridade",
+        s["ticket"], tables=s, dim="dim_prioridade_ticket", column="ds_prioridade", label="nm_prioridade", key="sk_prioridade",
         flags={
             "nr_ordem_prioridade": position,
             "fl_prioridade_critica": R.flag(label == order[0]),
@@ -204,8 +198,8 @@ def dim_skill(s) -> DataFrame:
         .select("ds_skill", "nr_nivel", "ds_faixa_nivel")
         .distinct()
     )
-    keyed = surrogate_key_seq(rows, order=["ds_skill", "nr_nivel"], name="sk_skill")
-    dim = keyed.select("sk_skill", "ds_skill", "nr_nivel", "ds_faixa_nivel")
+    members = keyed(rows, s, "dim_skill", order=["ds_skill", "nr_nivel"], name="sk_skill")
+    dim = members.select("sk_skill", "ds_skill", "nr_nivel", "ds_faixa_nivel")
     return unknown_member(
         dim,
         {"sk_skill": UNKNOWN_KEY, "ds_skill": R.UNKNOWN, "nr_nivel": 0, "ds_faixa_nivel": R.UNKNOWN},
@@ -223,7 +217,7 @@ def dim_campanha(s) -> DataFrame:
         "nm_campanha", "dt_inicio", "dt_fim", "st_campanha", "nr_duracao_dias",
         "fl_campanha_ativa", "fl_campanha_vigente", *extras,
     )
-    dim = surrogate_key_seq(rows, order=["nk_campanha"], name="sk_campanha").select(
+    dim = keyed(rows, s, "dim_campanha", order=["nk_campanha"], name="sk_campanha").select(
         "sk_campanha", *rows.columns
     )
     return unknown_member(
@@ -250,7 +244,7 @@ def dim_fila(
         R.flag(F.col("ds_tipo_fila").isin(*digital)).alias("fl_fila_digital"),
         *extras,
     )
-    dim = surrogate_key_seq(rows, order=["nk_fila"], name="sk_fila").select("sk_fila", *rows.columns)
+    dim = keyed(rows, s, "dim_fila", order=["nk_fila"], name="sk_fila").select("sk_fila", *rows.columns)
     return unknown_member(
         dim,
         {

@@ -22,6 +22,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from atende.operators.keys import KeyRegistry
 from atende.operators.lookup import partition_of
 from atende.plans import dims
 from atende.plans.facts import FACTS, build_fact
@@ -85,6 +86,7 @@ class Lakehouse:
         as_of: str = AS_OF,
         calendar: tuple[str, str] = CALENDAR,
         grain: str = "month",
+        stable_keys: bool = False,
     ):
         if grain not in GRAINS:
             raise ValueError(f"grain is one of {GRAINS}")
@@ -92,7 +94,8 @@ class Lakehouse:
         self.as_of, self.calendar = as_of, calendar
         label = hashlib.md5(self.source_dir.encode()).hexdigest()[:12]
         self.root = root or os.path.join(work_dir(spark), label)
-        self.grain = grain
+        # With stable keys the members of dimensions keep their keys in later builds under the same root.
+        self.grain, self.stable_keys = grain, stable_keys
         self._tables: dict[str, DataFrame] = {}
         self._marked: dict[str, MarkedTable] = {}
         self._lock = threading.RLock()
@@ -169,6 +172,10 @@ class Lakehouse:
         self.require([entity])
         return self._marked[entity]
 
+    def registry(self, dim: str, natural: str) -> KeyRegistry:
+        """The stored keys of a dimension."""
+        return KeyRegistry(self.spark, os.path.join(self.root, "chaves", dim), natural)
+
     def quarantine(self, entity: str) -> DataFrame:
         """Rejected rows of a current-state table, with the reason and the day of ingestion."""
         return self.marked(entity).rejected()

@@ -17,8 +17,9 @@ from atende.plans.facts import FACTS
 from atende.plans.layers import AS_OF, GOLD, SILVER_WAVE, Lakehouse
 from atende.plans.silver import build_silver, latest_events, mark_silver, silver_spec
 from atende.sources import tables
-from atende.sources.verdicts import INGESTED
+from atende.sources.verdicts import INGESTED, MarkedTable
 from atende.streaming import incremental
+from atende.streaming.gold_feed import GoldFeed
 
 BASE: dict[str, Callable[[Lakehouse], DataFrame]] = {}
 
@@ -459,6 +460,32 @@ def e1_surrogate_key_stable(lake):
     return keys.surrogate_key_seq(people, order=["c_custkey"], name="sk", existing=existing)
 
 
+@query
+def e1_key_registry(lake):
+    """Three builds on one registry: half of the customers, all of them, all again. The first half keeps its keys."""
+    people = lake.source("customer").select("c_custkey", "c_mktsegment")
+    registry = keys.KeyRegistry(lake.spark, _fresh(lake, "keys"), "c_custkey bigint")
+    first = registry.assign(people.filter("c_mktsegment in ('BUILDING', 'MACHINERY')"), "sk")
+    first.write.parquet(_fresh(lake, "first"))
+    registry.assign(people, "sk").write.parquet(_fresh(lake, "second"))
+    return registry.assign(people, "sk")
+
+
+@query
+def f6_incremental_whatsapp(lake):
+    """The WhatsApp fact from two batches of events, each of which rewrites only the dates it touches."""
+    root, entity = _fresh(lake, "feed"), "whatsapp_atendimento"
+    silver = incremental.PartitionedTable(lake.spark, os.path.join(root, "silver"), ("ano", "mes", "dia"))
+    feed = GoldFeed(lake.spark, os.path.join(root, "fact"), "fato_whatsapp", lake, extended=True)
+    rows, early = lake.bronze(entity), F.col("_timestamp") < "2024-01-16"
+    schema = mark_silver(entity, rows, as_of=AS_OF, tie_break="_seq", extended=True).schema
+    checked = MarkedTable(lake.spark, os.path.join(root, "checked"), schema)
+    for batch, part in (("1", rows.filter(early)), ("2", rows.filter(~early)), ("2", rows.filter(~early))):
+        incremental.merge_batch(entity, part, silver, checked=checked.path, batch_id=batch, as_of=AS_OF, tie_break="_seq", extended=True)
+        feed.refresh(silver.read(), checked.valid(batch), batch)
+    return feed.read()
+
+
 @query
 def e2_unknown_member(lake):
     rows = lake.source("customer").select(F.col("c_custkey").alias("sk"), F.col("c_name").alias("nm"))

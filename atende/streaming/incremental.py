@@ -159,6 +159,7 @@ def merge_batch(
     tie_break: str | None = None,
     newer_only: bool = False,
     deletes: str = "ignore",
+    extended: bool = False,
 ) -> dict[str, object]:
     """Merge one batch of change events; an empty batch changes neither the table nor the quarantine.
 
@@ -169,7 +170,7 @@ def merge_batch(
     counted, seen = observe_batch(
         batch.withColumn("_event", event_time("_timestamp")), f"batch_{entity}", "_event"
     )
-    marked = mark_silver(entity, counted, as_of=as_of, tie_break=tie_break)
+    marked = mark_silver(entity, counted, as_of=as_of, tie_break=tie_break, extended=extended)
     store = MarkedTable(batch.sparkSession, checked, marked.schema)
     store.write(marked, str(batch_id), ingested=F.lit(as_of))
     # An empty plan observes nothing, so whether there are rows is asked of the folder (its footers tell).

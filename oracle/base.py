@@ -138,6 +138,8 @@ FINALS["e1_surrogate_key_seq"] = "select c_custkey, cast(row_number() over (orde
 FINALS["e1_surrogate_key_stable"] = f"""select c_custkey, c_mktsegment, cast(case when k then row_number() over (partition by k order by c_custkey)
   else (select count(*) from customer where c_mktsegment in ('BUILDING', 'MACHINERY')) + row_number() over (partition by k order by c_custkey) end as int) as sk
 from (select *, c_mktsegment in ('BUILDING', 'MACHINERY') as k from customer)"""
+FINALS["e1_key_registry"] = FINALS["e1_surrogate_key_stable"].replace("as int) as sk", "as bigint) as sk")
+FINALS["f6_incremental_whatsapp"] = "select * from fato_whatsapp"
 FINALS["e2_unknown_member"] = f"select c_custkey as sk, c_name as nm from customer union all select -1, {UNK}"
 FINALS["e7_dim_canal"] = """select c.*, coalesce(n, 0) as nr_atendimentos from dim_canal c left join (select sk_canal, count(*) as n from
   (select sk_canal from fato_chamada union all select sk_canal from fato_chat union all select sk_canal from fato_whatsapp) group by 1) u using (sk_canal)"""

@@ -1,13 +1,19 @@
 """Distributed numbering and ranking against brute force, with skewed and repeated values."""
 
+import datetime
+import os
 import random
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from atende.operators.keys import distinct_value_dim, surrogate_key_seq, unknown_member
+from atende.operators.keys import KeyRegistry, distinct_value_dim, surrogate_key_seq, unknown_member
 from atende.operators.lookup import Lookup, resolve_keys
+from atende.plans.facts import build_fact
+from atende.plans.layers import Lakehouse
+from atende.sources.bindings import SOURCES
+from atende.streaming.gold_feed import GoldFeed
 from atende.operators.ranks import ntile_over_all, rank_over_all, rank_within, ranked, row_number_over_all
 
 
@@ -108,3 +114,57 @@ def test_resolve_keys_fills_missing_matches(spark):
     dims = {"d": spark.createDataFrame([(7, 70)], "nk bigint, sk int")}
     out = resolve_keys(fact, dims, [Lookup("d", F.col("nk"), "nk", {"sk": "sk_d"}), Lookup("d", F.col("nk"), "nk", {"sk": "sk_e"}, ("sk_e",))])
     assert plain(out.select("id", "sk_d", "sk_e")) == sorted(map(str, [(1, 70, 70), (2, -1, None), (3, -1, None)]))
+
+
+def test_registry_keeps_keys_and_survives_a_failed_assignment(spark, tmp_path):
+    registry = KeyRegistry(spark, str(tmp_path / "keys"), "a string, b int")
+    df = lambda rows: spark.createDataFrame(rows, "a string, b int, v int")
+    first = {(r.a, r.b): r.k for r in registry.assign(df([("x", 1, 0), ("x", 1, 9), (None, 2, 0), ("b", None, 0)]), "k").collect()}
+    assert sorted(first.values()) == [1, 2, 3]
+    # A folder without a line in the log, as a failed assignment leaves it, is passed over and written anew.
+    spark.createDataFrame([("z", 1, 99)], "a string, b int, nr_chave bigint").write.parquet(str(tmp_path / "keys" / "membros" / "nr_versao=2"))
+    assert registry.state() == (1, 3) and registry.read().count() == 3
+    out = registry.assign(df([("a", 0, 0), ("x", 1, 1), (None, 2, 1), ("zz", None, 1), ("b", None, 1)]), "k").collect()
+    second = {(r.a, r.b): r.k for r in out}
+    assert len(out) == 5 and all(second[m] == k for m, k in first.items()) and sorted(second.values()) == [1, 2, 3, 4, 5]
+    assert registry.assign(df([("zz", None, 7)]), "k").first().k == second["zz", None] and registry.state() == (2, 5)
+    assert registry.assign(df([]), "k").count() == 0 and registry.state() == (2, 5)
+
+
+def test_dimensions_of_a_later_build_keep_their_keys(spark, sf_dir, tmp_path):
+    source, root = tmp_path / "source", str(tmp_path / "lake")
+    source.mkdir()
+    for table in SOURCES:
+        os.symlink(f"{sf_dir}/{table}.parquet", source / f"{table}.parquet")
+    people = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    os.unlink(source / "customer.parquet")
+    people.filter("c_custkey % 3 = 0").write.parquet(str(source / "customer.parquet"))
+    build = lambda where: {r.nk_cliente: r.sk_cliente for r in Lakehouse(spark, where, root=root, stable_keys=True)["dim_cliente"].collect()}
+    first, second = build(str(source)), build(sf_dir)
+    assert len(second) > len(first) > 10 and all(second[nk] == sk for nk, sk in first.items())
+    assert len(set(second.values())) == len(second) and build(sf_dir) == second
+
+
+def test_a_batch_rewrites_its_dates_only_and_removes_deleted_rows(spark, tmp_path):
+    """The feed on a small fact: one changed, one new, one deleted row; files of other dates stay."""
+    dims = {
+        "dim_operador": spark.createDataFrame([(1, 10), (2, 20), (-1, -1)], "nk_operador long, sk_operador int"),
+        "dim_data": spark.sql("select cast(date_format(d, 'yyyyMMdd') as int) as sk_data, d as dt_completa from (select explode(sequence(date'2024-01-01', date'2024-01-09')) as d)"),
+    }
+    schema = "id_jornada long, id_operador long, dt_jornada timestamp, nr_horas_trabalhadas double, nr_chamadas_atendidas int, nr_tickets_resolvidos int, st_presenca string, fl_presente smallint, op_cdc string"
+    row = lambda i, day, hours, op="INSERT": (i, i % 3, datetime.datetime(2024, 1, day), hours, 1, 1, "PRESENTE", 1, op)
+    state = {i: row(i, i, float(i)) for i in range(1, 7)}
+    frame = lambda: spark.createDataFrame(list(state.values()), schema)
+    dims["jornada_operador"] = frame()
+    feed = GoldFeed(spark, str(tmp_path / "fact"), "fato_jornada_operador", dims)
+    ids = lambda *xs: spark.createDataFrame([(x,) for x in xs], "id_jornada long")
+    assert feed.refresh(frame(), ids(*state), "1")
+    files = lambda: {p.parent.name: p.name for p in (tmp_path / "fact" / "data").glob("*/*.parquet")}
+    before = files()
+    state |= {2: row(2, 3, 9.0), 5: row(5, 5, 5.0, "DELETE"), 7: row(7, 8, 7.0)}
+    assert feed.refresh(frame(), ids(2, 5, 7), "2") and not feed.refresh(frame(), ids(2, 5, 7), "2")
+    after = files()
+    assert {d for d in before if after.get(d) == before[d]} == {"sk_data=20240101", "sk_data=20240104", "sk_data=20240106"}
+    assert "sk_data=20240102" not in after and "sk_data=20240105" not in after and "sk_data=20240108" in after
+    full = build_fact("fato_jornada_operador", {**dims, "jornada_operador": frame()})
+    assert sorted(map(tuple, feed.read().collect())) == sorted(map(tuple, full.collect()))
