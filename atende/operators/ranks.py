@@ -51,16 +51,42 @@ def rank_over_all(df: DataFrame, *, by: str, name: str, descending: bool = True)
     return df.join(ranks, F.col(by).eqNullSafe(F.col("_v"))).drop("_v")
 
 
+def _ranks_over_all(df: DataFrame, ranks: dict[str, tuple[str, bool]]) -> DataFrame:
+    """Several ranks over all rows from one range sort.
+
+    The values of all ranked columns are set under each other with their counts, each in a column of its own type,
+    and sorted once by (rank, value in its direction). Every rank counts all rows, so the rows before a
+    value, less those of the earlier ranks, give its place.
+    """
+    types, k = dict(df.dtypes), len(ranks)
+    values = [f"_v{j}" for j in range(k)]
+
+    def row(i: int) -> Column:
+        own = [(F.col(c) if j == i else F.lit(None).cast(types[c])).alias(values[j]) for j, (c, _) in enumerate(ranks.values())]
+        return F.struct(F.lit(i).alias("_r"), *own)
+
+    counts = df.select(F.inline(F.array(*map(row, range(k))))).groupBy("_r", *values).agg(F.count(F.lit(1)).alias("_n"))
+    order = [F.col("_r").asc(), *[order_by(v, descending) for v, (_, descending) in zip(values, ranks.values())]]
+    placed = staged(running_total(counts, order, F.col("_n"), "_before"))
+    rows = df.agg(F.count(F.lit(1))).scalar()
+    for j, (name, (column, _)) in enumerate(ranks.items()):
+        own = placed.filter(F.col("_r") == j).select(F.col(values[j]).alias("_v"), (F.col("_before") - j * rows + 1).alias(name))
+        df = df.join(own, F.col(column).eqNullSafe(F.col("_v"))).drop("_v")
+    return df
+
+
 def ranked(
-    df: DataFrame, ranks: dict[str, tuple[str, bool]], *, partition: Sequence[str] = ()
+    df: DataFrame, ranks: dict[str, tuple[str, bool]], *, partition: Sequence[str] = (), stored: bool = False
 ) -> DataFrame:
-    """Add several ``name -> (column, descending)`` ranks, over all rows or per partition."""
-    df = staged(df)
+    """Add several ``name -> (column, descending)`` ranks, over all rows or per partition.
+
+    ``stored`` tells that ``df`` reads a stored table, so that it need not be staged.
+    """
+    df = df if stored else staged(df)
+    if not partition:
+        return _ranks_over_all(df, ranks)
     for name, (column, descending) in ranks.items():
-        if partition:
-            df = rank_within(df, partition=partition, by=column, name=name, descending=descending)
-        else:
-            df = rank_over_all(df, by=column, name=name, descending=descending)
+        df = rank_within(df, partition=partition, by=column, name=name, descending=descending)
     return df
 
 
@@ -77,9 +103,8 @@ def ntile_over_all(
 ) -> DataFrame:
     """``NTILE`` over the whole input; ``tie`` is unique and makes the cut repeatable."""
     columns = df.columns
-    df = staged(df)
     placed = row_number_over_all(df, by=by, tie=tie, name="_pos", descending=descending)
-    rows = df.agg(F.count(F.lit(1)).alias("_rows")).scalar()
+    rows = placed.agg(F.count(F.lit(1)).alias("_rows")).scalar()  # of the table that the numbering has staged
     small, longer = F.floor(rows / tiles), rows % tiles
     cut = longer * (small + 1)  # rows in the tiles that hold one row more
     tile = F.when(F.col("_pos") <= cut, F.ceil(F.col("_pos") / (small + 1))).otherwise(

@@ -11,6 +11,7 @@ from atende.functions.rules import half_up, pct
 from atende.operators.scalars import one_row
 from atende.operators.ranks import ranked
 from atende.plans.kpi.common import mean, mean_if, n, n_if, optional, top, with_day
+from atende.sources.stage import staged
 
 WEIGHTS = {"rank_volume": 0.30, "rank_qualidade": 0.40, "rank_produtividade": 0.30}
 
@@ -101,7 +102,7 @@ def kpi02_consolidated(t) -> DataFrame:
 
 def kpi02_ranking(t, weights: dict[str, float] = WEIGHTS, limit: int | None = None) -> DataFrame:
     """Operators against the team mean, three ranks and their weighted sum."""
-    people = kpi02_consolidated(t).filter("nr_total_chamadas > 0")
+    people = staged(kpi02_consolidated(t).filter("nr_total_chamadas > 0"))
     team = one_row(people.agg(F.avg("nr_tma_segundos").alias("tma"), F.avg("nr_nota_geral_media").alias("nota")))
     rows = ranked(
         people,
@@ -110,6 +111,7 @@ def kpi02_ranking(t, weights: dict[str, float] = WEIGHTS, limit: int | None = No
             "rank_qualidade": ("nr_nota_geral_media", True),
             "rank_produtividade": ("nr_calls_por_hora", True),
         },
+        stored=True,
     )
     score = reduce(lambda a, b: a + b, [F.col(r) * F.lit(w) for r, w in weights.items()])
     out = rows.select(

@@ -12,6 +12,7 @@ from atende.operators.ranks import ranked
 from atende.plans.kpi.common import (
     mean, n, n_if, one_if, optional, top, with_day, year_month,
 )
+from atende.sources.stage import staged
 
 BANDS = ("EXCELENTE", "BOM", "REGULAR", "RUIM")
 
@@ -60,7 +61,7 @@ def _is(band: str):
 
 def kpi03_by_operator(t, limit: int | None = None) -> DataFrame:
     base, rows = kpi03_base(t), n("sk_qualidade")
-    per_operator = base.groupBy("sk_operador", "nm_operador", "ds_cargo", "nm_supervisor").agg(
+    grouped = base.groupBy("sk_operador", "nm_operador", "ds_cargo", "nm_supervisor").agg(
         rows.alias("nr_total_avaliacoes"),
         mean("nr_nota_geral").alias("nr_nota_geral_media"),
         mean("nr_nota_comunicacao").alias("nr_nota_comunicacao_media"),
@@ -70,8 +71,12 @@ def kpi03_by_operator(t, limit: int | None = None) -> DataFrame:
         pct(F.sum("fl_conforme"), rows).alias("pct_conformidade"),
         F.min("nr_nota_geral").alias("nr_nota_minima"),
         F.max("nr_nota_geral").alias("nr_nota_maxima"),
+        F.sum("nr_nota_geral").alias("_soma"), n("nr_nota_geral").alias("_notas"),
     )
-    overall = one_row(base.agg(mean("nr_nota_geral").alias("media_equipe_geral")))
+    # The team's mean comes from the sums of the groups, so the base is read once.
+    stored = staged(grouped)
+    overall = one_row(stored.agg(half_up(F.sum("_soma") / F.nullif(F.sum("_notas"), F.lit(0)), 2).alias("media_equipe_geral")))
+    per_operator = stored.drop("_soma", "_notas")
     score, team = F.col("nr_nota_geral_media"), F.col("media_equipe_geral")
     profile = F.lit("MISTO")
     for band in reversed(BANDS):
@@ -83,7 +88,7 @@ def kpi03_by_operator(t, limit: int | None = None) -> DataFrame:
             "ds_perfil_qualidade": profile,
         }
     )
-    rows = ranked(rows, {"rank_qualidade": ("nr_nota_geral_media", True)})
+    rows = ranked(rows, {"rank_qualidade": ("nr_nota_geral_media", True)}, stored=True)
     order = [("nr_nota_geral_media", True), ("nr_total_avaliacoes", True), ("sk_operador", False), ("nm_supervisor", False)]
     return top(rows, order, limit)
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from atende.functions.rules import pct, ratio, traffic_light
 from atende.operators.ranks import ntile_over_all, ranked
 from atende.plans.kpi.common import mean, n, top
+from atende.sources.stage import staged
 from atende.plans.kpi.kpi08 import dials
 
 # Campaign states that count as running or finished.
@@ -50,8 +51,8 @@ def _per_campaign(t, situations: dict[str, tuple[str, ...]] = SITUATIONS) -> Dat
 
 
 def kpi09_roi(t, situations: dict[str, tuple[str, ...]] = SITUATIONS, limit: int | None = None) -> DataFrame:
-    campaigns = _per_campaign(t, situations)
-    classes = kpi09_quartiles(t, situations).select(
+    campaigns = staged(_per_campaign(t, situations))
+    classes = _quartiles(campaigns, stored=True).select(
         "sk_campanha", "rank_geral_efetividade", "rank_geral_volume", "rank_eficiencia_custo",
         "quartil_efetividade", "ds_quartil_efetividade",
     )
@@ -98,7 +99,11 @@ def kpi09_rank_by_type(t, situations: dict[str, tuple[str, ...]] = SITUATIONS) -
 
 
 def kpi09_quartiles(t, situations: dict[str, tuple[str, ...]] = SITUATIONS) -> DataFrame:
-    rows = _per_campaign(t, situations).filter("nr_conversoes > 0").select(
+    return _quartiles(_per_campaign(t, situations))
+
+
+def _quartiles(campaigns: DataFrame, stored: bool = False) -> DataFrame:
+    rows = campaigns.filter("nr_conversoes > 0").select(
         "sk_campanha", "nm_campanha", "ds_situacao_campanha", "pct_efetividade_meta",
         "nr_conversoes", "nr_tentativas_por_conversao",
     )
@@ -109,6 +114,7 @@ def kpi09_quartiles(t, situations: dict[str, tuple[str, ...]] = SITUATIONS) -> D
             "rank_geral_volume": ("nr_conversoes", True),
             "rank_eficiencia_custo": ("nr_tentativas_por_conversao", False),
         },
+        stored=stored,
     )
     rows = ntile_over_all(rows, by="pct_efetividade_meta", tie="sk_campanha", name="quartil_efetividade")
     labels = F.array(*[F.lit(q) for q in QUARTILES])

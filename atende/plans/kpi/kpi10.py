@@ -10,6 +10,7 @@ from atende.operators.lookup import with_dim
 from atende.operators.scalars import one_row
 from atende.operators.ranks import ranked
 from atende.plans.kpi.common import mean, n, n_if, one_if, top, with_day, year_month
+from atende.sources.stage import staged
 
 # Shift statuses with their own class.
 OCCURRENCES = ("PRESENTE", "AUSENTE", "FERIAS", "AFASTADO", "FOLGA")
@@ -47,7 +48,7 @@ def _workdays():
 
 def kpi10_attendance(t, limit: int | None = None) -> DataFrame:
     hours = _while_present("nr_horas_trabalhadas")
-    people = (
+    people = staged(
         kpi10_base(t)
         .groupBy("sk_operador", "nm_operador", "ds_cargo")
         .agg(
@@ -89,6 +90,7 @@ def kpi10_attendance(t, limit: int | None = None) -> DataFrame:
             "rank_menor_absenteismo": ("pct_taxa_absenteismo", False),
             "rank_produtividade_hora": ("nr_chamadas_por_hora", True),
         },
+        stored=True,
     )
     order = [("pct_taxa_absenteismo", True), ("nr_chamadas_por_hora", True), ("sk_operador", False)]
     return top(rows, order, limit)

@@ -9,6 +9,7 @@ from atende.functions.rules import pct, traffic_light
 from atende.operators.lookup import with_dim
 from atende.operators.ranks import ranked
 from atende.plans.kpi.common import mean, mean_if, n, n_if, optional, top, year_month
+from atende.sources.stage import staged
 from atende.plans.kpi.kpi01 import DAY, calls
 
 OPENING_HOURS = 8
@@ -114,7 +115,7 @@ def kpi11_daily_occupancy(t, limit: int | None = None) -> DataFrame:
 
     Of equally busy hours the earliest is attached, so that a tie does not repeat the row.
     """
-    daily = _daily(kpi11_base(t))
+    daily = staged(_daily(kpi11_base(t)))
     overload = _overload(daily, t).select(
         "sk_fila", "rank_sobrecarga", "nr_ocupacao_media", "nr_dias_sobrecarga_critica"
     )

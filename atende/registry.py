@@ -18,6 +18,7 @@ from atende.plans.layers import Lakehouse, lake_for
 from atende.plans.period import Period
 from atende.plans.silver import SPECS
 from atende.queries_base import BASE
+from atende.sources.stage import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -164,8 +165,9 @@ def _raw(lake: Lakehouse, entity: str) -> DataFrame:
 
 
 def _matrix(lake: Lakehouse) -> DataFrame:
-    return explore.operator_matrix(
-        lake["chamada"], lake["avaliacao_qualidade"], lake["jornada_operador"], lake["operador"]
+    """Staged: scaling, medians and rows of the operators read it several times."""
+    return staged(
+        explore.operator_matrix(lake["chamada"], lake["avaliacao_qualidade"], lake["jornada_operador"], lake["operador"])
     )
 
 
