@@ -79,6 +79,18 @@ def a5_write_bronze_partitioned(lake):
     )
 
 
+@query
+def a5_load_tables(lake):
+    """Three tables landed side by side, one of them empty: status and rows, and whether files came."""
+    root = _fresh(lake, "landing")
+    given = {
+        "chamada": (lake.bronze("chamada"), "dt_inicio"), "ticket": (lake.bronze("ticket"), "dt_abertura"),
+        "vazia": (lake.bronze("chat").filter("id_chat = 'nenhum'"), "dt_inicio"),
+    }
+    report = tables.load_tables(lake.spark, {n: (df, os.path.join(root, n), date) for n, (df, date) in given.items()}, now=_now())
+    return report.select("nm_tabela", "ds_status", "nr_linhas", rules.flag(F.col("nr_arquivos") > 0).alias("fl_tem_arquivos"))
+
+
 @query
 def a6_watermark_filter(lake):
     return incremental.watermark_filter(lake.bronze("chamada"), "2024-01-15 00:00:00").select(

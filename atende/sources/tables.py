@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JError
+from pyspark import inheritable_thread_target
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,34 +81,61 @@ def write_bronze_partitioned(
     return partition_counts(landed)
 
 
-def load_tables(tables: dict[str, tuple[DataFrame, str, str | None]], *, dry_run: bool = False) -> dict[str, str]:
-    """Land several ``name -> (rows, path, date column)``; one failing table does not stop the rest.
+LOADS_AT_ONCE = 4
+LOAD_SCHEMA = "nm_tabela string, ds_status string, nr_linhas bigint, nr_arquivos bigint, ds_erro string"
 
-    Returns OK, SKIP (no rows) or ERRO per table.
+
+class LoadError(Exception):
+    """Tables of a load that failed; ``report`` holds the outcome of all of them."""
+
+    def __init__(self, report: DataFrame, failed: Sequence[str]):
+        super().__init__(f"not loaded: {', '.join(failed)}")
+        self.report = report
+
+
+def _files(spark: SparkSession, path: str, schema: T.StructType) -> int:
+    """Data files of a landing folder, 0 where there is none."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        return 0
+    return spark.read.schema(schema).parquet(path).select("_metadata.file_path").distinct().count()
+
+
+def _load_one(name: str, df: DataFrame, path: str, date: str | None, now: Column | None, dry_run: bool) -> tuple:
+    """(table, status, rows, new files, error): one pass over the rows, which are counted while they are written."""
+    try:
+        landed = derive_date_partitions(df, date=date, now=now)
+        if dry_run:
+            rows = landed.count()
+            return name, "OK" if rows else "SKIP", rows, 0, None
+        before = _files(df.sparkSession, path, landed.schema)
+        seen = Observation(f"carga_{name}")
+        _by_partition(landed.observe(seen, F.count(F.lit(1)).alias("n")), LANDING).write.mode("append").partitionBy(*LANDING).option(
+            "compression", "snappy"
+        ).parquet(path)
+        new = _files(df.sparkSession, path, landed.schema) - before
+        # A plan without rows observes nothing and writes no file.
+        return (name, "OK", seen.get["n"], new, None) if new else (name, "SKIP", 0, 0, None)
+    except (PySparkException, Py4JError, OSError) as error:
+        return name, "ERRO", None, None, f"{error}".splitlines()[0]
+
+
+def load_tables(
+    spark: SparkSession, tables: dict[str, tuple[DataFrame, str, str | None]], *, now: Column | None = None, dry_run: bool = False,
+    at_once: int = LOADS_AT_ONCE,
+) -> DataFrame:
+    """Land several ``name -> (rows, path, date column)`` side by side; one failing table does not stop the rest.
+
+    Gives a row for each table: OK, or SKIP where it has no rows, its rows and its new files. Where any failed, a
+    ``LoadError`` with all rows is raised after every table was tried.
     """
-    status = {}
-    for name, (df, path, date) in tables.items():
-        try:
-            if df.isEmpty():
-                status[name] = "SKIP"
-                continue
-            write_bronze_partitioned(df, path, date=date, dry_run=dry_run)
-            status[name] = "OK"
-        except Exception as error:  # noqa: BLE001 - reported per table
-            status[name] = f"ERRO: {error}".splitlines()[0]
-    return status
-
-
-def write_quarantine(rejected: DataFrame, path: str, *, ingested: Column) -> bool:
-    """Append rejected rows by ingest date; writes nothing and returns False when there are none."""
-    if rejected.isEmpty():
-        return False
-    day = ingested.cast("date")
-    names = ("ano_ingestao", "mes_ingestao", "dia_ingestao")
-    rejected.withColumns(dict(zip(names, (F.year(day), F.month(day), F.dayofmonth(day))))).write.mode(
-        "append"
-    ).partitionBy(*names).parquet(path)
-    return True
+    run = inheritable_thread_target(spark)(lambda item: _load_one(item[0], *item[1], now, dry_run))
+    with ThreadPoolExecutor(at_once) as pool:
+        rows = list(pool.map(run, tables.items()))
+    report = spark.createDataFrame(rows, LOAD_SCHEMA)
+    if failed := [r[0] for r in rows if r[1] == "ERRO"]:
+        raise LoadError(report, failed)
+    return report
 
 
 def write_table_partitioned(

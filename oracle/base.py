@@ -26,6 +26,8 @@ def land(c: str) -> str:
 
 FINALS["a4_derive_date_partitions"] = f"select id_ticket, {land('dt_abertura')} from bz_ticket"
 FINALS["a5_write_bronze_partitioned"] = f"select {land('dt_inicio')}, {C} as nr_linhas from bz_chamada group by all"
+FINALS["a5_load_tables"] = f"""select 'chamada' as nm_tabela, 'OK' as ds_status, {C} as nr_linhas, 1::smallint as fl_tem_arquivos from bz_chamada
+union all select 'ticket', 'OK', {C}, 1::smallint from bz_ticket union all select 'vazia', 'SKIP', 0, 0::smallint"""
 EVT = "try_cast(replace(_timestamp, 'T', ' ') as timestamp)"
 FINALS["a6_watermark_filter"] = f"""select id_chamada, "Op", _timestamp from bz_chamada where {EVT} > timestamp '2024-01-15 00:00:00'"""
 _ID = "try_cast(id_chamada as bigint)"

@@ -35,10 +35,15 @@ def test_dry_run_writes_nothing(spark, tmp_path):
 def test_load_status_per_table(spark, tmp_path):
     df = spark.createDataFrame([("2024-03-05",)], "d string")
     bad = df.select(F.raise_error(F.lit("quebrado")).cast("string").alias("d"))
-    got = tables.load_tables(
-        {"a": (df, str(tmp_path / "a"), "d"), "b": (df.filter("false"), str(tmp_path / "b"), "d"), "c": (bad, str(tmp_path / "c"), "d")}
-    )
-    assert got["a"] == "OK" and got["b"] == "SKIP" and got["c"].startswith("ERRO")
+    given = {n: (x, str(tmp_path / n), "d") for n, x in (("a", df), ("b", df.filter("false")), ("c", bad), ("e", df.filter("d = ''")))}
+    with pytest.raises(tables.LoadError) as failure:
+        tables.load_tables(spark, given)
+    got = {r.nm_tabela: r for r in failure.value.report.collect()}
+    assert {n: r.ds_status for n, r in got.items()} == {"a": "OK", "b": "SKIP", "c": "ERRO", "e": "SKIP"} and got["c"].ds_erro
+    again = tables.load_tables(spark, {"a": (df.union(df), str(tmp_path / "a"), "d")}).first()
+    assert (again.nr_linhas, again.nr_arquivos) == (2, 1) and (got["a"].nr_linhas, got["a"].nr_arquivos) == (1, 1)
+    dry = tables.load_tables(spark, {"a": (df, str(tmp_path / "x"), "d")}, dry_run=True).first()
+    assert (dry.ds_status, dry.nr_linhas, dry.nr_arquivos) == ("OK", 1, 0) and not (tmp_path / "x").exists()
 
 
 def test_a_hot_partition_is_split_and_small_ones_share_tasks(spark, tmp_path):
