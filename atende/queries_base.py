@@ -221,6 +221,17 @@ def a15_layer_entry(lake):
     )
 
 
+@query
+def a15_publish(lake):
+    """A run from bronze on that publishes, then one that only publishes: what readers see after both."""
+    own = Lakehouse(lake.spark, lake.source_dir, root=_fresh(lake, "layers"))
+    shop = tables.Published(lake.spark, own.path("publicado"))
+    for start in ("bronze", "publish"):
+        own.run(start, only=["fato_mensagem_chat"], publish_to=shop.path)
+    counts = quality.table_counts({n: shop.read(n) for n in shop.tables()})
+    return counts.withColumn("nr_publicacao", F.lit(shop.current()))
+
+
 @query
 def a16_ctas_monthly_report(lake):
     return tables.monthly_report(

@@ -48,6 +48,7 @@ _GOLD = ["dim_data", "dim_cliente", "dim_operador", "fato_chat", "fato_mensagem_
 FINALS["a15_layer_entry"] = " union all ".join(
     [f"select 'silver' as nm_camada, '{e}' as nm_tabela, count(*) as nr_linhas from sv_{e}" for e in _SILVER]
     + [f"select 'gold' as nm_camada, '{g}' as nm_tabela, count(*) as nr_linhas from {g}" for g in _GOLD])
+FINALS["a15_publish"] = " union all ".join(f"select '{g}' as nm_tabela, count(*) as nr_linhas, 2::int as nr_publicacao from {g}" for g in _GOLD)
 REPORT = f"""select date_trunc('month', dt_inicio)::timestamp as mes, {C} as total_chamadas, {avg('nr_duracao_segundos')} as duracao_media,
   {cnt("st_chamada = 'ATENDIDA'")} as resolvidas from sv_chamada where {{}} group by 1"""
 FINALS["a16_ctas_monthly_report"] = REPORT.format("true")
