@@ -110,28 +110,26 @@ def kpi11_peak_hour(t) -> DataFrame:
     )
 
 
-def kpi11_daily_occupancy(t, limit: int | None = None) -> DataFrame:
+def kpi11_daily_occupancy(t, limit: int | None = None, keep_ties: bool = False) -> DataFrame:
     """Occupancy per day and queue with overload rank and peak hour.
 
-    Of equally busy hours the earliest is attached, so that a tie does not repeat the row.
+    Of equally busy hours the earliest is attached, so that a tie does not repeat the row;
+    ``keep_ties`` gives a row for each of them.
     """
     daily = staged(_daily(kpi11_base(t)))
     overload = _overload(daily, t).select(
         "sk_fila", "rank_sobrecarga", "nr_ocupacao_media", "nr_dias_sobrecarga_critica"
     )
-    peak = (
-        kpi11_peak_hour(t)
-        .groupBy("ds_fila")
-        .agg(
-            F.min(F.struct("nr_hora_inicio", "ds_turno", "nr_chamadas_hora", "pct_volume_hora_vs_total")).alias("_pico")
-        )
-        .select(
-            "ds_fila",
-            F.col("_pico.nr_hora_inicio").alias("nr_hora_pico"),
-            F.col("_pico.ds_turno").alias("ds_turno_pico"),
-            F.col("_pico.nr_chamadas_hora").alias("nr_chamadas_hora_pico"),
-            F.col("_pico.pct_volume_hora_vs_total").alias("pct_volume_hora_pico"),
-        )
+    hours = ("nr_hora_inicio", "ds_turno", "nr_chamadas_hora", "pct_volume_hora_vs_total")
+    busiest = kpi11_peak_hour(t).select("ds_fila", F.struct(*hours).alias("_pico"))
+    if not keep_ties:
+        busiest = busiest.groupBy("ds_fila").agg(F.min("_pico").alias("_pico"))
+    peak = busiest.select(
+        "ds_fila",
+        F.col("_pico.nr_hora_inicio").alias("nr_hora_pico"),
+        F.col("_pico.ds_turno").alias("ds_turno_pico"),
+        F.col("_pico.nr_chamadas_hora").alias("nr_chamadas_hora_pico"),
+        F.col("_pico.pct_volume_hora_vs_total").alias("pct_volume_hora_pico"),
     )
     load = F.col("pct_ocupacao_fila")
     out = (

@@ -107,6 +107,7 @@ _KPIS: dict[str, tuple[Callable, dict]] = {
 for _id, (_fn, _kw) in _KPIS.items():
     register(f"{_id}_{_fn.__name__}", lambda lake, fn=_fn, kw=_kw: fn(lake, **kw))
 
+register("g11_2_kpi11_daily_occupancy_ties", lambda lake: kpi11.kpi11_daily_occupancy(lake, keep_ties=True))
 # One query of each family over a period; the bound orders start in 1992, so the floor cuts some of them.
 SINCE_YEAR = 1996
 SINCE = [

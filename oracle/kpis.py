@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from oracle import pct, ratio, rnd, total
 
 MIN_YEAR = 2024
@@ -332,6 +334,7 @@ FINALS["g11_2_kpi11_daily_occupancy"] = f"""select d.* exclude (sk_fila), o.rank
 from k11_daily d left join k11_over o on d.sk_fila = o.sk_fila left join (select * from k11_hours where rank_horario_volume = 1
   qualify row_number() over (partition by ds_fila order by nr_hora_inicio nulls first, ds_turno) = 1) p on d.ds_fila = p.ds_fila
 order by dt_completa desc nulls last, pct_ocupacao_fila desc nulls last, d.sk_fila, d.ds_canal"""
+FINALS["g11_2_kpi11_daily_occupancy_ties"] = re.sub(r"\s+qualify row_number.*?= 1\)", ")", FINALS["g11_2_kpi11_daily_occupancy"])
 FINALS["g11_3_kpi11_intraday"] = "select * from k11_hours"
 FINALS["g11_4_kpi11_overload_rank"] = "select * from k11_over"
 FINALS["g11_5_kpi11_weekly_pattern"] = f"""select ds_dia_semana, ds_fila, {avg('nr_chamadas_recebidas')} as nr_media_chamadas, {avg('pct_ocupacao_fila')} as nr_ocupacao_media_semana,
