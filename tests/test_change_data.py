@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from atende.operators import cdc, merge
-from atende.plans.layers import AS_OF
+from atende.plans.layers import AS_OF, Lakehouse
 from atende.plans.silver import SPECS, build_silver, mark_silver
 from atende.sources import bindings
 from atende.sources.tables import write_table_partitioned
@@ -251,3 +251,43 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     plan = cdc.cdc_dedup_latest(spark.range(100).selectExpr("id % 3 as k", "id as t"), keys=["k"], order=["t"])
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.index("Final") < text.index("Exchange") < text.index("Partial")
+
+
+def test_events_dealt_by_key_are_sorted_only_behind_the_shuffle(spark):
+    """The limit below the shuffle sorts whole input splits; dealt by key, no task sorts more than its part."""
+    df = cdc.cdc_decode_op(spark.range(4000).selectExpr(
+        "cast(id % 900 as string) as id", "'I' as Op", "'2024-01-01T00:00:00' as _timestamp", "id as _seq", "uuid() as v"
+    )).repartition(3)
+    tasks = cdc.dedup_tasks(df, ["id"])
+    dealt = cdc.cdc_dedup_latest(df, keys=["id"], order=["dt_cdc_evento", "_seq"], tasks=tasks)
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    below = plan.split("Exchange hashpartitioning(id")[-1]
+    assert tasks >= 1 and "Sort [" in plan and "Sort [" not in below
+    plainly = cdc.cdc_dedup_latest(df, keys=["id"], order=["dt_cdc_evento", "_seq"])
+    assert plain(dealt.select("id", "_seq")) == plain(plainly.select("id", "_seq"))
+
+
+def test_tasks_follow_the_events_unless_a_key_is_hot(spark, monkeypatch):
+    monkeypatch.setattr(cdc, "TASK_ROWS", 100)
+    even = spark.range(5000).selectExpr("cast(id as string) as id")
+    assert cdc.dedup_tasks(even, ["id"]) == 50
+    assert cdc.dedup_tasks(even.selectExpr("if(id % 3 = 0, null, id) as id"), ["id"]) is None
+    assert cdc.dedup_tasks(even.limit(0), ["id"]) >= 1
+
+
+@pytest.mark.parametrize("tasks", [None, 3])
+def test_raw_keys_that_read_alike_stay_apart(spark, sf_dir, tasks):
+    """Rows are told apart by the text of the key, though the events are typed before they are compared."""
+    first = bindings.bronze(spark, "skill_operador", lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")).limit(1)
+    names = ["7", "07", " 7", "x", "y", None, "", "-1", "=07", "-"]
+    keys = spark.createDataFrame([(a, b, s) for a in names for b in names for s in (1, 2)], "a string, b string, s bigint")
+    bronze = first.crossJoin(keys).withColumns({"id_skill": F.col("a"), "id_operador": F.col("b"), "_seq": F.col("s")}).drop("a", "b", "s")
+    marked = mark_silver("skill_operador", bronze, as_of=AS_OF, tie_break="_seq", tasks=tasks)
+    assert marked.count() == len(names) ** 2
+
+
+def test_the_late_row_hash_is_the_same(spark, sf_dir):
+    lake = Lakehouse(spark, sf_dir)
+    expected = mark_silver("discagem", lake.bronze("discagem"), as_of=AS_OF, tie_break="_seq", extended=True).filter(F.col(cdc.REASON).isNull())
+    assert plain(lake["discagem"].select("id_discagem", "hash_registro")) == plain(expected.select("id_discagem", "hash_registro"))
+    assert lake["discagem"].columns == [c for c in expected.columns if c != cdc.REASON]
