@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from atende.operators import cdc, merge
 from atende.plans.layers import AS_OF, Lakehouse
-from atende.plans.silver import SPECS, build_silver, mark_silver
+from atende.plans.silver import SPECS, build_silver, late_columns, mark_silver, silver_spec
 from atende.sources import bindings
 from atende.sources.tables import write_table_partitioned
-from atende.sources.verdicts import MarkedTable
+from atende.sources.verdicts import INGESTED, MarkedTable
 from atende.streaming.incremental import (
     PartitionedTable, UnreadableEvents, VersionedTable, WatermarkStore, merge_batch, run_incremental, run_with_watermark,
     unreadable_events,
@@ -291,3 +291,18 @@ def test_the_late_row_hash_is_the_same(spark, sf_dir):
     expected = mark_silver("discagem", lake.bronze("discagem"), as_of=AS_OF, tie_break="_seq", extended=True).filter(F.col(cdc.REASON).isNull())
     assert plain(lake["discagem"].select("id_discagem", "hash_registro")) == plain(expected.select("id_discagem", "hash_registro"))
     assert lake["discagem"].columns == [c for c in expected.columns if c != cdc.REASON]
+
+
+@pytest.mark.parametrize("entity", ["cliente", "ticket", "metricas_operacionais", "gravacao_chamada"])
+def test_derived_columns_are_not_shuffled_by_date(spark, sf_dir, tmp_path, entity):
+    lake = Lakehouse(spark, sf_dir)
+    marked = mark_silver(entity, lake.bronze(entity), as_of=AS_OF, tie_break="_seq", extended=True)
+    late = late_columns(entity, AS_OF)
+    spec = silver_spec(entity, AS_OF)
+    by = [c for c in (spec.partition[1] if spec.partition else ()) if c != "dia"]
+    sent = MarkedTable(spark, str(tmp_path / "t"), marked.schema, by)._dealt(marked, F.lit(AS_OF), late)._jdf.queryExecution().optimizedPlan()
+    while sent.nodeName() != "RebalancePartitions":
+        sent = sent.children().apply(0)
+    names = {sent.output().apply(i).name() for i in range(sent.output().size())}
+    assert spec.key[0] in names and not names & {n for step in late for n in step} and not names & {*INGESTED, *by}
+    assert plain(lake.marked(entity).read().select(*marked.columns)) == plain(marked)
