@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tests.llm.conftest import make_docs
 
@@ -118,3 +119,19 @@ def test_a_long_stretch_keeps_an_anchor_for_every_rotation(d):
         b = np.tile(unit, 10)[k: k + 400]
         _, w, _, _, _ = s.anchors(b, 400, 200)
         assert any((int(x), b.tobytes()) in held for x in w), k
+
+
+def test_anchors_of_many_documents_are_handed_on_together(monkeypatch):
+    rnd = random.Random(12)
+    texts = ["".join(rnd.choice("abcé ") for _ in range(300)) for _ in range(30)] + ["x" * 500, "ab" * 300, "short"]
+    ids = [None, *range(1, len(texts))]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(ids, pa.int64()), "h": pa.array([7 * i for i in range(len(texts))], pa.int64()), "text": texts})
+    whole = list(s.anchor_batches(iter([batch]), 40, 20))
+    assert len(whole) == 1 and not list(s.anchor_batches(iter([batch.slice(0, 0), batch.slice(len(texts) - 1)]), 40, 20))
+    monkeypatch.setattr(s, "OUT_ROWS", 1)
+    parts = list(s.anchor_batches(iter([batch]), 40, 20))
+    assert len(parts) == len(texts) - 1 and pa.Table.from_batches(parts).to_pylist() == whole[0].to_pylist()
+    rows = [r for r in whole[0].to_pylist() if r["doc_id"] == ids[3]]
+    a, v, lo, last, _ = s.anchors(np.frombuffer(texts[3].encode(), np.uint8), 40, 20)
+    assert [(r["h"], r["a"], r["lo"], r["hi"], r["fp"]) for r in rows] == list(zip([21] * len(a), a.tolist(), lo.tolist(), (last + 40).tolist(), v.view(np.int64).tolist()))
+    assert any(r["a"] is None for r in whole[0].to_pylist())  # periodic stretches
