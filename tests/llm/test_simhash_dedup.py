@@ -88,3 +88,21 @@ def test_long_chains_meet_in_one_component(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 501)], "u long, v long")
     got = {r.node: r.root for r in common.components(links, common.Stage(links)).collect()}
     assert got == {i: 0 for i in range(201)} | {500: 500, 501: 500}
+
+
+def test_few_links_are_joined_by_one_task_and_many_in_rounds(spark, monkeypatch):
+    rnd = np.random.default_rng(4)
+    pairs = [(int(a), int(b)) for a, b in rnd.integers(-150, 150, (130, 2))]
+    links = spark.createDataFrame(pairs, "u long, v long")
+    root = {x: x for p in pairs if p[0] != p[1] for x in p}
+    for _ in range(len(root)):
+        for a, b in pairs:
+            if a != b:
+                root[a] = root[b] = min(root[a], root[b])
+    written = []
+    monkeypatch.setattr(common.Stage, "__call__", lambda self, df, f=common.Stage.__call__: written.append(1) or f(self, df))
+    for few in (len(pairs), 0):
+        monkeypatch.setattr(common, "FEW_LINKS", few)
+        assert {r.node: r.root for r in common.components(links, common.Stage(links)).collect()} == root
+        assert (len(written) == 1) == (few > 0)
+    assert common.components(links.where("false"), common.Stage(links)).count() == 0
